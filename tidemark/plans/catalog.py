@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.functions import fixed
 from tidemark.operators import dims, profile, quality, rollups, texts
 from tidemark.operators.fact import build_fact, fact_from_ods, in_scope, parse_payload
-from tidemark.plans import reports
-from tidemark.session import pin_utc
-from tidemark.sources.adapter import fact_from_events, ods_from_events
+from tidemark.plans import reports, warehouse
+from tidemark.session import pin_utc, scratch_dir
+from tidemark.sources import raw, tables
+from tidemark.sources.adapter import fact_from_events, ods_from_events, raw_lines_from_events
+from tidemark.streaming.landing import land_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -149,6 +151,8 @@ def _quality_queries() -> dict[str, Query]:
         "column_coverage": _full_fact(lambda f: quality.column_coverage(f, "language")),
         "filter_drop": _ods(lambda o: quality.filter_drop(o, in_scope())),
         "missing_hours": _ods(quality.missing_hours),
+        "orders_missing_hours": _on("orders", lambda t: quality.missing_hours(
+            t.select(F.to_date("o_orderdate").alias("dt"), F.hour("o_orderdate").alias("hour")))),
         "lineitem_duplicates": _on("lineitem", lambda t: quality.duplicate_rate(t, "l_orderkey", "l_linenumber")),
         "lineitem_volatility": _on("lineitem", lambda t: quality.volatility(
             t.select(F.to_date("l_shipdate").alias("dt")))),
@@ -183,9 +187,100 @@ def _text_queries() -> dict[str, Query]:
     }
 
 
+#: Files written for the queries below, once per application and source.
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def _once(label: str):
+    def wrap(write: Callable[[SparkSession, str, str], None]) -> Callable[[SparkSession, str], str]:
+        def path_of(spark: SparkSession, sf_dir: str) -> str:
+            key = (spark.sparkContext.applicationId, sf_dir, label)
+            if key not in _WRITTEN:
+                path = scratch_dir(spark, label)
+                write(spark, sf_dir, path)
+                _WRITTEN[key] = path
+            return _WRITTEN[key]
+        return path_of
+    return wrap
+
+
+@_once("raw")
+def _raw_zone(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The events as gzip files of JSON lines by day and hour, in the shared scratch folder."""
+    lines = raw_lines_from_events(spark, sf_dir).hint("rebalance", "dt", "hour")
+    lines.write.partitionBy("dt", "hour").option("compression", "gzip").text(path)
+
+
+@_once("ods")
+def _landed(spark: SparkSession, sf_dir: str, path: str) -> None:
+    warehouse.land(spark, _raw_zone(spark, sf_dir), path)
+
+
+def _pipeline_queries() -> dict[str, Query]:
+    """Queries that go through files: written by Spark from the given tables, then read back."""
+
+    def landed_ods(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return spark.read.parquet(_landed(spark, sf_dir))
+
+    def ingest_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return warehouse.ingest_volume(spark, _raw_zone(spark, sf_dir), _landed(spark, sf_dir)).select(
+            "dt", "hours", "rows")
+
+    def gzip_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
+        checked = raw.gzip_integrity(raw.raw_files(spark, _raw_zone(spark, sf_dir)))
+        return checked.groupBy("dt").agg(F.count_if(~F.col("ok")).alias("damaged_cnt"),
+                                         F.count_distinct("hour").alias("hour_cnt"),
+                                         F.sum("line_cnt").alias("line_cnt"))
+
+    def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw_root, ods_path = _raw_zone(spark, sf_dir), scratch_dir(spark, "ods")
+        land_stream(spark, raw_root, ods_path, scratch_dir(spark, "landing"), hour_folders=True).awaitTermination()
+        return quality.hours_by_day(spark.read.parquet(ods_path))
+
+    def incremental_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ods_path, fact_path = _landed(spark, sf_dir), scratch_dir(spark, "fact")
+        first = tables.stored_partitions(spark, ods_path, "dt").agg(F.min("dt").alias("dt")).first().dt
+        warehouse.build_fact_days(spark, ods_path, fact_path, days=[first])
+        warehouse.build_fact_days(spark, ods_path, fact_path)  # the days still missing
+        warehouse.build_fact_days(spark, ods_path, fact_path, days=[first])  # once more: replaced, not added
+        return spark.read.parquet(fact_path)
+
+    def catalog_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return warehouse.build_warehouse(spark, _raw_zone(spark, sf_dir), scratch_dir(spark, "warehouse"))
+
+    def extract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = scratch_dir(spark, "warehouse")
+        tables.write_days(fact_from_events(spark, sf_dir), tables.table_path(root, "dwd", "event_fact"), "dt")
+        warehouse.build_rollups(spark, root)
+        return warehouse.write_extract(spark, root, scratch_dir(spark, "extract"), rows=20)
+
+    def bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+        events = raw_lines_from_events(spark, sf_dir).select(F.lit("events").alias("source"), "line")
+        text_lines = [
+            spark.read.parquet(f"{sf_dir}/{name}.parquet").select(
+                F.lit(name).alias("source"), F.explode(F.split(column, "\n")).alias("line"))
+            for name, column in {"documents": "text", "pages": "html", "conversations": "text"}.items()
+        ]
+        for more in text_lines:
+            events = events.unionByName(more)
+        return raw.bad_line_report(raw.parse_lines(events), "source")
+
+    return {
+        "ods_from_raw": lambda spark, sf_dir: raw.ods_rows(raw.parse_lines(raw_lines_from_events(spark, sf_dir))),
+        "bad_line_report": bad_lines,
+        "landed_ods": landed_ods,
+        "ingest_volume": ingest_volume,
+        "gzip_integrity": gzip_integrity,
+        "stream_landing": stream_landing,
+        "incremental_fact": incremental_fact,
+        "catalog_status": catalog_status,
+        "extract_report": extract_report,
+    }
+
+
 def queries() -> dict[str, Query]:
     groups = [_rollup_queries(), _fact_queries(), _report_queries(), _quality_queries(),
-              _profile_queries(), _text_queries()]
+              _profile_queries(), _text_queries(), _pipeline_queries()]
     return {name: _in_utc(query) for group in groups for name, query in group.items()}
 
 

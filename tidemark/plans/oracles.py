@@ -53,6 +53,13 @@ _FACT = _ODS + f""", fact AS (
 )"""
 
 
+_PAYLOAD = """('{"size":' || (k % 7) || ',"distinct_size":' || (k % 5)
+      || coalesce(',"ref":"' || push_ref || '","ref_type":"' || create_ref_type || '"', '')
+      || ',"action":"' || action || '","number":' || (eid % 1000)
+      || coalesce(',"issue":{"number":' || issue_number || '}', '')
+      || coalesce(',"forkee":{"language":"' || language || '"}', '') || '}')"""
+
+
 def _counts(*names: str) -> str:
     return ", ".join(
         f"CAST(sum(CASE WHEN event_type = '{fixed.COUNT_COLUMNS[n]}' THEN 1 ELSE 0 END) AS BIGINT) AS {n}"
@@ -195,6 +202,15 @@ def _hours(source: str, day: str, hour: str) -> str:
   FROM days"""
 
 
+def _missing(source: str, day: str, hour: str) -> str:
+    return f"""
+  landed AS (SELECT DISTINCT {day} AS dt, {hour} AS hour FROM {source}),
+  grid AS (SELECT unnest(generate_series(min(dt)::TIMESTAMP, max(dt)::TIMESTAMP + INTERVAL 23 HOUR,
+                                         INTERVAL 1 HOUR)) AS h FROM landed),
+  expected AS (SELECT CAST(h AS DATE) AS dt, CAST(hour(h) AS INTEGER) AS hour FROM grid)
+  SELECT dt, hour FROM expected ANTI JOIN landed USING (dt, hour)"""
+
+
 def _blanks(*columns: str) -> str:
     parts = ", ".join(f"count(*) FILTER ({c} IS NULL OR {c} = '') AS {c}_blank" for c in columns)
     return f"SELECT count(*) AS row_cnt, {parts} FROM ods"
@@ -270,6 +286,11 @@ judged AS (
 SELECT doc_id, reason IS NULL AS safe, reason, CAST(length(s) AS INTEGER) AS statement_chars FROM judged"""
 
 
+_LANDED = f"""
+  SELECT event_id, event_type, actor_id, actor_login, repo_id, repo_name, org_id, org_login, created_at, is_public,
+         {_PAYLOAD} AS payload, dt, hour FROM ods"""
+
+
 def oracle_sql() -> dict[str, str]:
     from tidemark.plans.catalog import CONVERSATION_TOPICS
 
@@ -377,11 +398,9 @@ def oracle_sql() -> dict[str, str]:
     SELECT count(*) AS row_cnt, count(*) FILTER (event_type IN ({_TYPES}) AND event_id <> '') AS kept_cnt FROM ods)
   SELECT row_cnt, kept_cnt, row_cnt - kept_cnt AS dropped_cnt,
          (row_cnt - kept_cnt) * 100::DOUBLE / greatest(row_cnt, 1) AS dropped_pct FROM c"""),
-        "missing_hours": _with_ods(""", grid AS (
-    SELECT unnest(generate_series(min(dt)::TIMESTAMP, max(dt)::TIMESTAMP + INTERVAL 23 HOUR, INTERVAL 1 HOUR)) AS h
-    FROM ods)
-  SELECT CAST(h AS DATE) AS dt, CAST(hour(h) AS INTEGER) AS hour FROM grid
-  WHERE (CAST(h AS DATE), CAST(hour(h) AS INTEGER)) NOT IN (SELECT (dt, hour) FROM ods)"""),
+        "missing_hours": f"WITH {_ODS}, {_missing('ods', 'dt', 'hour')}",
+        "orders_missing_hours":
+            f"WITH {_missing('orders', 'CAST(o_orderdate AS DATE)', 'CAST(hour(o_orderdate) AS INTEGER)')}",
         "lineitem_duplicates": _duplicates("lineitem", "(l_orderkey, l_linenumber)"),
         "lineitem_volatility": f"WITH {_changes('lineitem', 'CAST(l_shipdate AS DATE)')} {_VOLATILITY}",
         "lineitem_calibration": f"WITH {_changes('lineitem', 'CAST(l_shipdate AS DATE)')} {_CALIBRATION}",
@@ -403,16 +422,42 @@ def oracle_sql() -> dict[str, str]:
   FROM ods GROUP BY event_type ORDER BY n DESC, event_type LIMIT 10"""),
         "ods_top_repos": _with_ods(
             "SELECT repo_name, count(*) AS n FROM ods GROUP BY repo_name ORDER BY n DESC, repo_name LIMIT 10"),
-        "ods_payload_length": _with_ods(r""", parts AS (
-    SELECT *, '{"size":' || (k % 7) || ',"distinct_size":' || (k % 5)
-      || coalesce(',"ref":"' || push_ref || '","ref_type":"' || create_ref_type || '"', '')
-      || ',"action":"' || action || '","number":' || (eid % 1000)
-      || coalesce(',"issue":{"number":' || issue_number || '}', '')
-      || coalesce(',"forkee":{"language":"' || language || '"}', '') || '}' AS payload FROM ods)
-  SELECT avg(length(payload)) AS mean_length FROM parts"""),
+        "ods_payload_length": _with_ods(f"SELECT avg(length({_PAYLOAD})) AS mean_length FROM ods"),
         "document_text_length": "SELECT avg(length(text)) AS mean_length FROM documents",
         # texts
         "keyword_route": _route(CONVERSATION_TOPICS),
         "sql_text_audit": _AUDIT,
+        # through files
+        "ods_from_raw": _with_ods(_LANDED),
+        "landed_ods": _with_ods(_LANDED),
+        "bad_line_report": """
+WITH lines AS (
+  SELECT 'documents' AS source, unnest(string_split(text, chr(10))) AS line FROM documents
+  UNION ALL SELECT 'pages', unnest(string_split(html, chr(10))) FROM pages
+  UNION ALL SELECT 'conversations', unnest(string_split(text, chr(10))) FROM conversations)
+SELECT source, count(*) AS line_cnt,
+       count(*) FILTER (NOT json_valid(line) OR json_type(CASE WHEN json_valid(line) THEN line END) <> 'OBJECT')
+         AS bad_cnt
+FROM lines GROUP BY source
+UNION ALL SELECT 'events', count(*), 0 FROM events""",
+        "ingest_volume": _with_ods(
+            "SELECT dt, count(DISTINCT hour) AS hours, count(*) AS rows FROM ods GROUP BY dt"),
+        "gzip_integrity": _with_ods("SELECT dt, CAST(0 AS BIGINT) AS damaged_cnt, count(DISTINCT hour) AS hour_cnt, "
+                                    "count(*) AS line_cnt FROM ods GROUP BY dt"),
+        "stream_landing": _with_ods(
+            "SELECT dt, count(DISTINCT hour) AS hour_cnt, count(*) AS row_cnt FROM ods GROUP BY dt"),
+        "incremental_fact": _with_fact("SELECT * EXCLUDE (hour) FROM fact"),
+        "catalog_status": f"WITH {_FACT} SELECT *, 'ready' AS status FROM (" + " UNION ALL ".join(
+            f"SELECT '{layer}' AS layer, '{name}' AS \"table\", count(*) AS rows FROM ({body})"
+            for layer, name, body in [
+                ("ods", "events", "SELECT * FROM ods"), ("dwd", "event_fact", "SELECT * FROM fact"),
+                ("dwd", "dim_repo", _DIM_REPO), ("dwd", "dim_actor", _DIM_ACTOR), ("dwd", "dim_date", _DIM_DATE),
+                *[("ads", name, _ADS[name]) for name in _ADS if name != "daily_summary"]]) + ")",
+        "extract_report": f"WITH {_FACT} SELECT *, round(rows * 100::DOUBLE / greatest(full_rows, 1), 1) AS pct FROM ("
+                          + " UNION ALL ".join(
+            f"SELECT '{name}' AS \"table\", CAST(sum({'least(n, 20)' if 'rank' in name or 'active' in name else 'n'}) "
+            f"AS BIGINT) AS rows, CAST(sum(n) AS BIGINT) AS full_rows "
+            f"FROM (SELECT date, count(*) AS n FROM ({_ADS[name]}) GROUP BY date)"
+            for name in _ADS if name != "daily_summary") + ")",
     }
     return out

@@ -97,18 +97,20 @@ def ods_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_lines_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(dt, hour, value)``: each event as one raw JSON line."""
-    return ods_from_events(spark, sf_dir).select("dt", "hour", F.to_json(F.struct(
+    """``(dt, hour, line)``: each event as one raw JSON line."""
+    envelope = F.to_json(F.struct(
         F.col("event_id").alias("id"),
         F.col("event_type").alias("type"),
         F.struct(F.col("actor_id").alias("id"), F.col("actor_login").alias("login")).alias("actor"),
         F.struct(F.col("repo_id").alias("id"), F.col("repo_name").alias("name")).alias("repo"),
         F.when(F.col("org_id").isNotNull(),
                F.struct(F.col("org_id").alias("id"), F.col("org_login").alias("login"))).alias("org"),
-        F.parse_json("payload").alias("payload"),
         F.col("is_public").alias("public"),
         "created_at",
-    )).alias("value"))
+    ))
+    opened = F.left(envelope, F.length(envelope) - 1)
+    line = F.concat(opened, F.lit(',"payload":'), "payload", F.lit("}"))
+    return ods_from_events(spark, sf_dir).select("dt", "hour", line.alias("line"))
 
 
 def fact_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
