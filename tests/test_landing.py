@@ -55,6 +55,12 @@ def test_line_verdict(spark, line, good):
     assert (parsed(spark, line).first().event is not None) is good
 
 
+def test_one_parse_per_line(spark):
+    lines = spark.createDataFrame([(event("1"),)], "line string").selectExpr("line", "current_date() dt", "1 hour")
+    plan = raw.ods_rows(raw.parse_lines(lines))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+
+
 def landed_rows(spark, *lines):
     df = parsed(spark, *lines).selectExpr("event", "date'2024-01-14' dt", "1 hour")
     return [r.asDict() for r in raw.ods_rows(df).collect()]

@@ -124,6 +124,9 @@ def test_topics_are_the_questions():
     ("selected", "selected", "not a query"),
     ("éselect 1", "éselect 1", "not a query"),
     ("UPDATE t SET a = 1", "UPDATE t SET a = 1", "forbidden word"),
+    ("select \u017fet", "select \u017fet", "forbidden word"),
+    ("select a_set, setting from t", "select a_set, setting from t", None),
+    ("```sql select 1 ``` trailing", "select 1 ``` trailing", None),
     ("reset and select settings", "select settings", None),
 ])
 def test_sql_text_audit(spark, text, statement, reason):

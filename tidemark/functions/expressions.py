@@ -63,25 +63,33 @@ def best_topic(text: Column, topics: Mapping[str, Iterable[str]]) -> Column:
     return F.when(ranked["score"] > 0, F.struct(ranked["score"].alias("score"), ranked["topic"].alias("topic")))
 
 
-def clean_statement(text: Column) -> Column:
-    """Statement text without a code fence, leading chatter and closing semicolons."""
-    bare = _strip(text)
-    bare = F.regexp_replace(bare, r"(?iU)^```(?:sql)?\s*", "")
-    bare = F.regexp_replace(bare, r"(?U)\s*```\z", "")
-    query = F.regexp_extract(bare, r"(?isU)\b(?:select|with)\b.*\z", 0)
-    bare = F.when(query != "", query).otherwise(bare)
-    return _strip(F.rtrim(_strip(bare), F.lit(";")))
-
-
-def statement_verdict(sql: Column) -> Column:
-    """Reason a statement is refused, NULL for a read-only one. Words count anywhere, even quoted."""
+def unfenced(text: Column) -> Column:
+    """Text without surrounding space and code fence."""
+    bare = strip(text)
+    bare = F.when(F.startswith(bare, F.lit("```")), F.regexp_replace(bare, r"(?iU)^```(?:sql)?\s*", "")).otherwise(bare)
+    return F.when(F.endswith(bare, F.lit("```")), F.regexp_replace(bare, r"(?U)\s*```\z", "")).otherwise(bare)
+
+
+def from_query_word(text: Column) -> Column:
+    """Text from its first SELECT or WITH on, '' where there is none."""
+    return F.regexp_extract(text, r"(?isU)\b(?:select|with)\b.*\z", 0)
+
+
+def strip(text: Column) -> Column:
+    return F.btrim(text, F.lit(fixed.WHITESPACE))
+
+
+def statement_verdict(sql: Column, lower: Column) -> Column:
+    """Reason a statement is refused, NULL for a read-only one. Words count anywhere, even quoted.
+
+    ``lower`` is the statement in lower case: plain searches in it spare most
+    texts the pattern. The long s is the one letter that matches ``s`` in the
+    pattern without becoming it in lower case.
+    """
     words = "|".join(fixed.FORBIDDEN_WORDS)
+    maybe = reduce(or_, [F.contains(lower, F.lit(w)) for w in [*fixed.FORBIDDEN_WORDS, "\u017f"]])
     return (
-        F.when(F.coalesce(sql, F.lit("")) == "", "empty")
-        .when(sql.rlike(rf"(?iU)\b(?:{words})\b"), "forbidden word")
+        F.when(sql == "", "empty")
+        .when(maybe & sql.rlike(rf"(?iU)\b(?:{words})\b"), "forbidden word")
         .when(~sql.rlike(r"(?iU)^\s*(?:select|with)\b"), "not a query")
     )
-
-
-def _strip(text: Column) -> Column:
-    return F.btrim(text, F.lit(fixed.WHITESPACE))

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions import fixed
-from tidemark.functions.expressions import best_topic, clean_statement, statement_verdict
+from tidemark.functions.expressions import best_topic, from_query_word, statement_verdict, strip, unfenced
 
 
 def keyword_route(rows: DataFrame, text: str = "text",
@@ -25,11 +25,19 @@ def keyword_route(rows: DataFrame, text: str = "text",
 
 
 def sql_text_audit(rows: DataFrame, text: str = "text") -> DataFrame:
-    """Add the cleaned ``statement``, whether it is ``safe`` to run and the ``reason`` if not."""
+    """Add the cleaned ``statement``, whether it is ``safe`` to run and the ``reason`` if not.
+
+    One step per intermediate text, so that each is computed once per row.
+    """
+    query, bare = F.col("_query"), F.col("_bare")
     return (
-        rows.withColumn("statement", clean_statement(F.coalesce(text, F.lit(""))))
-        .withColumn("reason", statement_verdict(F.col("statement")))
+        rows.withColumn("_bare", unfenced(F.coalesce(text, F.lit(""))))
+        .withColumn("_query", from_query_word(bare))
+        .withColumn("statement", strip(F.rtrim(strip(F.when(query != "", query).otherwise(bare)), F.lit(";"))))
+        .withColumn("_lower", F.lower("statement"))
+        .withColumn("reason", statement_verdict(F.col("statement"), F.col("_lower")))
         .withColumn("safe", F.col("reason").isNull())
+        .drop("_bare", "_query", "_lower")
     )
 
 

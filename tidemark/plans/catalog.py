@@ -49,6 +49,34 @@ def _on(name: str, op: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: op(_table(name)(spark, sf_dir))
 
 
+#: Files written for the queries that read stored tables, once per application and source.
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def _once(label: str):
+    def wrap(write: Callable[[SparkSession, str, str], None]) -> Callable[[SparkSession, str], str]:
+        def path_of(spark: SparkSession, sf_dir: str) -> str:
+            key = (spark.sparkContext.applicationId, sf_dir, label)
+            if key not in _WRITTEN:
+                path = scratch_dir(spark, label)
+                write(spark, sf_dir, path)
+                _WRITTEN[key] = path
+            return _WRITTEN[key]
+        return path_of
+    return wrap
+
+
+_DIMENSIONS = {"dim_repo": dims.dim_repo, "dim_actor": dims.dim_actor, "dim_date": dims.dim_date}
+
+
+@_once("dimensions")
+def _dimensions(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The dimensions as stored tables: written once, then looked up."""
+    fact = fact_from_ods(ods_from_events(spark, sf_dir))
+    for name, build in _DIMENSIONS.items():
+        tables.write_table(build(fact), f"{path}/{name}")
+
+
 def _rollup_queries() -> dict[str, Query]:
     return {
         "daily_event_type": _fact(rollups.daily_event_type),
@@ -87,11 +115,10 @@ def _top_parts(lineitem: DataFrame) -> DataFrame:
 def _fact_queries() -> dict[str, Query]:
     def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
         fact = fact_from_ods(ods_from_events(spark, sf_dir))
-        # A small split size, so that the given tables take the split path as well.
-        wide = dims.enrich_fact(fact, dims.dim_repo(fact), dims.dim_actor(fact), dims.dim_date(fact),
-                                rows_per_split=100)
-        return wide.select("event_id", "event_type", "dt", "repo_id", "repo_name_now", "org_login_now",
-                           "repo_language", "actor_id", "actor_login_now", "week_of_year", "weekday", "is_weekend")
+        lookups = [spark.read.parquet(f"{_dimensions(spark, sf_dir)}/{name}") for name in _DIMENSIONS]
+        return dims.enrich_fact(fact, *lookups).select(
+            "event_id", "event_type", "dt", "repo_id", "repo_name_now", "org_login_now", "repo_language",
+            "actor_id", "actor_login_now", "week_of_year", "weekday", "is_weekend")
 
     return {
         "fact_payload_parsed": _ods(parse_payload),
@@ -187,23 +214,6 @@ def _text_queries() -> dict[str, Query]:
     }
 
 
-#: Files written for the queries below, once per application and source.
-_WRITTEN: dict[tuple[str, str, str], str] = {}
-
-
-def _once(label: str):
-    def wrap(write: Callable[[SparkSession, str, str], None]) -> Callable[[SparkSession, str], str]:
-        def path_of(spark: SparkSession, sf_dir: str) -> str:
-            key = (spark.sparkContext.applicationId, sf_dir, label)
-            if key not in _WRITTEN:
-                path = scratch_dir(spark, label)
-                write(spark, sf_dir, path)
-                _WRITTEN[key] = path
-            return _WRITTEN[key]
-        return path_of
-    return wrap
-
-
 @_once("raw")
 def _raw_zone(spark: SparkSession, sf_dir: str, path: str) -> None:
     """The events as gzip files of JSON lines by day and hour, in the shared scratch folder."""

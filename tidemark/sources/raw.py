@@ -109,11 +109,11 @@ def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     shape = f"lines array<{schemas.ENVELOPE.simpleString()}>, end boolean, _bad string"
     options = {"columnNameOfCorruptRecord": "_bad", "allowSingleQuotes": "false"}
     good = (F.size("_frame.lines") == 1) & F.col("_frame.end") & F.col("_frame._bad").isNull()
-    return (
-        lines.withColumn("_frame", F.from_json(frame, shape, options))
-        .withColumn("event", F.when(good, F.get("_frame.lines", F.lit(0))))
-        .drop("_frame", line)
-    )
+    parsed = lines.withColumn("_frame", F.from_json(frame, shape, options))
+    # A generator, not a projection: a later filter on the event stays above it
+    # instead of being moved down as a second parse.
+    event = F.explode_outer(F.when(good, F.col("_frame.lines"))).alias("event")
+    return parsed.select(*[c for c in lines.columns if c != line], event)
 
 
 def ods_rows(parsed: DataFrame) -> DataFrame:
