@@ -1,6 +1,7 @@
 import datetime as dt
 import gzip
 import json
+import random
 from pathlib import Path
 
 import pytest
@@ -139,6 +140,54 @@ def test_nothing_new(spark, tmp_path):
     assert warehouse.land(spark, str(root), ods).lines == 0
 
 
+def test_hour_states(spark, zone, tmp_path):
+    ods = str(tmp_path / "ods")
+    before = {r.state for r in warehouse.hour_states(spark, str(zone), ods).collect()}
+    assert before == {"pending", "damaged", "missing"}
+    warehouse.land(spark, str(zone), ods)
+    got = {(str(r.dt), r.hour): r.state for r in warehouse.hour_states(spark, str(zone), ods).collect()}
+    assert len(got) == 72
+    named = {k: v for k, v in got.items() if v != "missing"}
+    assert named == {("2024-01-14", 0): "landed", ("2024-01-14", 13): "landed", ("2024-01-14", 14): "damaged",
+                     ("2024-01-15", 1): "pending",  # an empty file lands nothing
+                     ("2024-01-16", 2): "damaged", ("2024-01-16", 3): "landed"}
+    one_day = warehouse.hour_states(spark, str(zone), ods, "2024-01-17", "2024-01-17")
+    assert {r.state for r in one_day.collect()} == {"missing"} and one_day.count() == 24
+
+
+def _account(value) -> bool:
+    if value is None:
+        return True
+    return isinstance(value, dict) and (value.get("id") is None or type(value["id"]) is int)
+
+
+def _is_event(text: str) -> bool:
+    """One JSON object whose parts have the envelope's types."""
+    try:
+        found = json.loads(text)
+    except ValueError:
+        return False
+    return (isinstance(found, dict) and all(_account(found.get(k)) for k in ("actor", "repo", "org"))
+            and (found.get("public") is None or isinstance(found["public"], bool)))
+
+
+def test_random_damage_is_judged_as_by_a_json_parser(spark):
+    """Characters deleted or inserted, ends repeated or cut off, at random places of sound lines."""
+    chance = random.Random(7)
+    lines = []
+    for i in range(4000):
+        line = event(str(i), org={"id": i, "login": "ö"})
+        for _ in range(chance.randint(0, 2)):
+            at = chance.randrange(len(line) + 1)
+            line = chance.choice([line[:at] + line[at + 1:], line[:at] + chance.choice('{}[]",: 1nté\\') + line[at:],
+                                  line + line[at:], line[:at]])
+        lines.append(line)
+    table = spark.createDataFrame(list(enumerate(lines)), "n int, line string")
+    got = {r.n: r.event is not None for r in raw.parse_lines(table).collect()}
+    assert [x for i, x in enumerate(lines) if got[i] != _is_event(x)] == []
+    assert 1000 < sum(got.values()) < 3000
+
+
 def test_volume(spark, zone, tmp_path):
     ods = str(tmp_path / "ods")
     warehouse.land(spark, str(zone), ods)

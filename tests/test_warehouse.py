@@ -98,6 +98,31 @@ def test_quality_report(spark, root, tmp_path):
     assert got.failed == 1  # the smallest tables do not fill all hours of each day
 
 
+def test_skip_tables_that_are_there(spark, root):
+    path = Path(tables.table_path(root, "ads", "daily_event_type"))
+    before = sorted(path.glob("*.parquet"))
+    warehouse.build_rollups(spark, root, overwrite=False)
+    warehouse.build_dims(spark, root, overwrite=False)
+    assert sorted(path.glob("*.parquet")) == before
+
+
+def test_questions(spark, root):
+    got = warehouse.answer(spark, root, "机器人 bot 占多少？")
+    assert got.columns == ["kind", "events", "pct"] and got.count() == 2
+    assert warehouse.answer(spark, root, "数据量").first().days == 30
+    assert warehouse.answer(spark, root, "nothing of the kind") is None
+
+
+def test_statements(spark, root):
+    tables.register_views(spark, root)
+    got = warehouse.run_statement(spark, "```sql\nSELECT date, event_cnt FROM ads_daily_repo_rank;\n```")
+    assert got.count() == 200
+    with pytest.raises(ValueError, match="forbidden word"):
+        warehouse.run_statement(spark, "DROP VIEW ads_daily_repo_rank")
+    with pytest.raises(ValueError, match="empty"):
+        warehouse.run_statement(spark, " ")
+
+
 def test_sample_export(spark, root, tmp_path):
     path = str(tmp_path / "sample")
     tables.export_sample(tables.read_table(spark, root, "dwd", "event_fact"), path, "event_id", "event_type", rows=7)

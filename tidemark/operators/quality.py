@@ -187,11 +187,12 @@ def quality_document(rules: DataFrame, scope: str = "all") -> DataFrame:
 
 def expected_hours(spark: SparkSession, first: dt.date | str, last: dt.date | str) -> DataFrame:
     """Every ``(dt, hour)`` from the first day's 0 h to the last day's 23 h."""
-    return _hour_grid(spark.range(1).select(
+    return hour_grid(spark.range(1).select(
         F.lit(str(first)).cast("date").alias("lo"), F.lit(str(last)).cast("date").alias("hi")))
 
 
-def _hour_grid(span: DataFrame) -> DataFrame:
+def hour_grid(span: DataFrame) -> DataFrame:
+    """Every hour from day ``lo`` to day ``hi`` of a one-row frame."""
     start = F.col("lo").cast("timestamp_ntz")
     end = F.col("hi").cast("timestamp_ntz") + F.expr("interval 23 hours")
     return span.filter(F.col("lo").isNotNull()).select(
@@ -202,5 +203,5 @@ def _hour_grid(span: DataFrame) -> DataFrame:
 def missing_hours(landed: DataFrame, expected: DataFrame | None = None) -> DataFrame:
     """Expected hours without a landed row; by default every hour of the span of landed days."""
     if expected is None:
-        expected = _hour_grid(landed.agg(F.min("dt").alias("lo"), F.max("dt").alias("hi")))
+        expected = hour_grid(landed.agg(F.min("dt").alias("lo"), F.max("dt").alias("hi")))
     return expected.join(landed.select("dt", "hour").distinct(), ["dt", "hour"], "left_anti")

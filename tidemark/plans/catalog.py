@@ -66,14 +66,11 @@ def _once(label: str):
     return wrap
 
 
-_DIMENSIONS = {"dim_repo": dims.dim_repo, "dim_actor": dims.dim_actor, "dim_date": dims.dim_date}
-
-
 @_once("dimensions")
 def _dimensions(spark: SparkSession, sf_dir: str, path: str) -> None:
     """The dimensions as stored tables: written once, then looked up."""
     fact = fact_from_ods(ods_from_events(spark, sf_dir))
-    for name, build in _DIMENSIONS.items():
+    for name, build in warehouse.DIMENSIONS.items():
         tables.write_table(build(fact), f"{path}/{name}")
 
 
@@ -115,7 +112,7 @@ def _top_parts(lineitem: DataFrame) -> DataFrame:
 def _fact_queries() -> dict[str, Query]:
     def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
         fact = fact_from_ods(ods_from_events(spark, sf_dir))
-        lookups = [spark.read.parquet(f"{_dimensions(spark, sf_dir)}/{name}") for name in _DIMENSIONS]
+        lookups = [spark.read.parquet(f"{_dimensions(spark, sf_dir)}/{name}") for name in warehouse.DIMENSIONS]
         return dims.enrich_fact(fact, *lookups).select(
             "event_id", "event_type", "dt", "repo_id", "repo_name_now", "org_login_now", "repo_language",
             "actor_id", "actor_login_now", "week_of_year", "weekday", "is_weekend")
@@ -156,6 +153,8 @@ def _report_queries() -> dict[str, Query]:
         "funnel_series": _fact(series),
         "funnel_long": _fact(lambda f: reports.funnel_long(series(f))),
     }
+    out["capped_answer"] = _fact(lambda f: texts.capped_answer(
+        rollups.daily_repo_rank(f).orderBy("date", F.desc("event_cnt"), "repo_id", "repo_name")))
     for name, (table, report) in reports.QUESTIONS.items():
         out[name] = _fact(report) if table == "event_fact" else over(rollups.ADS_TABLES[table], report)
     return out
@@ -236,6 +235,9 @@ def _pipeline_queries() -> dict[str, Query]:
         return warehouse.ingest_volume(spark, _raw_zone(spark, sf_dir), _landed(spark, sf_dir)).select(
             "dt", "hours", "rows")
 
+    def hour_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return warehouse.hour_states(spark, _raw_zone(spark, sf_dir), _landed(spark, sf_dir))
+
     def gzip_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
         checked = raw.gzip_integrity(raw.raw_files(spark, _raw_zone(spark, sf_dir)))
         return checked.groupBy("dt").agg(F.count_if(~F.col("ok")).alias("damaged_cnt"),
@@ -280,6 +282,7 @@ def _pipeline_queries() -> dict[str, Query]:
         "bad_line_report": bad_lines,
         "landed_ods": landed_ods,
         "ingest_volume": ingest_volume,
+        "hour_states": hour_states,
         "gzip_integrity": gzip_integrity,
         "stream_landing": stream_landing,
         "incremental_fact": incremental_fact,

@@ -202,13 +202,16 @@ def _hours(source: str, day: str, hour: str) -> str:
   FROM days"""
 
 
-def _missing(source: str, day: str, hour: str) -> str:
+def _grid(source: str, day: str, hour: str) -> str:
     return f"""
   landed AS (SELECT DISTINCT {day} AS dt, {hour} AS hour FROM {source}),
   grid AS (SELECT unnest(generate_series(min(dt)::TIMESTAMP, max(dt)::TIMESTAMP + INTERVAL 23 HOUR,
                                          INTERVAL 1 HOUR)) AS h FROM landed),
-  expected AS (SELECT CAST(h AS DATE) AS dt, CAST(hour(h) AS INTEGER) AS hour FROM grid)
-  SELECT dt, hour FROM expected ANTI JOIN landed USING (dt, hour)"""
+  expected AS (SELECT CAST(h AS DATE) AS dt, CAST(hour(h) AS INTEGER) AS hour FROM grid)"""
+
+
+def _missing(source: str, day: str, hour: str) -> str:
+    return _grid(source, day, hour) + " SELECT dt, hour FROM expected ANTI JOIN landed USING (dt, hour)"
 
 
 def _blanks(*columns: str) -> str:
@@ -358,6 +361,8 @@ def oracle_sql() -> dict[str, str]:
         "funnel_long": _over("daily_pr_funnel", f""", series AS ({_SERIES})
   SELECT date, 'opened' AS action, opened AS n FROM series UNION ALL SELECT date, 'merged', merged FROM series
   UNION ALL SELECT date, 'closed', closed FROM series"""),
+        "capped_answer": _over("daily_repo_rank", "SELECT * FROM daily_repo_rank "
+                               "ORDER BY date, event_cnt DESC, repo_id, repo_name LIMIT 200"),
         # questions
         "bot_share": _over("daily_actor_active", f"""
   SELECT CASE WHEN actor_login LIKE '%[bot]' OR actor_login LIKE '%-bot' THEN 'bot' ELSE 'human' END AS kind,
@@ -442,6 +447,9 @@ FROM lines GROUP BY source
 UNION ALL SELECT 'events', count(*), 0 FROM events""",
         "ingest_volume": _with_ods(
             "SELECT dt, count(DISTINCT hour) AS hours, count(*) AS rows FROM ods GROUP BY dt"),
+        "hour_states": f"""WITH {_ODS}, {_grid('ods', 'dt', 'hour')}
+  SELECT e.dt, e.hour, CASE WHEN l.dt IS NULL THEN 'missing' ELSE 'landed' END AS state
+  FROM expected e LEFT JOIN landed l ON e.dt = l.dt AND e.hour = l.hour""",
         "gzip_integrity": _with_ods("SELECT dt, CAST(0 AS BIGINT) AS damaged_cnt, count(DISTINCT hour) AS hour_cnt, "
                                     "count(*) AS line_cnt FROM ods GROUP BY dt"),
         "stream_landing": _with_ods(

@@ -12,8 +12,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tidemark.functions import fixed
-from tidemark.operators import dims, quality, rollups
+from tidemark.operators import dims, quality, rollups, texts
 from tidemark.operators.fact import fact_from_ods
+from tidemark.plans import reports
 from tidemark.sources import raw, tables
 
 
@@ -76,6 +77,30 @@ def ingest_volume(spark: SparkSession, raw_root: str, ods_path: str) -> DataFram
         F.try_divide("stored_bytes", "rows").alias("bytes_per_row"))
 
 
+def hour_states(spark: SparkSession, raw_root: str, ods_path: str, first=None, last=None) -> DataFrame:
+    """``(dt, hour, state)`` of every expected hour: landed, damaged, pending or missing.
+
+    The span defaults to the days of the landing zone. Only files of hours that
+    are not landed are opened.
+    """
+    files = raw.raw_files(spark, raw_root)
+    if first is None or last is None:
+        expected = quality.hour_grid(files.agg(F.min("dt").alias("lo"), F.max("dt").alias("hi")))
+    else:
+        expected = quality.expected_hours(spark, first, last)
+    landed = tables.stored_partitions(spark, ods_path, "dt", "hour")
+    if landed is None:
+        landed = files.select("dt", "hour").limit(0)
+    waiting = files.select("path", "dt", "hour").join(landed, ["dt", "hour"], "left_anti")
+    paths = [row.path for row in waiting.select("path").toLocalIterator()]  # names only
+    checked = raw.gzip_integrity(raw.raw_files(spark, raw_root, paths)) if paths else None
+    states = landed.withColumn("state", F.lit("landed"))
+    if checked is not None:
+        states = states.unionByName(checked.groupBy("dt", "hour").agg(
+            F.when(F.bool_and("ok"), "pending").otherwise("damaged").alias("state")))
+    return expected.join(states, ["dt", "hour"], "left").na.fill("missing", ["state"])
+
+
 def build_fact_days(spark: SparkSession, ods_path: str, fact_path: str, days: list | None = None,
                     overwrite: bool = False) -> list:
     """Write the fact for the given days, by default those landed but not in the fact yet; returns them.
@@ -95,20 +120,29 @@ def build_fact_days(spark: SparkSession, ods_path: str, fact_path: str, days: li
     return days
 
 
-def build_dims(spark: SparkSession, root: str) -> None:
+DIMENSIONS = {"dim_repo": dims.dim_repo, "dim_actor": dims.dim_actor, "dim_date": dims.dim_date}
+
+
+def _build(spark: SparkSession, path: str, table: DataFrame, overwrite: bool) -> None:
+    if overwrite or tables.stored_files(spark, path) is None:
+        tables.write_table(table, path)
+
+
+def build_dims(spark: SparkSession, root: str, overwrite: bool = True) -> None:
+    """Full snapshots; ``overwrite=False`` leaves a dimension that is there."""
     fact = tables.read_table(spark, root, "dwd", "event_fact")
-    for name, build in {"dim_repo": dims.dim_repo, "dim_actor": dims.dim_actor, "dim_date": dims.dim_date}.items():
-        tables.write_table(build(fact), tables.table_path(root, "dwd", name))
+    for name, build in DIMENSIONS.items():
+        _build(spark, tables.table_path(root, "dwd", name), build(fact), overwrite)
 
 
-def build_rollups(spark: SparkSession, root: str) -> None:
+def build_rollups(spark: SparkSession, root: str, overwrite: bool = True) -> None:
     """The application tables, then the small summary that reports read instead of the fact."""
     fact = tables.read_table(spark, root, "dwd", "event_fact")
     for name, build in rollups.ADS_TABLES.items():
-        tables.write_table(build(fact), tables.table_path(root, "ads", name))
-    tables.write_table(rollups.daily_summary(fact), tables.table_path(root, "serving", "summary"))
+        _build(spark, tables.table_path(root, "ads", name), build(fact), overwrite)
+    _build(spark, tables.table_path(root, "serving", "summary"), rollups.daily_summary(fact), overwrite)
     summary = tables.read_table(spark, root, "serving", "summary")
-    tables.write_table(rollups.dataset_meta(summary), tables.table_path(root, "serving", "meta"))
+    _build(spark, tables.table_path(root, "serving", "meta"), rollups.dataset_meta(summary), overwrite)
 
 
 def build_warehouse(spark: SparkSession, raw_root: str, root: str, overwrite: bool = False) -> DataFrame:
@@ -151,12 +185,30 @@ def extract_report(spark: SparkSession, root: str, out: str) -> DataFrame:
     return both.withColumn("pct", F.round(F.col("rows") * 100 / F.greatest("full_rows", F.lit(1)), 1))
 
 
+def answer(spark: SparkSession, root: str, question: str) -> DataFrame | None:
+    """The canned report a question asks for, over the stored tables; None where no topic fits."""
+    asked = spark.createDataFrame([(question,)], "text string")
+    topic = texts.keyword_route(asked).first().topic
+    if topic is None:
+        return None
+    name, report = reports.QUESTIONS[topic]
+    layer = "dwd" if name == "event_fact" else "ads"
+    return texts.capped_answer(report(tables.read_table(spark, root, layer, name)))
+
+
+def run_statement(spark: SparkSession, text: str) -> DataFrame:
+    """Run a read-only statement over the registered views; refuse anything else."""
+    checked = texts.sql_text_audit(spark.createDataFrame([(text,)], "text string")).first()
+    if not checked.safe:
+        raise ValueError(f"refused: {checked.reason}")
+    return texts.capped_answer(spark.sql(checked.statement))
+
+
 def write_quality_report(spark: SparkSession, root: str, path: str, day=None) -> DataFrame:
     """Check the stored tables, write the report as JSON and return its summary; stop the run on ``gate_open = false``."""
     scope = "all" if day is None else str(day)
     rules = quality.quality_rules(tables.read_table(spark, root, "ods", "events"),
                                   tables.read_table(spark, root, "dwd", "event_fact"), day)
-    tables_path = f"{path.rstrip('/')}"
-    quality.quality_document(rules, scope).coalesce(1).write.mode("overwrite").json(tables_path)
-    document = spark.read.json(tables_path)
+    quality.quality_document(rules, scope).coalesce(1).write.mode("overwrite").json(path)
+    document = spark.read.json(path)
     return document.select("scope", "summary.*").withColumn("gate_open", F.col("blocking_failed") == 0)
