@@ -101,48 +101,53 @@ def hour_states(spark: SparkSession, raw_root: str, ods_path: str, first=None, l
     return expected.join(states, ["dt", "hour"], "left").na.fill("missing", ["state"])
 
 
+def _pending(spark: SparkSession, source: str, target: str, day: str, days: list | None, overwrite: bool) -> list:
+    if days is not None:
+        return days
+    return tables.stale_days(spark, source, None if overwrite else target, "dt", day)
+
+
 def build_fact_days(spark: SparkSession, ods_path: str, fact_path: str, days: list | None = None,
                     overwrite: bool = False) -> list:
-    """Write the fact for the given days, by default those landed but not in the fact yet; returns them.
+    """Write the fact for the given days, by default those new or changed since they were built; returns them.
 
     All days are one job: they share the cluster instead of taking turns, and
     the partition filter keeps the other days unread.
     """
-    ods = spark.read.parquet(ods_path)
-    if days is None:
-        pending = tables.stored_partitions(spark, ods_path, "dt")
-        done = None if overwrite else tables.stored_partitions(spark, fact_path, "dt")
-        pending = pending if done is None else pending.join(done, "dt", "left_anti")
-        days = [row.dt for row in pending.orderBy("dt").collect()]  # one entry per calendar day
+    days = _pending(spark, ods_path, fact_path, "dt", days, overwrite)
     if days:
-        picked = ods.filter(F.col("dt").isin([F.lit(str(d)).cast("date") for d in days]))
-        tables.write_days(fact_from_ods(picked), fact_path, "dt")
+        ods = tables.on_days(spark.read.parquet(ods_path), days)
+        tables.write_days(fact_from_ods(ods), fact_path, "dt")
     return days
 
 
 DIMENSIONS = {"dim_repo": dims.dim_repo, "dim_actor": dims.dim_actor, "dim_date": dims.dim_date}
 
 
-def _build(spark: SparkSession, path: str, table: DataFrame, overwrite: bool) -> None:
-    if overwrite or tables.stored_files(spark, path) is None:
-        tables.write_table(table, path)
-
-
-def build_dims(spark: SparkSession, root: str, overwrite: bool = True) -> None:
-    """Full snapshots; ``overwrite=False`` leaves a dimension that is there."""
-    fact = tables.read_table(spark, root, "dwd", "event_fact")
+def build_dims(spark: SparkSession, root: str, overwrite: bool = False) -> None:
+    """Full snapshots of every day in the fact, made anew where the fact has changed."""
+    fact_path = tables.table_path(root, "dwd", "event_fact")
     for name, build in DIMENSIONS.items():
-        _build(spark, tables.table_path(root, "dwd", name), build(fact), overwrite)
+        path = tables.table_path(root, "dwd", name)
+        if overwrite or tables.is_stale(spark, fact_path, path):
+            tables.write_table(build(spark.read.parquet(fact_path)), path)
+
 
+def build_rollups(spark: SparkSession, root: str, days: list | None = None, overwrite: bool = False) -> None:
+    """The application tables and the small summary that reports read instead of the fact.
 
-def build_rollups(spark: SparkSession, root: str, overwrite: bool = True) -> None:
-    """The application tables, then the small summary that reports read instead of the fact."""
-    fact = tables.read_table(spark, root, "dwd", "event_fact")
-    for name, build in rollups.ADS_TABLES.items():
-        _build(spark, tables.table_path(root, "ads", name), build(fact), overwrite)
-    _build(spark, tables.table_path(root, "serving", "summary"), rollups.daily_summary(fact), overwrite)
+    No rollup mixes days, so a run reads and replaces the new and changed days
+    only. ``date`` becomes a partition and report ranges read their days only.
+    """
+    fact_path = tables.table_path(root, "dwd", "event_fact")
+    targets = {tables.table_path(root, "ads", name): build for name, build in rollups.ADS_TABLES.items()}
+    targets[tables.table_path(root, "serving", "summary")] = rollups.daily_summary
+    for path, build in targets.items():
+        pending = _pending(spark, fact_path, path, "date", days, overwrite)
+        if pending:
+            tables.write_days(build(tables.on_days(spark.read.parquet(fact_path), pending)), path, "date")
     summary = tables.read_table(spark, root, "serving", "summary")
-    _build(spark, tables.table_path(root, "serving", "meta"), rollups.dataset_meta(summary), overwrite)
+    tables.write_table(rollups.dataset_meta(summary), tables.table_path(root, "serving", "meta"))
 
 
 def build_warehouse(spark: SparkSession, raw_root: str, root: str, overwrite: bool = False) -> DataFrame:
@@ -150,8 +155,8 @@ def build_warehouse(spark: SparkSession, raw_root: str, root: str, overwrite: bo
     ods_path, fact_path = tables.table_path(root, "ods", "events"), tables.table_path(root, "dwd", "event_fact")
     land(spark, raw_root, ods_path, overwrite)
     build_fact_days(spark, ods_path, fact_path, overwrite=overwrite)
-    build_dims(spark, root)
-    build_rollups(spark, root)
+    build_dims(spark, root, overwrite)
+    build_rollups(spark, root, overwrite=overwrite)
     return tables.register_views(spark, root)
 
 

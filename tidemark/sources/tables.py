@@ -42,6 +42,36 @@ def stored_partitions(spark: SparkSession, path: str, *columns: str) -> DataFram
     return files.select(*columns).distinct()
 
 
+def stale_days(spark: SparkSession, source: str, target: str | None, source_day: str = "dt",
+               target_day: str = "dt") -> list:
+    """Days of the source that the target lacks or built before the source's newest file; from the listings alone.
+
+    All days where there is no target. One entry per calendar day, so the list stays short however large the tables are.
+    """
+    made = stored_files(spark, source).groupBy(F.col(source_day).alias("day")).agg(
+        F.max("modificationTime").alias("made"))
+    files = stored_files(spark, target) if target else None
+    if files is not None and target_day in files.columns:
+        built = files.groupBy(F.col(target_day).alias("day")).agg(F.min("modificationTime").alias("built"))
+        made = made.join(built, "day", "left").filter(F.col("built").isNull() | (F.col("made") >= F.col("built")))
+    return [row.day for row in made.orderBy("day").collect()]
+
+
+def is_stale(spark: SparkSession, source: str, target: str) -> bool:
+    """Whether an unpartitioned target is absent or older than the source's newest file."""
+    files = stored_files(spark, target)
+    if files is None:
+        return True
+    made = stored_files(spark, source).agg(F.max("modificationTime").alias("t")).first().t
+    built = files.agg(F.min("modificationTime").alias("t")).first().t
+    return built is None or (made is not None and made >= built)
+
+
+def on_days(table: DataFrame, days: list, column: str = "dt") -> DataFrame:
+    """Rows of the given days; on a partition column the other days stay unread."""
+    return table.filter(F.col(column).isin([F.lit(str(d)).cast("date") for d in days]))
+
+
 def table_size(spark: SparkSession, path: str) -> DataFrame:
     """Rows (from the file footers), files and bytes of a stored table."""
     rows = spark.read.parquet(path).agg(F.count("*").alias("rows"))
