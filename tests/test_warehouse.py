@@ -13,11 +13,8 @@ from tidemark.sources.adapter import ods_from_events
 
 
 @pytest.fixture(scope="module")
-def root(spark, sf, tmp_path_factory):
-    path = str(tmp_path_factory.mktemp("warehouse"))
-    status = warehouse.build_warehouse(spark, catalog._raw_zone(spark, sf), path)
-    assert {r.status for r in status.collect()} == {"ready"}
-    return path
+def root(spark, sf):
+    return catalog._warehouse(spark, sf)
 
 
 @pytest.fixture

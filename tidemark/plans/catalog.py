@@ -225,6 +225,11 @@ def _landed(spark: SparkSession, sf_dir: str, path: str) -> None:
     warehouse.land(spark, _raw_zone(spark, sf_dir), path)
 
 
+@_once("warehouse")
+def _warehouse(spark: SparkSession, sf_dir: str, path: str) -> None:
+    warehouse.build_warehouse(spark, _raw_zone(spark, sf_dir), path)
+
+
 def _pipeline_queries() -> dict[str, Query]:
     """Queries that go through files: written by Spark from the given tables, then read back."""
 
@@ -258,13 +263,10 @@ def _pipeline_queries() -> dict[str, Query]:
         return spark.read.parquet(fact_path)
 
     def catalog_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return warehouse.build_warehouse(spark, _raw_zone(spark, sf_dir), scratch_dir(spark, "warehouse"))
+        return tables.register_views(spark, _warehouse(spark, sf_dir))
 
     def extract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-        root = scratch_dir(spark, "warehouse")
-        tables.write_days(fact_from_events(spark, sf_dir), tables.table_path(root, "dwd", "event_fact"), "dt")
-        warehouse.build_rollups(spark, root)
-        return warehouse.write_extract(spark, root, scratch_dir(spark, "extract"), rows=20)
+        return warehouse.write_extract(spark, _warehouse(spark, sf_dir), scratch_dir(spark, "extract"), rows=20)
 
     def bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         events = raw_lines_from_events(spark, sf_dir).select(F.lit("events").alias("source"), "line")
