@@ -203,9 +203,8 @@ def hour_grid(span: DataFrame) -> DataFrame:
 def missing_hours(landed: DataFrame, expected: DataFrame | None = None) -> DataFrame:
     """Expected hours without a landed row; by default every hour of the span of landed days.
 
-    The landed pairs serve as span and as counterpart, so the rows are read once.
+    For a stored table pass ``tables.stored_partitions``: its listing answers without a scan.
     """
-    pairs = landed.select("dt", "hour").na.drop().distinct()
     if expected is None:
-        expected = hour_grid(pairs.agg(F.min("dt").alias("lo"), F.max("dt").alias("hi")))
-    return expected.join(pairs, ["dt", "hour"], "left_anti")
+        expected = hour_grid(landed.agg(F.min("dt").alias("lo"), F.max("dt").alias("hi")))
+    return expected.join(landed.select("dt", "hour").distinct(), ["dt", "hour"], "left_anti")
