@@ -12,6 +12,8 @@ import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+         "timestamp": "TIMESTAMP", "boolean": "BOOLEAN"}
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
@@ -38,8 +40,12 @@ def _rows(columns: list[str], rows: list) -> tuple[list[str], list[tuple]]:
 
 
 def difference(spark, con, query, sql: str, sf_dir: str) -> str | None:
-    """None where both results are the same multiset of rows."""
+    """None where both results have the same typed columns and are the same multiset of rows."""
     df = query(spark, sf_dir)
+    got_types = {f.name: KINDS.get(f.dataType.simpleString()) for f in df.schema.fields}
+    want_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    if got_types != want_types:
+        return f"types {got_types} != {want_types}"
     got_cols, got = _rows(df.columns, df.collect())
     cur = con.execute(sql)
     want_cols, want = _rows([d[0] for d in cur.description], cur.fetchall())
