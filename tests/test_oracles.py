@@ -4,10 +4,11 @@ import pytest
 
 import __spark_entry__ as contract
 from tests.conftest import SF
+from tidemark.plans import catalog, oracles
 from tests.oracle_check import connect, difference
 
-ORACLES = contract.oracle_sql()
-QUERIES = contract.queries()
+ORACLES = oracles.oracle_sql()
+QUERIES = catalog.queries()
 
 
 @pytest.fixture(scope="module")
