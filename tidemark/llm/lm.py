@@ -10,6 +10,7 @@ and the occurrences of other words meet their counts in a shuffle.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,8 +42,8 @@ FREQUENT = 100_000
 TRUST = 0.6
 
 #: N-grams that a task folds at a time, and words that a worker keeps hashes of.
-_FOLD = 1 << 22
-_REMEMBERED = 500_000
+_FOLD = 1 << 21
+_REMEMBERED = 150_000
 
 _END, _START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 _MUL, _MUL2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -75,33 +76,37 @@ def ngrams(tokens: np.ndarray, starts: np.ndarray, order: int) -> np.ndarray:
 
 
 class Words:
-    """Hashes of words, remembered for as long as the worker lives."""
+    """Numbers of words with their hashes, remembered within bounds."""
 
     def __init__(self) -> None:
         self.known: dict[bytes, int] = {}
+        self.hashes = np.zeros(0, np.uint64)
 
-    def hashes(self, words: list[bytes]) -> np.ndarray:
+    def numbers(self, words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
+        """The number of each word, and the words that are numbered for the first time."""
+        if len(self.known) > _REMEMBERED:
+            self.__init__()
         known = self.known
-        if len(known) > _REMEMBERED:
-            known.clear()
-        for word in set(words):
-            if word not in known:
-                known[word] = xxhash.xxh64_intdigest(word, 1)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        new = [w for w in set(words) if w not in known]
+        known.update(zip(new, range(len(known), len(known) + len(new))))
+        self.hashes = np.concatenate([self.hashes, np.array([xxhash.xxh64_intdigest(w, 1) for w in new], np.uint64)])
+        return np.fromiter(map(known.__getitem__, words), np.int64, len(words)), new
 
 
-def _tokens(texts: list[str], words: Words) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """Words of all texts; token hashes with each text's end; each token's place; tokens of each text."""
+def _split(texts: list[str]) -> tuple[list[bytes], np.ndarray]:
+    """The words of all texts in a row, and the tokens of each text: its words and its end."""
     split = [t.encode().translate(ASCII_LOWER).split() for t in texts]
-    sizes = np.array([len(s) + 1 for s in split], np.int64)
-    flat = [w for s in split for w in s]
+    return [w for s in split for w in s], np.array([len(s) + 1 for s in split], np.int64)
+
+
+def _with_ends(hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Token hashes with each text's end, and each token's place in its text."""
     tokens = np.full(int(sizes.sum()), _END, np.uint64)
     ends = np.cumsum(sizes) - 1
     inner = np.ones(len(tokens), bool)
     inner[ends] = False
-    tokens[inner] = words.hashes(flat)
-    places = np.arange(len(tokens)) - np.repeat(ends + 1 - sizes, sizes)
-    return flat, tokens, places, sizes
+    tokens[inner] = hashes
+    return tokens, np.arange(len(tokens)) - np.repeat(ends + 1 - sizes, sizes)
 
 
 def _five_bytes(hashes: np.ndarray) -> bytes:
@@ -135,7 +140,7 @@ def _gathered(order: int, segments: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["segment", "hashes", "counts", "word", "n"]
-        words, tally, pieces, held = Words(), {}, [], 0
+        words, tally, pieces, held = Words(), Counter(), [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal tally, pieces, held
@@ -150,13 +155,14 @@ def _gathered(order: int, segments: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(segment, pa.int32()), pa.array(hashes, pa.binary()), pa.array(counts, pa.binary()),
                      pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64())], names)
-            tally, pieces, held = {}, [], 0
+            tally, pieces, held = Counter(), [], 0
 
         for _, texts in text_slices(batches, "text"):
-            flat, tokens, places, sizes = _tokens(texts, words)
-            for word in flat:
-                tally[word] = tally.get(word, 0) + 1
-            tally[b" "] = tally.get(b" ", 0) + len(sizes)  # the end of a text; no word is a space
+            flat, sizes = _split(texts)
+            numbers, _ = words.numbers(flat)
+            tokens, places = _with_ends(words.hashes[numbers], sizes)
+            tally.update(flat)
+            tally[b" "] += len(sizes)  # the end of a text; no word is a space
             pieces += [ngrams(tokens, places, n) for n in range(1, order + 1)]
             held += order * len(tokens)
             if held >= _FOLD:
@@ -293,26 +299,25 @@ def score(docs: DataFrame, model: Model, vocabulary: DataFrame, keep: list[str],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, words = sent.value, Words()
-        often = {w: np.log10((n + 0.5) / divisor) for w, n in own.frequent.items()}
+        often = {w: float(np.log10((n + 0.5) / divisor)) for w, n in own.frequent.items()}
+        end = often.get(b" ", float(np.log10(0.5 / divisor)))
+        exact = np.zeros(0)  # by a word's number: its part of the base score, NaN for words that are not frequent
         for rows, texts in text_slices(batches, "_text"):
-            flat, tokens, places, sizes = _tokens(texts, words)
+            flat, sizes = _split(texts)
+            numbers, new = words.numbers(flat)
+            exact = np.concatenate([exact[: len(words.known) - len(new)], [often.get(w, np.nan) for w in new]])
+            tokens, places = _with_ends(words.hashes[numbers], sizes)
             ends = np.cumsum(sizes)
-            logs = own.log_probabilities(tokens, places)
-            total = np.add.reduceat(logs, ends - sizes)
-            base, known, rare, at = [], [], [], 0
-            end = often.get(b" ")
-            for size in (sizes - 1).tolist():
-                mine = flat[at: at + size]
-                at += size
-                found = [often[w] for w in mine if w in often]
-                rest: dict[bytes, int] = {}
-                if len(found) < size:
-                    for w in mine:
-                        if w not in often:
-                            rest[w] = rest.get(w, 0) + 1
-                base.append(sum(found) + (end if end is not None else np.log10(0.5 / divisor)))
-                known.append(len(found) + (end is not None))
-                rare.append([{"word": w, "times": n} for w, n in rest.items()])
+            total = np.add.reduceat(own.log_probabilities(tokens, places), ends - sizes)
+            logs = exact[numbers]
+            text_of = np.repeat(np.arange(len(sizes)), sizes - 1)
+            unknown = np.isnan(logs)
+            base = np.bincount(text_of, np.where(unknown, 0.0, logs), len(sizes)) + end
+            known = np.bincount(text_of[~unknown], minlength=len(sizes)) + (b" " in often)
+            tails: list[dict[bytes, int]] = [{} for _ in texts]
+            for i, t in zip(np.flatnonzero(unknown).tolist(), text_of[unknown].tolist()):
+                tails[t][flat[i]] = tails[t].get(flat[i], 0) + 1
+            rare = [[{"word": w, "times": n} for w, n in tail.items()] for tail in tails]
             kind = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
                 [*(rows.column(c) for c in keep), pa.array(sizes), pa.array(known, pa.int64()),
