@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.llm.common import carried, schema_with, text_slices
 
 #: Distinct pieces that a worker remembers before it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 
 #: Longer pieces, in bytes, are merged by a heap instead of a row of a matrix.
 LONGEST_ROW = 256
