@@ -45,13 +45,18 @@ def _delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, and read again after a lost executor."""
-    path = shared_path(df.sparkSession, label)
-    df.write.parquet(path)
+    path = path or shared_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a stored table that nothing will read again."""
+    _delete(spark, path)
+
+
 def salt_of(*columns: Column | str) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int")
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import ASCII_LOWER, schema_with, stored, text_slices
+from tidemark.llm.common import ASCII_LOWER, discard, schema_with, shared_path, stored, text_slices
 
 #: Longest n-gram of the model.
 ORDER = 2
@@ -27,10 +27,10 @@ ORDER = 2
 #: Base of the logarithm that counts are rounded down to.
 BASE = 2.0
 
-#: Hashes of an entry, bits for each character of training text (about six bits for an
+#: Hashes of an entry, bits for each character of training text (four to eight for an
 #: entry), and the largest filter, 64 MB. Beyond some 100 million entries false hits
 #: grow instead: the share of set bits to the power HASHES.
-HASHES, BITS_PER_CHAR, MOST_BITS = 3, 0.6, 1 << 29
+HASHES, BITS_PER_CHAR, MOST_BITS = 3, 0.35, 1 << 29
 
 #: Parts of the filter, each built in a task of its own.
 SEGMENTS = 256
@@ -271,8 +271,9 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER, base: flo
     texts = docs.select(F.col(text_col).alias("text"))
     chars = texts.agg(F.sum(F.char_length("text"))).first()[0] or 0
     bits = 1 << max(10, int(np.ceil(np.log2(max(1, min(most_bits, chars * BITS_PER_CHAR) / segments)))))
+    path = shared_path(docs.sparkSession, "gathered")
     gathered = stored(texts.mapInArrow(
-        _gathered(order, segments), "segment int, hashes binary, counts binary, word binary, n long"), "gathered")
+        _gathered(order, segments), "segment int, hashes binary, counts binary, word binary, n long"), "gathered", path)
     vocabulary = stored(gathered.filter("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("n")), "words")
     sums = vocabulary.agg(F.sum("n").alias("tokens"), F.count("*").alias("types")).first()
     tokens, types = sums.tokens or 0, sums.types
@@ -282,6 +283,7 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER, base: flo
     data = np.zeros(segments * bits // 8, np.uint8)
     for row in stored(built, "segments").toLocalIterator():
         data[row.segment * bits // 8: (row.segment + 1) * bits // 8] = np.frombuffer(row.data, np.uint8)
+    discard(docs.sparkSession, path)
     table = {bytes(r.word): r.n for r in often.toLocalIterator()}
     return Model(Filter(data, bits, segments, base), order, tokens, types, table), vocabulary
 
