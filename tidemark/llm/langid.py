@@ -9,7 +9,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import carried, schema_with, stored, text_slices
+from tidemark.llm.common import carried, salt_of, schema_with, stored, text_slices
 
 #: Labelled documents of each language that the model is fitted on, chosen by hash.
 SAMPLE = 1_000
@@ -144,8 +144,12 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", sample: int = SAMPLE, entri
     labelled = labelled.filter("text IS NOT NULL AND lang IS NOT NULL")
     order = Window.partitionBy("lang").orderBy("_hash")
     hashed = labelled.withColumn("_hash", F.xxhash64(F.col(id_col).cast("string")))
+    # First within salts, so that a common language is not ranked in one task.
+    salted = Window.partitionBy("lang", "_salt").orderBy("_hash")
+    few = hashed.select("lang", "_hash", salt_of("_hash").alias("_salt")).withColumn(
+        "_rank", F.row_number().over(salted)).filter(F.col("_rank") <= sample)
     limit = stored(
-        hashed.select("lang", "_hash").withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= sample)
+        few.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= sample)
         .groupBy("lang").agg(F.max("_hash").alias("_most")), "sample")
     chosen = hashed.join(limit, "lang").filter("_hash <= _most").groupBy("lang", "_hash").agg(
         F.first("text").alias("text")).select("lang", "text")
