@@ -95,9 +95,10 @@ def _search(top: int):
                 for q, query in enumerate(asked):
                     others = np.flatnonzero(ids != query)
                     best = others[best_of(scores[q, others], ids[others], top)]
-                    out.append((np.full(len(best), query), np.full(len(best), row["q_block"] << 32 | q), ids[best], scores[q, best]))
+                    out.append((np.full(len(best), query), np.full(len(best), row["q_block"]), np.full(len(best), q),
+                                ids[best], scores[q, best]))
                 columns = [pa.array(np.concatenate(c)) for c in zip(*out)]
-                yield pa.RecordBatch.from_arrays(columns, ["query_id", "query", "vec_id", "score"])
+                yield pa.RecordBatch.from_arrays(columns, ["query_id", "q_block", "query", "vec_id", "score"])
 
     return run
 
@@ -130,8 +131,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, top: int = TOP, scale: int = S
         asked.select("q_block", F.col("ids").alias("q_ids"), F.col("width").alias("q_width"),
                      F.col("weights").alias("q_weights")), "q_block")
     found = work.repartition("q_block", "block").mapInArrow(
-        _search(top), "query_id long, query long, vec_id long, score long")
-    order = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
+        _search(top), "query_id long, q_block long, query long, vec_id long, score long")
+    order = Window.partitionBy("query_id", "q_block", "query").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
