@@ -218,12 +218,6 @@ class _Memory:
         return self.ids[np.arange(ends[-1]) + np.repeat(self.start[which] - (ends - size), size)]
 
 
-@lru_cache(maxsize=2)
-def _memory(path: str) -> _Memory:
-    """Kept for as long as Spark keeps the Python worker."""
-    return _Memory()
-
-
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The ``keep`` columns of ``docs`` (all but the text if None) and ``ids array<int>``.
 
@@ -235,7 +229,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", kee
     inputs = docs.select(*keep, F.col(text_col).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, split, memory = codec(path), regex.compile(pattern).findall, _memory(path)
+        code, split, memory = codec(path), regex.compile(pattern).findall, _Memory()
         for rows, texts in text_slices(batches, "_text"):
             pieces = [split(text) for text in texts]
             memory.learn(set().union(*pieces), code)
@@ -244,7 +238,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", kee
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(coded)))
             yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in keep), ids], [*keep, "ids"])
             if len(memory.index) > REMEMBERED:
-                memory.__init__()
+                memory = _Memory()
 
     return inputs.mapInArrow(run, schema_with(docs, keep, "ids array<int>"))
 

@@ -14,8 +14,8 @@ from tidemark.llm.common import carried, salt_of, schema_with, stored, text_slic
 #: Labelled documents of each language that the model is fitted on, chosen by hash.
 SAMPLE = 1_000
 
-#: Entries of the model at most (words and n-grams of all languages): some 100 MB in a worker.
-ENTRIES = 400_000
+#: Entries of the model at most (words and n-grams of all languages): some 50 MB in a worker.
+ENTRIES = 200_000
 
 #: Lengths of the character n-grams, from the longest down; words are padded by a space.
 GRAMS = (5, 4, 3, 2, 1)
@@ -31,7 +31,7 @@ LEAST = 0.5
 
 _WORD = regex.compile(r"[\p{L}\p{M}]+")
 _LETTER = regex.compile(r"\p{L}")
-_REMEMBERED = 300_000
+_REMEMBERED = 100_000
 
 #: The word and n-gram kinds of an entry: 0 for whole words, else the length.
 _ENTRY = "lang string, kind int, gram string, n long"
