@@ -55,7 +55,7 @@ def ods_type_share(ods: DataFrame, top: int = 10) -> DataFrame:
 
 def ods_top_repos(ods: DataFrame, top: int = 10) -> DataFrame:
     counts = ods.groupBy("repo_name").agg(F.count("*").alias("n"))
-    return counts.orderBy(F.desc("n"), "repo_name").limit(min(top, 10))
+    return counts.orderBy(F.desc("n"), "repo_name").limit(top)
 
 
 def mean_text_length(rows: DataFrame, column: str = "payload") -> DataFrame:

@@ -46,7 +46,7 @@ def hour_completeness(df: DataFrame, day: str = "dt", hour: str = "hour") -> Dat
     """The poorest day's number of hours and the days short of 24, of the days present."""
     short = F.col("hour_cnt") < fixed.HOURS_PER_DAY
     listed = F.transform(
-        F.slice(F.array_sort(F.collect_list(F.when(short, F.struct("dt", "hour_cnt")))), 1, 6),
+        F.array_sort(F.collect_list(F.when(short, F.struct("dt", "hour_cnt")))),
         lambda x: F.concat(x["dt"].cast("string"), F.lit(" ("), x["hour_cnt"].cast("string"), F.lit("h)")))
     return hours_by_day(df, day, hour).agg(
         F.count("*").alias("days"),

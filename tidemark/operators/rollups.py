@@ -34,14 +34,34 @@ def _daily_rank(fact: DataFrame, key: str, label: str, distinct: dict, counts: l
         *[F.count_distinct(c).alias(n) for n, c in distinct.items()],
         *type_counts(counts),
     )
-    if exact:
-        return ranked
-    whole_key = Window.partitionBy("date", key, F.when(F.col(key).isNull(), F.col(label)))
+    return ranked if exact else _whole_key(ranked, key, label, counts)
+
+
+def _whole_key(ranked: DataFrame, key: str, label: str, counts: list) -> DataFrame:
+    window = Window.partitionBy("date", key, F.when(F.col(key).isNull(), F.col(label)))
     return ranked.withColumns({
-        n: F.when(F.col(key).isNotNull(), F.sum(n).over(whole_key)) for n in counts
+        n: F.when(F.col(key).isNotNull(), F.sum(n).over(window)) for n in counts
     })
 
 
+def top_rank_per_day(fact: DataFrame, name: str, rows: int = fixed.EXTRACT_ROWS_PER_DAY) -> DataFrame:
+    """``top_per_day`` of a rank table straight from the fact.
+
+    Labels are ranked by their own events first and cut to the top rows in every
+    task. The counts of whole keys, which play no part in the order, are then
+    taken for the keys that are left: at most ``rows`` for each day.
+    """
+    build, (key, *rest) = ADS_TABLES[name], RANK_TIES[name]
+    if not rest:
+        return top_per_day(build(fact), key, rows=rows)
+    counts = list(fixed.COUNT_COLUMNS)
+    top = top_per_day(build(fact, exact=True), key, *rest, rows=rows)
+    keys = top.filter(F.col(key).isNotNull()).select("date", key).distinct()
+    whole = fact.filter(F.col(key).isNotNull()).select(F.col("dt").alias("date"), *[c for c in fact.columns if c != "date"]).join(
+        keys, ["date", key], "left_semi").groupBy("date", key).agg(*type_counts(counts))
+    return top.drop(*counts).join(whole, ["date", key], "left").select(top.columns)
+
+
 def daily_repo_rank(fact: DataFrame, exact: bool = False) -> DataFrame:
     return _daily_rank(fact, "repo_id", "repo_name", {"actor_cnt": "actor_id"},
                        list(fixed.COUNT_COLUMNS), exact)
@@ -100,7 +120,11 @@ def dataset_meta(summary: DataFrame, kind: str = "full") -> DataFrame:
 
 def top_per_day(rank: DataFrame, *tie: str, rows: int = fixed.EXTRACT_ROWS_PER_DAY,
                 day: str = "date", measure: str = "event_cnt") -> DataFrame:
-    """The largest rows of each day. Planned with a partial limit, so a long day is cut before the shuffle."""
+    """The largest rows of each day.
+
+    Planned with a partial limit, so that a long day is cut before its shuffle, unless
+    ``rank`` ends in a window of its own: then ``top_rank_per_day`` is the way.
+    """
     place = F.row_number().over(Window.partitionBy(day).orderBy(F.desc(measure), *tie))
     return rank.withColumn("_place", place).filter(F.col("_place") <= rows).drop("_place")
 

@@ -17,9 +17,6 @@ from tidemark.streaming.landing import land_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-#: The whole span of ``events``: the range filter is part of the reports.
-FIRST, LAST = "2024-01-01", "2024-01-30"
-
 # Phrases the routing query looks for in the given conversations.
 CONVERSATION_TOPICS = {
     "english": ["the ", "and", "ing", "that", "with"],
@@ -85,12 +82,12 @@ def _rollup_queries() -> dict[str, Query]:
         "daily_pr_funnel": _fact(rollups.daily_pr_funnel),
         "daily_summary": _fact(rollups.daily_summary),
         "dataset_meta": _fact(lambda f: rollups.dataset_meta(rollups.daily_summary(f)).drop("built_at")),
-        "topn_repo_per_day": _fact(lambda f: rollups.top_per_day(
-            rollups.daily_repo_rank(f), *rollups.RANK_TIES["daily_repo_rank"], rows=20)),
-        "topn_actor_per_day": _fact(lambda f: rollups.top_per_day(
-            rollups.daily_actor_active(f), *rollups.RANK_TIES["daily_actor_active"], rows=20)),
-        "topn_org_per_day": _fact(lambda f: rollups.top_per_day(
-            rollups.daily_org_rank(f), *rollups.RANK_TIES["daily_org_rank"], rows=3)),
+        "topn_repo_per_day": _fact(
+            lambda f: rollups.top_rank_per_day(f, "daily_repo_rank", rows=20)),
+        "topn_actor_per_day": _fact(
+            lambda f: rollups.top_rank_per_day(f, "daily_actor_active", rows=20)),
+        "topn_org_per_day": _fact(
+            lambda f: rollups.top_rank_per_day(f, "daily_org_rank", rows=3)),
         "orders_daily_funnel": _on("orders", _orders_funnel),
         "topn_part_per_day": _on("lineitem", _top_parts),
     }
@@ -132,21 +129,22 @@ def _fact_queries() -> dict[str, Query]:
 
 
 def _report_queries() -> dict[str, Query]:
-    def over(rollup: Callable[[DataFrame], DataFrame], report: Callable, *args) -> Query:
-        return _fact(lambda f: report(rollup(f), *args))
+    # Ranges are open at both ends: all days that there are.
+    def over(rollup: Callable[[DataFrame], DataFrame], report: Callable, **args) -> Query:
+        return _fact(lambda f: report(rollup(f), **args))
 
-    heat = lambda f: reports.hour_heatmap(rollups.hourly_activity(f), FIRST, LAST)
-    series = lambda f: reports.funnel_series(rollups.daily_pr_funnel(f), FIRST, LAST)
+    heat = lambda f: reports.hour_heatmap(rollups.hourly_activity(f))
+    series = lambda f: reports.funnel_series(rollups.daily_pr_funnel(f))
     out = {
         "available_dates": over(rollups.daily_event_type, reports.available_dates),
-        "kpi_range": over(rollups.daily_summary, reports.kpi_range, FIRST, LAST),
-        "event_mix_top7": over(rollups.daily_event_type, reports.event_mix, FIRST, LAST, 7),
-        "event_mix_top3": over(rollups.daily_event_type, reports.event_mix, FIRST, LAST, 3),
-        "repo_leaderboard": over(rollups.daily_repo_rank, reports.repo_leaderboard, FIRST, LAST),
-        "contributor_leaderboard": over(rollups.daily_actor_active, reports.contributor_leaderboard, FIRST, LAST, True),
+        "kpi_range": over(rollups.daily_summary, reports.kpi_range),
+        "event_mix_top7": over(rollups.daily_event_type, reports.event_mix, top=7),
+        "event_mix_top3": over(rollups.daily_event_type, reports.event_mix, top=3),
+        "repo_leaderboard": over(rollups.daily_repo_rank, reports.repo_leaderboard),
+        "contributor_leaderboard": over(rollups.daily_actor_active, reports.contributor_leaderboard, hide_bots=True),
         "contributor_leaderboard_all": over(
-            rollups.daily_actor_active, reports.contributor_leaderboard, FIRST, LAST, False),
-        "org_leaderboard": over(rollups.daily_org_rank, reports.org_leaderboard, FIRST, LAST),
+            rollups.daily_actor_active, reports.contributor_leaderboard, hide_bots=False),
+        "org_leaderboard": over(rollups.daily_org_rank, reports.org_leaderboard),
         "hour_heatmap": _fact(heat),
         "hour_heatmap_wide": _fact(lambda f: reports.hour_heatmap_wide(heat(f))),
         "peak_trough": _fact(lambda f: reports.peak_trough(heat(f))),
@@ -204,10 +202,9 @@ def _profile_queries() -> dict[str, Query]:
 
 
 def _text_queries() -> dict[str, Query]:
-    users = lambda t: t.filter(F.col("role") == "user")
     return {
         "keyword_route": _on("conversations", lambda t: texts.keyword_route(
-            users(t), topics=CONVERSATION_TOPICS).drop("text")),
+            t, topics=CONVERSATION_TOPICS).drop("text")),
         "sql_text_audit": _on("documents", lambda t: texts.sql_text_audit(t).select(
             "doc_id", "safe", "reason", F.length("statement").alias("statement_chars"))),
     }

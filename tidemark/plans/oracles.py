@@ -98,7 +98,7 @@ _ADS = {
                      "count(DISTINCT actor_id) AS actors FROM fact GROUP BY dt",
 }
 
-_SPAN = "date BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'"
+_SPAN = "date IS NOT NULL"
 _HUMAN = "actor_login NOT LIKE '%[bot]' AND actor_login NOT LIKE '%-bot'"
 
 _DIM_REPO = """
@@ -196,7 +196,7 @@ def _hours(source: str, day: str, hour: str) -> str:
     return f"""
   days AS (SELECT {day} AS dt, count(DISTINCT {hour}) AS h FROM {source} GROUP BY 1)
   SELECT count(*) AS days, coalesce(min(h), 0) AS worst_hours, count(*) FILTER (h < 24) AS short_days,
-         coalesce(array_to_string(list_sort(list(dt || ' (' || h || 'h)') FILTER (h < 24))[1:6], ', '), '')
+         coalesce(array_to_string(list_sort(list(dt || ' (' || h || 'h)') FILTER (h < 24)), ', '), '')
            AS short_list,
          coalesce(min(h), 0) >= 23 AS passed
   FROM days"""
@@ -267,7 +267,7 @@ def _route(topics: dict[str, list[str]]) -> str:
   SELECT conv_id, turn, role, CASE WHEN {best} > 0 THEN CASE {cases} END END AS topic,
          CASE WHEN {best} > 0 THEN CAST({best} AS INTEGER) END AS score
   FROM (SELECT conv_id, turn, role, {scores}
-        FROM (SELECT *, lower(text) AS t FROM conversations WHERE role = 'user'))"""
+        FROM (SELECT *, lower(text) AS t FROM conversations))"""
 
 
 _EDGE = r"[^\p{L}\p{N}\p{M}\p{Pc}]"
@@ -460,7 +460,8 @@ UNION ALL SELECT 'events', count(*), 0 FROM events""",
             for layer, name, body in [
                 ("ods", "events", "SELECT * FROM ods"), ("dwd", "event_fact", "SELECT * FROM fact"),
                 ("dwd", "dim_repo", _DIM_REPO), ("dwd", "dim_actor", _DIM_ACTOR), ("dwd", "dim_date", _DIM_DATE),
-                *[("ads", name, _ADS[name]) for name in _ADS if name != "daily_summary"]]) + ")",
+                *[("ads", name, _ADS[name]) for name in _ADS if name != "daily_summary"],
+                ("serving", "summary", _ADS["daily_summary"]), ("serving", "meta", "SELECT 1")]) + ")",
         "extract_report": f"WITH {_FACT} SELECT *, round(rows * 100::DOUBLE / greatest(full_rows, 1), 1) AS pct FROM ("
                           + " UNION ALL ".join(
             f"SELECT '{name}' AS \"table\", CAST(sum({'least(n, 20)' if 'rank' in name or 'active' in name else 'n'}) "

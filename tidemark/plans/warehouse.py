@@ -7,6 +7,8 @@ works on hours and days that are not there yet.
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -117,10 +119,14 @@ def build_fact_days(spark: SparkSession, ods_path: str, fact_path: str, days: li
     days = _pending(spark, ods_path, fact_path, "dt", days, overwrite)
     if days:
         ods = tables.on_days(spark.read.parquet(ods_path), days)
-        tables.write_days(fact_from_ods(ods), fact_path, "dt")
+        tables.write_days(fact_from_ods(ods), fact_path, "dt", asked={(_date(d),) for d in days})
     return days
 
 
+def _date(day: dt.date | str) -> dt.date:
+    return dt.date.fromisoformat(day) if isinstance(day, str) else day
+
+
 DIMENSIONS = {"dim_repo": dims.dim_repo, "dim_actor": dims.dim_actor, "dim_date": dims.dim_date}
 
 
@@ -145,7 +151,8 @@ def build_rollups(spark: SparkSession, root: str, days: list | None = None, over
     for path, build in targets.items():
         pending = _pending(spark, fact_path, path, "date", days, overwrite)
         if pending:
-            tables.write_days(build(tables.on_days(spark.read.parquet(fact_path), pending)), path, "date")
+            tables.write_days(build(tables.on_days(spark.read.parquet(fact_path), pending)), path, "date",
+                              asked={(_date(d),) for d in pending})
     summary = tables.read_table(spark, root, "serving", "summary")
     tables.write_table(rollups.dataset_meta(summary), tables.table_path(root, "serving", "meta"))
 
@@ -206,9 +213,36 @@ def run_statement(spark: SparkSession, text: str) -> DataFrame:
     checked = texts.sql_text_audit(spark.createDataFrame([(text,)], "text string")).first()
     if not checked.safe:
         raise ValueError(f"refused: {checked.reason}")
+    reason = _reaches_out(spark, checked.statement)
+    if reason:
+        raise ValueError(f"refused: {reason}")
     return texts.capped_answer(spark.sql(checked.statement))
 
 
+# Functions that run code or read files outside the registered views.
+_OUTSIDE = {"java_method", "reflect", "try_reflect", "read_files", "input_file_name"}
+
+
+def _reaches_out(spark: SparkSession, statement: str) -> str | None:
+    """What a statement names besides registered views and its own WITH names; None where nothing.
+
+    The statement is parsed, not run: its relations and functions are read off the
+    unresolved plan, subqueries included, so quoting and comments hide nothing.
+    """
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(statement)
+    views = {r.viewName.lower() for r in spark.sql("SHOW VIEWS").select("viewName").collect()}  # one per table
+    text = plan.toString()
+    own = {n.strip().lower() for names in re.findall(r"CTE \[([^\]]*)\]", text) for n in names.split(",")}
+    for name in re.findall(r"'UnresolvedRelation \[([^\]]*)\]", text):
+        if name.lower() not in views | own:
+            return f"not a registered view: {name}"
+    if "UnresolvedTableValuedFunction" in text:
+        return "table functions"
+    called = {f.lower() for f in re.findall(r"'(?:\w+\.)*(\w+)\(", text)} | {f.lower() for f in re.findall(r"(\w+)\s*\(", statement)}
+    bad = sorted(called & _OUTSIDE)
+    return f"function {bad[0]}" if bad else None
+
+
 def write_quality_report(spark: SparkSession, root: str, path: str, day=None) -> DataFrame:
     """Check the stored tables, write the report as JSON and return its summary; stop the run on ``gate_open = false``."""
     scope = "all" if day is None else str(day)

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import SparkSession
@@ -33,12 +32,24 @@ def pin_utc(spark: SparkSession) -> None:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path in the cluster's shared checkpoint folder.
+    """A fresh path in the cluster's shared checkpoint folder, deleted when the driver ends.
 
-    Falls back to a local temporary folder only where no folder is configured,
-    which is the case in tests.
+    An error where no folder is set: a local one would not be seen by other machines.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = os.environ.get("TIDEMARK_TEST_SCRATCH") or tempfile.mkdtemp(prefix="tidemark-")
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        folder = spark.sparkContext._jsc.sc().getCheckpointDir()
+        root = folder.get() if folder.isDefined() else None
+    if not root:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    atexit.register(delete, spark, path)
+    return path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, if the application is still there."""
+    context = spark.sparkContext
+    if context._jsc is not None and not context._jsc.sc().isStopped():
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)

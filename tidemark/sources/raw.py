@@ -102,14 +102,18 @@ def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
 
     A line is good when it is one JSON object of the envelope's shape and
     nothing else. Spark stops reading at the end of the first value, so the line
-    is set into a frame with an end mark; text after the object then breaks the
-    frame or hides the mark.
+    is set into a frame that ends with the line's own hash, which no line can
+    hold: the value that Spark reads has to reach the frame's end. A line that
+    closes the array itself has to open a further key to get there, and shows by
+    the number of keys.
     """
-    frame = F.concat(F.lit('{"lines":['), F.col(line), F.lit('],"end":true}'))
-    shape = f"lines array<{schemas.ENVELOPE.simpleString()}>, end boolean, _bad string"
+    mark = F.sha2(F.col(line).cast("binary"), 256)
+    text = F.concat(F.lit('{"lines":['), F.col(line), F.lit('],"end":"'), mark, F.lit('"}'))
+    shape = f"lines array<{schemas.ENVELOPE.simpleString()}>, end string, _bad string"
     options = {"columnNameOfCorruptRecord": "_bad", "allowSingleQuotes": "false"}
-    good = (F.size("_frame.lines") == 1) & F.col("_frame.end") & F.col("_frame._bad").isNull()
-    parsed = lines.withColumn("_frame", F.from_json(frame, shape, options))
+    good = ((F.size("_frame.lines") == 1) & (F.col("_frame.end") == mark) & F.col("_frame._bad").isNull()
+            & (F.size(F.json_object_keys(text)) == 2))
+    parsed = lines.withColumn("_frame", F.from_json(text, shape, options))
     # A generator, not a projection: a later filter on the event stays above it
     # instead of being moved down as a second parse.
     event = F.explode_outer(F.when(good, F.col("_frame.lines"))).alias("event")

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-#: Tables of a warehouse folder: layer, name, and whether it is partitioned.
+from tidemark.session import delete
+
+#: Tables of a warehouse folder: layer and name.
 LAYOUT = [
     ("ods", "events"),
     ("dwd", "event_fact"), ("dwd", "dim_repo"), ("dwd", "dim_actor"), ("dwd", "dim_date"),
     ("ads", "daily_event_type"), ("ads", "daily_repo_rank"), ("ads", "daily_actor_active"),
     ("ads", "daily_org_rank"), ("ads", "hourly_activity"), ("ads", "daily_pr_funnel"),
+    ("serving", "summary"), ("serving", "meta"),
 ]
 
+#: What an error's condition is called where a table is not there, or holds no file yet.
+_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
 
 def table_path(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
@@ -29,8 +34,10 @@ def stored_files(spark: SparkSession, path: str) -> DataFrame | None:
     """Data files of a table with length and partition columns, from the listing alone; None if there are none."""
     try:
         files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as error:
+        if error.getCondition() in _ABSENT:
+            return None
+        raise
     return files.drop("content")
 
 
@@ -84,15 +91,32 @@ def write_table(df: DataFrame, path: str) -> None:
     df.hint("rebalance").write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
-def write_days(df: DataFrame, path: str, *partitions: str, rebalance: bool = True) -> None:
-    """Replace the partitions present in ``df`` and leave the others.
+def _first_files(spark: SparkSession, path: str, partitions: tuple[str, ...], asked: set[tuple]) -> dict[tuple, str]:
+    """A file of each stored partition among ``asked``; file names never come twice."""
+    files = stored_files(spark, path)
+    if files is None or not asked or not set(partitions) <= set(files.columns):
+        return {}
+    days = sorted({str(values[0]) for values in asked})
+    found = on_days(files, days, partitions[0]).groupBy(*partitions).agg(F.min("path").alias("path")).collect()
+    return {key: r.path for r in found if (key := tuple(r[c] for c in partitions)) in asked}
 
-    Rebalancing gathers each partition in few tasks and cuts a large one into
+
+def write_days(df: DataFrame, path: str, *partitions: str, rebalance: bool = True, asked: set[tuple] = frozenset()) -> None:
+    """Replace the partitions present in ``df`` and those ``asked`` for, and leave the others.
+
+    ``asked`` holds values of the partition columns, a date first; what ``df`` has no
+    row for is deleted after the write. One entry per calendar day or hour. Rebalancing gathers each partition in few tasks and cuts a large one into
     several, so neither many small files nor one long task results.
     """
+    spark = df.sparkSession
+    before = _first_files(spark, path, partitions, asked)
     df = df.hint("rebalance", *partitions) if rebalance else df
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
      .partitionBy(*partitions).parquet(path))
+    after = _first_files(spark, path, partitions, set(before))
+    for key, first in before.items():
+        if after.get(key) == first:
+            delete(spark, first.rsplit("/", 1)[0])
 
 
 def export_sample(df: DataFrame, path: str, *columns: str, rows: int = 1000) -> None:
@@ -105,24 +129,28 @@ def view_name(layer: str, name: str) -> str:
 
 
 def register_views(spark: SparkSession, root: str, layout: list[tuple[str, str]] = LAYOUT) -> DataFrame:
-    """A view per readable table, over the files, and ``(layer, table, rows, status)`` for all of them."""
+    """A view per readable table, over the files, and ``(layer, table, rows, status)`` for all of them.
+
+    Each table is counted by itself; one that cannot be read loses its view and is
+    told as ``unreadable``, one that is not there as ``missing``.
+    """
     states = []
     for layer, name in layout:
-        label = [F.lit(layer).alias("layer"), F.lit(name).alias("table")]
+        rows, status = None, "ready"
         try:
             table = read_table(spark, root, layer, name)
+            rows = table.count()
             table.createOrReplaceTempView(view_name(layer, name))
-            state = table.agg(F.count("*").alias("rows")).select(*label, "rows", F.lit("ready").alias("status"))
-        except AnalysisException:
+        except (PySparkException, Py4JJavaError) as error:
+            absent = isinstance(error, AnalysisException) and error.getCondition() in _ABSENT
+            status = "missing" if absent else "unreadable"
             spark.catalog.dropTempView(view_name(layer, name))
-            state = spark.range(1).select(*label, F.lit(None).cast("long").alias("rows"),
-                                          F.lit("missing").alias("status"))
-        states.append(state)
-    return reduce(DataFrame.unionByName, states)
+        states.append((layer, name, rows, status))
+    return spark.createDataFrame(states, "layer string, table string, rows long, status string")
 
 
 def list_views(spark: SparkSession) -> DataFrame:
-    """Registered views of the three layers as ``(layer, table)``."""
+    """Registered views of all layers as ``(layer, table)``."""
     views = spark.sql("SHOW VIEWS").select(F.split("viewName", "_", 2).alias("parts"))
     return views.select(F.get("parts", F.lit(0)).alias("layer"), F.get("parts", F.lit(1)).alias("table")).filter(
-        F.col("layer").isin("ods", "dwd", "ads")).orderBy("layer", "table")
+        F.col("layer").isin("ods", "dwd", "ads", "serving")).orderBy("layer", "table")

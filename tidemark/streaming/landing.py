@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions import schemas
-from tidemark.operators.fact import fact_from_ods
-from tidemark.plans.warehouse import write_landed
+from tidemark.plans.warehouse import build_fact_days, write_landed
 from tidemark.sources import raw
 
 _FILE = "path string, modificationTime timestamp, length long, content binary, dt date"
@@ -37,9 +36,13 @@ def land_stream(spark: SparkSession, raw_root: str, ods_path: str, checkpoint: s
 
 
 def fact_stream(spark: SparkSession, ods_path: str, fact_path: str, checkpoint: str) -> StreamingQuery:
-    """Append the fact rows of newly landed files; the file sink's log makes each file count once."""
+    """Build the fact anew for the days of newly landed files, so that an hour landed again is not counted twice."""
     partitions = [T.StructField("dt", T.DateType()), T.StructField("hour", T.IntegerType())]
     ods = spark.readStream.schema(T.StructType(schemas.ODS.fields + partitions)).parquet(ods_path)
-    return (fact_from_ods(ods).writeStream.format("parquet").partitionBy("dt")
-            .option("path", fact_path).option("checkpointLocation", checkpoint)
+
+    def build(batch: DataFrame, _: int) -> None:
+        days = [r.dt for r in batch.select("dt").distinct().collect()]  # one per calendar day
+        build_fact_days(batch.sparkSession, ods_path, fact_path, days=days)
+
+    return (ods.writeStream.foreachBatch(build).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
