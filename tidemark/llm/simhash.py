@@ -88,7 +88,8 @@ def _leaf_pairs(fps: DataFrame, budget: int, leaf: int) -> list[tuple[int, DataF
         parent = F.shiftrightunsigned("kid", STRIDE)
         left = kids.select(parent.alias("a"), F.col("kid").alias("ka"), F.col("n").alias("kna"))
         right = kids.select(parent.alias("b"), F.col("kid").alias("kb"), F.col("n").alias("knb"))
-        err = F.col("err") + F.bit_count(F.col("ka").bitwiseXOR(F.col("kb")))
+        below = F.col("ka").bitwiseXOR(F.col("kb")).bitwiseAND(F.lit((1 << STRIDE) - 1))  # bits that the parents lack
+        err = F.col("err") + F.bit_count(below)
         pairs = stored(
             rest.join(left, "a").join(right, "b").filter((F.col("ka") <= F.col("kb")) | (F.col("a") != F.col("b")))
             .filter(err <= budget)
