@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, exact_dedup, langid, mixing, simhash
+from tidemark.llm import bpe, exact_dedup, langid, mixing, near_copies as near
 from tidemark.llm.common import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -24,8 +24,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with linked fingerprints the smallest id stays."""
-    return simhash.drop_near_duplicates(docs)
+    """Of documents that share 0.8 or more of their five-word shingles the smallest id stays."""
+    return near.drop_near_copies(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -71,14 +71,12 @@ def _node(depth: int) -> Column:
     return F.shiftrightunsigned("fp", 64 - depth) if depth else F.lit(0).cast("long")
 
 
-def _leaf_pairs(fps: DataFrame, budget: int, leaf: int) -> list[tuple[int, DataFrame]]:
+def _leaf_pairs(fps: DataFrame, budget: int, leaf: int, tag: int) -> list[tuple[int, DataFrame]]:
     """(depth, pairs of nodes (a, b, err)) that hold ``leaf`` fingerprints together at most."""
-    count = fps.count()
-    spark = fps.sparkSession
-    pairs = spark.range(1).select(*(F.lit(v).cast("long").alias(c) for c, v in (
-        ("a", 0), ("b", 0), ("na", count), ("nb", count))), F.lit(0).alias("err"))
+    roots = fps.groupBy(_node(tag).alias("a")).agg(F.count("*").alias("na"))
+    pairs = stored(roots.select("a", F.col("a").alias("b"), "na", F.col("na").alias("nb"), F.lit(0).alias("err")), "pairs")
     out = []
-    for depth in range(0, 65, STRIDE):
+    for depth in range(tag, 65, STRIDE):
         size = F.when(F.col("a") == F.col("b"), F.col("na")).otherwise(F.col("na") + F.col("nb"))
         out.append((depth, pairs.filter(size <= leaf).select("a", "b", "err")))
         rest = pairs.filter(size > leaf)
@@ -142,8 +140,12 @@ def walk(a: np.ndarray, b: np.ndarray, depth: int, err: int, budget: int, same:
         stack.append((level + 1, kids[(kids[:, 0] < kids[:, 1]) & (kids[:, 2] < kids[:, 3]) & (kids[:, 4] <= budget)]))
 
 
-def trie_links(fps: DataFrame, budget: int = BUDGET, leaf: int = LEAF) -> DataFrame:
-    """(a, b): every unordered pair of different values of ``fps`` (fp, without repeats) within ``budget`` bits."""
+def trie_links(fps: DataFrame, budget: int = BUDGET, leaf: int = LEAF, tag: int = 0) -> DataFrame:
+    """(a, b): every unordered pair of different values of ``fps`` (fp, without repeats) within ``budget`` bits.
+
+    The first ``tag`` bits (an even number) name a trie of their own: fingerprints that
+    differ in them never meet.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,7 +157,7 @@ def trie_links(fps: DataFrame, budget: int = BUDGET, leaf: int = LEAF) -> DataFr
                     yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(y.view(np.int64))], ["a", "b"])
 
     work = None
-    for depth, pairs in _leaf_pairs(fps, budget, leaf):
+    for depth, pairs in _leaf_pairs(fps, budget, leaf, tag):
         used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         nodes = fps.withColumn("node", _node(depth)).join(used, "node").groupBy("node").agg(
             F.collect_list("fp").alias("fps"))
