@@ -119,16 +119,16 @@ def test_land(spark, zone, tmp_path):
         (dt.date(2024, 1, 14), 0), (dt.date(2024, 1, 14), 13), (dt.date(2024, 1, 16), 3)]
 
 
-def test_land_again_takes_new_hours_only(spark, zone, tmp_path):
+def test_land_again_takes_new_and_changed_hours_only(spark, zone, tmp_path):
     ods = str(tmp_path / "ods")
     warehouse.land(spark, str(zone), ods)
-    before = sorted(p.name for p in Path(ods).rglob("hour=13/*.parquet"))
+    before = sorted(p.name for p in Path(ods).rglob("hour=0/*.parquet"))
     put(zone, "2024-01-14", 14, event("d"))
     put(zone, "2024-01-14", 13, event("changed"))
     again = warehouse.land(spark, str(zone), ods)
-    assert (again.lines, again.broken_files) == (1, 1)
-    assert {r.event_id for r in spark.read.parquet(ods).collect()} == {"a", "b", "c", "d", "bytes"}
-    assert sorted(p.name for p in Path(ods).rglob("hour=13/*.parquet")) == before
+    assert (again.lines, again.broken_files) == (2, 1)
+    assert {r.event_id for r in spark.read.parquet(ods).collect()} == {"a", "b", "changed", "d", "bytes"}
+    assert sorted(p.name for p in Path(ods).rglob("hour=0/*.parquet")) == before
     warehouse.land(spark, str(zone), ods, overwrite=True)
     assert {r.event_id for r in spark.read.parquet(ods).collect()} == {"a", "b", "changed", "d", "bytes"}
 
@@ -149,7 +149,7 @@ def test_hour_states(spark, zone, tmp_path):
     assert len(got) == 72
     named = {k: v for k, v in got.items() if v != "missing"}
     assert named == {("2024-01-14", 0): "landed", ("2024-01-14", 13): "landed", ("2024-01-14", 14): "damaged",
-                     ("2024-01-15", 1): "pending",  # an empty file lands nothing
+                     ("2024-01-15", 1): "landed",  # an empty file has no line to land
                      ("2024-01-16", 2): "damaged", ("2024-01-16", 3): "landed"}
     one_day = warehouse.hour_states(spark, str(zone), ods, "2024-01-17", "2024-01-17")
     assert {r.state for r in one_day.collect()} == {"missing"} and one_day.count() == 24
@@ -188,6 +188,70 @@ def test_random_damage_is_judged_as_by_a_json_parser(spark):
     assert 1000 < sum(got.values()) < 3000
 
 
+def put_part(root: Path, hour: int, part: str, *lines: str, cut: bool = False) -> None:
+    folder = root / "dt=2024-01-14" / f"hour={hour}"
+    folder.mkdir(parents=True, exist_ok=True)
+    data = gzip.compress("".join(f"{x}\n" for x in lines).encode())
+    (folder / f"{part}.json.gz").write_bytes(data[: len(data) // 2] if cut else data)
+
+
+@pytest.mark.parametrize("streamed", [False, True])
+def test_late_and_repaired_files_of_a_landed_hour(spark, tmp_path, streamed):
+    root, ods = tmp_path / "raw", str(tmp_path / "ods")
+
+    def run():
+        if streamed:
+            land_stream(spark, str(root), ods, str(tmp_path / "cp"), hour_folders=True, files_per_batch=1).awaitTermination()
+        else:
+            warehouse.land(spark, str(root), ods)
+        states = {r.hour: r.state for r in warehouse.hour_states(spark, str(root), ods).collect()}
+        return sorted(r.event_id for r in spark.read.parquet(ods).collect()), states[1]
+
+    put_part(root, 1, "one", event("a"), "{bad")
+    put_part(root, 1, "two", event("b"), cut=True)
+    put_part(root, 2, "one", event("x"))
+    put_part(root, 2, "two", event("y"))
+    assert run() == (["a", "x", "y"], "damaged")
+    volume = {str(r.dt): r for r in warehouse.ingest_volume(spark, str(root), ods).collect()}
+    for r in (volume["2024-01-14"], volume["None"]):
+        assert (r.raw_files, r.damaged_files, r.hours, r.lines, r.bad_lines, r.rows) == (4, 1, 2, 4, 1, 3)
+    put_part(root, 1, "two-again" if streamed else "two", event("b"))
+    if streamed:
+        (root / "dt=2024-01-14" / "hour=1" / "two.json.gz").unlink()
+    put_part(root, 2, "late", event("z"))
+    assert run() == (["a", "b", "x", "y", "z"], "landed")
+    assert run() == (["a", "b", "x", "y", "z"], "landed")
+
+
+def test_an_hour_that_empties(spark, tmp_path):
+    root, ods = tmp_path / "raw", str(tmp_path / "ods")
+    put(root, "2024-01-14", 0, event("a"))
+    put(root, "2024-01-14", 1, event("b"))
+    warehouse.land(spark, str(root), ods)
+    put(root, "2024-01-14", 1, "{no event")
+    warehouse.land(spark, str(root), ods)
+    assert [r.event_id for r in spark.read.parquet(ods).collect()] == ["a"]
+
+
+def test_lines_end_in_any_way(spark, tmp_path, monkeypatch):
+    text = "one\r\ntwo\rthree\n\nfünf".encode() + b"\xff\nlast"
+    expected = ["one", "two", "three", "", "fünf\ufffd", "last"]
+    for size in (1, 2, 3, 5, 100):
+        pieces, rest = [], text
+        while rest:
+            n = size
+            while rest[:n].endswith(b"\r") and n < len(rest):
+                n += 1
+            pieces.append(rest[:n])
+            rest = rest[n:]
+        assert [x for block in raw._lines(pieces) for x in block.to_pylist()] == expected
+    root = tmp_path / "raw"
+    put(root, "2024-01-14", 0, content=gzip.compress(text))
+    (checked,) = raw.gzip_integrity(raw.raw_files(spark, str(root))).collect()
+    assert checked.line_cnt == len(expected)
+    assert [r.line for r in raw.raw_lines(raw.raw_files(spark, str(root))).collect()] == expected
+
+
 def test_volume(spark, zone, tmp_path):
     ods = str(tmp_path / "ods")
     warehouse.land(spark, str(zone), ods)

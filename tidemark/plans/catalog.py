@@ -231,11 +231,21 @@ def _pipeline_queries() -> dict[str, Query]:
     """Queries that go through files: written by Spark from the given tables, then read back."""
 
     def landed_ods(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return spark.read.parquet(_landed(spark, sf_dir))
+        return spark.read.parquet(_landed(spark, sf_dir)).drop("raw_path")
+
+    def late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Each hour has two files, of which one comes after the hour was landed."""
+        raw_root, ods_path = scratch_dir(spark, "raw"), scratch_dir(spark, "ods")
+        lines = raw_lines_from_events(spark, sf_dir).withColumn("late", F.pmod(F.xxhash64("line"), F.lit(2)) == 1)
+        for late in (False, True):
+            part = lines.filter(F.col("late") == late).drop("late").hint("rebalance", "dt", "hour")
+            part.write.mode("append").partitionBy("dt", "hour").option("compression", "gzip").text(raw_root)
+            warehouse.land(spark, raw_root, ods_path)
+        return spark.read.parquet(ods_path).drop("raw_path")
 
     def ingest_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
         return warehouse.ingest_volume(spark, _raw_zone(spark, sf_dir), _landed(spark, sf_dir)).select(
-            "dt", "hours", "rows")
+            "dt", "damaged_files", "hours", "lines", "bad_lines", "rows")
 
     def hour_states(spark: SparkSession, sf_dir: str) -> DataFrame:
         return warehouse.hour_states(spark, _raw_zone(spark, sf_dir), _landed(spark, sf_dir))
@@ -280,6 +290,7 @@ def _pipeline_queries() -> dict[str, Query]:
         "ods_from_raw": lambda spark, sf_dir: raw.ods_rows(raw.parse_lines(raw_lines_from_events(spark, sf_dir))),
         "bad_line_report": bad_lines,
         "landed_ods": landed_ods,
+        "landed_late_files": late_files,
         "ingest_volume": ingest_volume,
         "hour_states": hour_states,
         "gzip_integrity": gzip_integrity,

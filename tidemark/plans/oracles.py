@@ -435,6 +435,7 @@ def oracle_sql() -> dict[str, str]:
         # through files
         "ods_from_raw": _with_ods(_LANDED),
         "landed_ods": _with_ods(_LANDED),
+        "landed_late_files": _with_ods(_LANDED),
         "bad_line_report": """
 WITH lines AS (
   SELECT 'documents' AS source, unnest(string_split(text, chr(10))) AS line FROM documents
@@ -446,7 +447,8 @@ SELECT source, count(*) AS line_cnt,
 FROM lines GROUP BY source
 UNION ALL SELECT 'events', count(*), 0 FROM events""",
         "ingest_volume": _with_ods(
-            "SELECT dt, count(DISTINCT hour) AS hours, count(*) AS rows FROM ods GROUP BY dt"),
+            "SELECT dt, CAST(0 AS BIGINT) AS damaged_files, CAST(count(DISTINCT (dt, hour)) AS BIGINT) AS hours, "
+            "count(*) AS lines, CAST(0 AS BIGINT) AS bad_lines, count(*) AS rows FROM ods GROUP BY ROLLUP (dt)"),
         "hour_states": f"""WITH {_ODS}, {_grid('ods', 'dt', 'hour')}
   SELECT e.dt, e.hour, CASE WHEN l.dt IS NULL THEN 'missing' ELSE 'landed' END AS state
   FROM expected e LEFT JOIN landed l ON e.dt = l.dt AND e.hour = l.hour""",

@@ -17,6 +17,7 @@ from tidemark.functions import fixed
 from tidemark.operators import dims, quality, rollups, texts
 from tidemark.operators.fact import fact_from_ods
 from tidemark.plans import reports
+from tidemark.session import delete
 from tidemark.sources import raw, tables
 
 
@@ -30,26 +31,69 @@ class Landing:
     broken: DataFrame | None
 
 
-def land(spark: SparkSession, raw_root: str, ods_path: str, overwrite: bool = False) -> Landing:
-    """Write the hours of the landing zone that are not in the table yet (or all of them)."""
-    files = raw.raw_files(spark, raw_root)
-    landed = None if overwrite else tables.stored_partitions(spark, ods_path, "dt", "hour")
-    if landed is not None:
-        new = files.select("path", "dt", "hour").join(landed, ["dt", "hour"], "left_anti")
-        paths = [row.path for row in new.select("path").toLocalIterator()]  # names only, as in a file listing
-        if not paths:
-            return Landing(0, 0, 0, None)
-        files = raw.raw_files(spark, raw_root, paths)
-    counts = write_landed(raw.raw_lines(files), ods_path)
-    broken = raw.gzip_integrity(files).filter(~F.col("ok")).select("path", "dt", "hour", "error")
+_STATE = ("path string, length long, modificationTime timestamp, error string, line_cnt long, good_cnt long, "
+          "dt date, hour int")
+
+
+def landed_files(spark: SparkSession, ods_path: str) -> DataFrame | None:
+    """What is known of every raw file that was read: its size and time then, damage, lines and good lines."""
+    path = f"{ods_path.rstrip('/')}_files"
+    return None if tables.stored_files(spark, path) is None else spark.read.schema(_STATE).parquet(path)
+
+
+def _due_hours(files: DataFrame, known: DataFrame | None) -> set[tuple]:
+    """(dt, hour) with a file that is new, changed or was damaged: one entry for each calendar hour at most."""
+    due = files.select("path", "dt", "hour", "length", "modificationTime")
+    if known is not None:
+        due = due.join(known.filter("error IS NULL"), ["path", "length", "modificationTime"], "left_anti")
+    return {(r.dt, r.hour) for r in due.select("dt", "hour").distinct().collect()}
+
+
+def _in_hours(table: DataFrame, hours: set[tuple], how: str = "left_semi") -> DataFrame:
+    """Rows of the given hours, or with ``left_anti`` of all others. The broadcast has a row for each calendar hour."""
+    asked = F.broadcast(table.sparkSession.createDataFrame(sorted(hours, key=str), "_dt date, _hour int"))
+    return table.join(asked, (F.col("dt") == F.col("_dt")) & F.col("hour").eqNullSafe(F.col("_hour")), how)
+
+
+def land(spark: SparkSession, raw_root: str, ods_path: str, overwrite: bool = False,
+         days: list | None = None) -> Landing:
+    """Bring the table up to the landing zone (or to some days of it), or read everything again.
+
+    An hour is written whole, from all of its files, whenever one of them is new, has
+    changed or was damaged before; so the files of an hour may come late and be repaired,
+    and must stay until their hour is complete. What is known of the files is stored
+    beside the table, after the rows: a run that is cut short is done again.
+    """
+    files = raw.raw_files(spark, raw_root, days)
+    due = _due_hours(files, None if overwrite else landed_files(spark, ods_path))
+    if not due:
+        return Landing(0, 0, 0, None)
+    due_days = sorted({str(day) for day, _ in due})
+    files = _in_hours(tables.on_days(files, due_days), due)
+    # Checked before the rows are read: a file that changes in between looks changed to the next run.
+    noted = f"{ods_path.rstrip('/')}_checked"
+    raw.gzip_integrity(files).write.mode("overwrite").parquet(noted)
+    counts = write_landed(raw.raw_lines(files), ods_path, due)
+    checked = spark.read.parquet(noted)
+    if tables.stored_files(spark, ods_path) is None:
+        states = checked.withColumn("good_cnt", F.lit(0).cast("long"))
+    else:
+        rows = tables.on_days(spark.read.schema("raw_path string, dt date, hour int").parquet(ods_path), due_days)
+        good = rows.groupBy(F.col("raw_path").alias("path")).agg(F.count("*").alias("good_cnt"))
+        states = checked.join(good, "path", "left").na.fill(0, ["good_cnt"])
+    columns = [field.split()[0] for field in _STATE.split(", ")]
+    tables.write_days(states.select(columns), f"{ods_path.rstrip('/')}_files", "dt", "hour", asked=due)
+    delete(spark, noted)
+    broken = _in_hours(landed_files(spark, ods_path).filter("error IS NOT NULL"), due).select(
+        "path", "dt", "hour", "error")
     return Landing(counts["lines"], counts["bad_lines"], counts["broken_files"],
                    broken if counts["broken_files"] else None)
 
 
-def write_landed(lines: DataFrame, ods_path: str) -> dict:
-    """Parse lines and write them by hour; counts are taken on the way.
+def write_landed(lines: DataFrame, ods_path: str, hours: set[tuple] = frozenset()) -> dict:
+    """Parse lines and write them by hour; those of ``hours`` without a good line become empty. Counts are taken on the way.
 
-    No shuffle: the task that unpacks an hour writes it.
+    No shuffle: the task that unpacks a file writes it.
     """
     seen = Observation()
     sound = F.col("error").isNull()
@@ -59,46 +103,54 @@ def write_landed(lines: DataFrame, ods_path: str) -> dict:
         F.count_if(sound & F.col("event").isNull()).alias("bad_lines"),
         F.count_if(~sound).alias("broken_files"),
     )
-    tables.write_days(raw.ods_rows(parsed), ods_path, "dt", "hour", rebalance=False)
+    rows = raw.ods_rows(parsed, F.col("path").alias("raw_path"))
+    tables.write_days(rows, ods_path, "dt", "hour", rebalance=False, asked=hours)
     return seen.get
 
 
 def ingest_volume(spark: SparkSession, raw_root: str, ods_path: str) -> DataFrame:
-    """Per day: landed hours and rows, raw and stored size, their ratio and the stored bytes per row.
+    """Per day, and in total where ``dt`` is NULL: files and damaged ones, landed hours, lines, bad lines and rows,
+    raw and stored size, their ratio and the stored bytes per row.
 
-    Sizes come from listings and rows from file footers; no data is read.
+    All of it comes from listings and from what landing noted, in whichever run; no data is read.
     """
     raw_size = raw.raw_files(spark, raw_root).groupBy("dt").agg(
         F.count("*").alias("raw_files"), F.sum("length").alias("raw_bytes"))
-    stored = tables.stored_files(spark, ods_path).groupBy("dt").agg(
+    empty = spark.createDataFrame([], _STATE)
+    known = landed_files(spark, ods_path)
+    noted = (empty if known is None else known).groupBy("dt").agg(
+        F.count_if(F.col("error").isNotNull()).alias("damaged_files"), F.sum("line_cnt").alias("lines"),
+        F.sum(F.col("line_cnt") - F.col("good_cnt")).alias("bad_lines"), F.sum("good_cnt").alias("rows"))
+    files = tables.stored_files(spark, ods_path)
+    stored = (empty if files is None else files).groupBy("dt").agg(
         F.count_distinct("hour").alias("hours"), F.sum("length").alias("stored_bytes"))
-    rows = spark.read.parquet(ods_path).groupBy("dt").agg(F.count("*").alias("rows"))
-    return raw_size.join(stored, "dt", "left").join(rows, "dt", "left").na.fill(0).select(
-        "dt", "raw_files", "hours", "rows", "raw_bytes", "stored_bytes",
-        F.try_divide("raw_bytes", "stored_bytes").alias("ratio"),
+    days = raw_size.join(noted, "dt", "full").join(stored, "dt", "full").na.fill(0)
+    sums = ["raw_files", "damaged_files", "hours", "lines", "bad_lines", "rows", "raw_bytes", "stored_bytes"]
+    return days.rollup("dt").agg(*(F.sum(c).alias(c) for c in sums)).select(
+        "dt", *sums, F.try_divide("raw_bytes", "stored_bytes").alias("ratio"),
         F.try_divide("stored_bytes", "rows").alias("bytes_per_row"))
 
 
 def hour_states(spark: SparkSession, raw_root: str, ods_path: str, first=None, last=None) -> DataFrame:
     """``(dt, hour, state)`` of every expected hour: landed, damaged, pending or missing.
 
-    The span defaults to the days of the landing zone. Only files of hours that
-    are not landed are opened.
+    An hour is damaged if any of its files is. The span defaults to the days of the
+    landing zone. Only files of hours that are new, changed or were damaged are opened.
     """
     files = raw.raw_files(spark, raw_root)
     if first is None or last is None:
         expected = quality.hour_grid(files.agg(F.min("dt").alias("lo"), F.max("dt").alias("hi")))
     else:
         expected = quality.expected_hours(spark, first, last)
-    landed = tables.stored_partitions(spark, ods_path, "dt", "hour")
-    if landed is None:
-        landed = files.select("dt", "hour").limit(0)
-    waiting = files.select("path", "dt", "hour").join(landed, ["dt", "hour"], "left_anti")
-    paths = [row.path for row in waiting.select("path").toLocalIterator()]  # names only
-    checked = raw.gzip_integrity(raw.raw_files(spark, raw_root, paths)) if paths else None
-    states = landed.withColumn("state", F.lit("landed"))
-    if checked is not None:
-        states = states.unionByName(checked.groupBy("dt", "hour").agg(
+    known = landed_files(spark, ods_path)
+    due = _due_hours(files, known)
+    states = spark.createDataFrame([], "dt date, hour int, state string")
+    if known is not None:
+        rest = _in_hours(known, due, "left_anti") if due else known
+        states = rest.select("dt", "hour", F.lit("landed").alias("state")).distinct()
+    if due:
+        waiting = _in_hours(tables.on_days(files, sorted({str(day) for day, _ in due})), due)
+        states = states.unionByName(raw.gzip_integrity(waiting).groupBy("dt", "hour").agg(
             F.when(F.bool_and("ok"), "pending").otherwise("damaged").alias("state")))
     return expected.join(states, ["dt", "hour"], "left").na.fill("missing", ["state"])
 

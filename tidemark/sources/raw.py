@@ -10,37 +10,43 @@ are not mistaken for damage but fail and retry the task.
 from __future__ import annotations
 
 import gzip
-import io
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions import schemas
 
 _PIECE = 1 << 20
+#: Unpacked bytes of a file that are kept while it is checked; a larger file is unpacked a second time.
+_KEPT = 64 << 20
 _DAMAGE = (EOFError, OSError, zlib.error)
 
-FILE_CHECK = "path string, dt date, hour int, length long, ok boolean, error string, line_cnt long, text_bytes long"
+FILE_CHECK = "path string, dt date, hour int, length long, modificationTime timestamp, ok boolean, error string, line_cnt long, text_bytes long"
 LINES = "path string, dt date, hour int, line string, error string"
 
 
-def raw_files(spark: SparkSession, raw_root: str, paths: list[str] | None = None) -> DataFrame:
-    """``path, dt, hour, length, content``; the content is read only where it is selected."""
+def raw_files(spark: SparkSession, raw_root: str, days: list | None = None) -> DataFrame:
+    """``path, dt, hour, length, modificationTime, content`` of all files or those of some days' folders.
+
+    The content is read only where it is selected.
+    """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").option("basePath", raw_root)
-    return with_hour(reader.load(paths if paths is not None else raw_root))
+    root = raw_root.rstrip("/")
+    return with_hour(reader.load(raw_root if days is None else [f"{root}/dt={day}" for day in days]))
 
 
 def with_hour(files: DataFrame) -> DataFrame:
     hour = F.col("hour") if "hour" in files.columns else F.regexp_extract("path", r"/(\d{1,2})\.json\.gz$", 1)
     return files.select("path", F.col("dt").cast("date").alias("dt"), hour.cast("int").alias("hour"),
-                        "length", "content")
+                        "length", "modificationTime", "content")
 
 
 def gzip_integrity(files: DataFrame) -> DataFrame:
     """One row per file: whether it unpacks to its end, and its lines and unpacked size."""
-    return files.select("path", "dt", "hour", "length", "content").mapInArrow(_check_files, FILE_CHECK)
+    return files.select("path", "dt", "hour", "length", "modificationTime", "content").mapInArrow(_check_files, FILE_CHECK)
 
 
 def raw_lines(files: DataFrame) -> DataFrame:
@@ -48,18 +54,47 @@ def raw_lines(files: DataFrame) -> DataFrame:
     return files.select("path", "dt", "hour", "content").mapInArrow(_unpack_files, LINES)
 
 
-def _damage(content: pa.Buffer) -> tuple[str | None, int, int]:
+def _pieces(content: pa.Buffer) -> Iterator[bytes]:
+    """The unpacked bytes; no piece ends between the two characters of a line end."""
+    with gzip.GzipFile(fileobj=pa.BufferReader(content)) as unpacked:
+        while piece := unpacked.read(_PIECE):
+            while piece.endswith(b"\r") and (more := unpacked.read(_PIECE)):
+                piece += more
+            yield piece
+
+
+def _damage(content: pa.Buffer, kept: list[bytes] | None = None) -> tuple[str | None, int, int]:
+    """(error, lines, bytes) of a file; its pieces go to ``kept`` as far as they fit in ``_KEPT``."""
     lines = size = 0
     last = b"\n"
     try:
-        with gzip.GzipFile(fileobj=pa.BufferReader(content)) as unpacked:
-            while piece := unpacked.read(_PIECE):
-                lines += piece.count(b"\n")
-                size += len(piece)
-                last = piece[-1:]
+        for piece in _pieces(content):
+            lines += piece.count(b"\n") + piece.count(b"\r") - piece.count(b"\r\n")
+            size += len(piece)
+            last = piece[-1:]
+            if kept is not None and size <= _KEPT:
+                kept.append(piece)
     except _DAMAGE as error:
         return f"{type(error).__name__}: {error}", 0, 0
-    return None, lines + (last != b"\n"), size
+    return None, lines + (last not in b"\r\n"), size
+
+
+def _lines(pieces: Iterable[bytes]) -> Iterator[pa.Array]:
+    """Lines without their ends (of any kind), some at a time."""
+    rest: list[bytes] = []
+    for piece in pieces:
+        cut = max(piece.rfind(b"\n"), piece.rfind(b"\r")) + 1
+        if cut:
+            yield _split(b"".join([*rest, piece[:cut]]))
+            rest = []
+        rest.append(piece[cut:])
+    if any(rest):
+        yield _split(b"".join(rest))
+
+
+def _split(block: bytes) -> pa.Array:
+    text = block.replace(b"\r\n", b"\n").replace(b"\r", b"\n").removesuffix(b"\n").decode("utf-8", "replace")
+    return pc.split_pattern(pa.array([text], pa.large_string()), "\n").flatten().cast(pa.string())
 
 
 def _files(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, pa.Buffer]]:
@@ -71,7 +106,7 @@ def _files(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
 def _check_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for row, content in _files(batches):
         error, lines, size = _damage(content)
-        kept = [row.column(name) for name in ("path", "dt", "hour", "length")]
+        kept = [row.column(name) for name in ("path", "dt", "hour", "length", "modificationTime")]
         yield pa.RecordBatch.from_arrays(
             [*kept, pa.array([error is None]), pa.array([error], pa.string()), pa.array([lines]), pa.array([size])],
             names=[field.split()[0] for field in FILE_CHECK.split(", ")])
@@ -79,21 +114,20 @@ def _check_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _unpack_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for row, content in _files(batches):
-        error, _, _ = _damage(content)
+        kept: list[bytes] = []
+        error, _, size = _damage(content, kept)
         if error is not None:
-            yield _line_batch(row, [None], error)
+            yield _line_batch(row, pa.nulls(1, pa.string()), error)
             continue
-        with gzip.GzipFile(fileobj=pa.BufferReader(content)) as unpacked:
-            text = io.TextIOWrapper(unpacked, encoding="utf-8", errors="replace")
-            while lines := text.readlines(4 * _PIECE):
-                yield _line_batch(row, [line.rstrip("\n") for line in lines], None)
+        for lines in _lines(kept if size <= _KEPT else _pieces(content)):
+            yield _line_batch(row, lines, None)
 
 
-def _line_batch(row: pa.RecordBatch, lines: list, error: str | None) -> pa.RecordBatch:
+def _line_batch(row: pa.RecordBatch, lines: pa.Array, error: str | None) -> pa.RecordBatch:
     n = len(lines)
     keys = [pa.repeat(row.column(name)[0], n) for name in ("path", "dt", "hour")]
     return pa.RecordBatch.from_arrays(
-        [*keys, pa.array(lines, pa.string()), pa.array([error] * n, pa.string())],
+        [*keys, lines, pa.repeat(pa.scalar(error, pa.string()), n)],
         names=[field.split()[0] for field in LINES.split(", ")])
 
 
@@ -120,8 +154,11 @@ def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     return parsed.select(*[c for c in lines.columns if c != line], event)
 
 
-def ods_rows(parsed: DataFrame) -> DataFrame:
-    """Landed rows of the good lines: missing texts become '' except the organisation's, missing ids stay NULL."""
+def ods_rows(parsed: DataFrame, *more: Column) -> DataFrame:
+    """Landed rows of the good lines: missing texts become '' except the organisation's, missing ids stay NULL.
+
+    ``more`` are further columns of ``parsed`` to keep.
+    """
     def text(path: str, name: str):
         return F.coalesce(f"event.{path}", F.lit("")).alias(name)
 
@@ -137,7 +174,7 @@ def ods_rows(parsed: DataFrame) -> DataFrame:
         text("created_at", "created_at"),
         F.col("event.public").alias("is_public"),
         F.col("event.payload").alias("payload"),
-        "dt", "hour",
+        *more, "dt", "hour",
     )
 
 

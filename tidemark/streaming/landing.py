@@ -11,17 +11,18 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions import schemas
-from tidemark.plans.warehouse import build_fact_days, write_landed
-from tidemark.sources import raw
+from tidemark.plans.warehouse import build_fact_days, land
 
 _FILE = "path string, modificationTime timestamp, length long, content binary, dt date"
 
 
 def land_stream(spark: SparkSession, raw_root: str, ods_path: str, checkpoint: str,
                 hour_folders: bool = False, files_per_batch: int = 10_000) -> StreamingQuery:
-    """Land new raw files. A batch replaces the hours it brings, so a repeated batch changes nothing.
+    """Land the days that new raw files belong to.
 
-    Meant for one file per hour; with several, an hour must arrive in one batch.
+    A batch says which days to look at; landing itself finds the hours that are due and
+    writes each from all of its files, so neither the size of a batch nor a repeated one
+    changes the rows.
     """
     files = (
         spark.readStream.format("binaryFile").schema(_FILE + (", hour int" if hour_folders else ""))
@@ -29,7 +30,9 @@ def land_stream(spark: SparkSession, raw_root: str, ods_path: str, checkpoint: s
     )
 
     def write(batch: DataFrame, _: int) -> None:
-        write_landed(raw.raw_lines(raw.with_hour(batch)), ods_path)
+        days = [r.dt for r in batch.select("dt").distinct().collect()]  # one per calendar day
+        if days:
+            land(batch.sparkSession, raw_root, ods_path, days=days)
 
     return (files.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
