@@ -188,6 +188,32 @@ def test_filter_never_understates(spark):
     assert len(counts) == 5000
 
 
+def test_filter_follows_its_entries(spark):
+    rng = np.random.default_rng(2)
+    hashes = rng.integers(0, 1 << 64, 50_000, dtype=np.uint64)
+    rates = []
+    for n in (2_000, 60_000):
+        docs = spark.createDataFrame([(" ".join(f"w{i}" for i in range(k, n, 20)),) for k in range(20)], "text string")
+        model, _ = lm.train(docs)
+        assert len(model.filter.data) * 8 >= lm.BITS * 2 * n
+        rates.append((model.filter.counts(hashes) > 0).mean())
+    assert max(rates) < 0.03
+
+
+def test_passes_change_no_score(spark):
+    texts = [(i, " ".join(f"w{j * j % (i + 7)}" for j in range(3 * i))) for i in range(60)] + [(60, None), (None, "w1 w2"), (1, "x w1")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = []
+    for how in ({}, {"pass_bytes": 1200}, {"segments": 4, "group": 16}):
+        model, words = lm.train(docs.filter("doc_id > 3"), **how)
+        passes = len(model.parts.cuts) - 1
+        assert passes == 1 if "pass_bytes" not in how else 2 < passes < 8, passes
+        rows = lm.score(docs, model, words, ["doc_id"]).collect()
+        found.append(Counter((r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 9), round(r.score, 9)) for r in rows))
+    assert found[0] == found[1] and sum(found[2].values()) == len(texts)
+    assert len(model.parts.sizes) > 256
+
+
 def test_long_counts_are_split():
     rows = list(lm._gathered(1, 256)(iter([_batch([" ".join(["x"] * 200_000)])])))
     total = sum(int(np.frombuffer(b, "<u2").sum()) for r in rows for b in r.column("counts").to_pylist() if b)

@@ -3,7 +3,9 @@
 A count c is quantised to 1 + floor(log_b c); the n-gram is put into the filter once
 for each level up to its own. To read a count, levels are probed from 1 up until one
 is missing. The filter cannot miss what was put in; it overstates a count with the
-probability of a false hit. Exact word counts, which the base score needs, do not go
+probability of a false hit. Each segment of the filter has bits for the entries counted
+in it, so that this probability is the same for any input; a filter too large for one
+broadcast is read in passes of some segments each. Exact word counts, which the base score needs, do not go
 through the filter: frequent words, whose number is bounded, are sent to the workers,
 and the occurrences of other words meet their counts in a shuffle.
 """
@@ -12,7 +14,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -27,13 +29,16 @@ ORDER = 2
 #: Base of the logarithm that counts are rounded down to.
 BASE = 2.0
 
-#: Hashes of an entry, bits for each character of training text (four to eight for an
-#: entry), and the largest filter, 64 MB. Beyond some 100 million entries false hits
-#: grow instead: the share of set bits to the power HASHES.
-HASHES, BITS_PER_CHAR, MOST_BITS = 3, 0.35, 1 << 29
+#: Hashes of an entry and bits for each: a false hit has the probability
+#: (1 - exp(-HASHES / BITS)) ** HASHES, 1.7 %, for any input.
+HASHES, BITS = 3, 10
 
-#: Parts of the filter, each built in a task of its own.
-SEGMENTS = 256
+#: Bytes of the filter that are broadcast at a time.
+PASS_BYTES = 1 << 27
+
+#: Parts of the filter at least, each built in a task of its own, and n-grams that meet
+#: in a part at most; there are more parts where that asks for them.
+SEGMENTS, GROUP = 256, 1 << 22
 
 #: Words that make up more than 1 / FREQUENT of all tokens: fewer than FREQUENT, sent to all workers.
 FREQUENT = 100_000
@@ -119,6 +124,10 @@ def _from_five(data: bytes) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
+def _segments_of(hashes: np.ndarray, segments: int) -> np.ndarray:
+    return (hashes >> np.uint64(40)).astype(np.int64) * segments >> 24
+
+
 def _gathered(order: int, segments: int):
     """Counts of words, and of hashed n-grams by segment: packed hashes with counts up to 65,535."""
 
@@ -131,7 +140,7 @@ def _gathered(order: int, segments: int):
             counts = np.full(int(again.sum()), 65_535)
             counts[first] = last
             found = np.repeat(found, again)
-        segment = (found >> np.uint64(56)).astype(np.int64) * segments >> 8
+        segment = _segments_of(found, segments)
         cuts = np.searchsorted(segment, np.arange(segments + 1))
         for s in range(segments):
             part = slice(cuts[s], cuts[s + 1])
@@ -176,15 +185,16 @@ def _levels(counts: np.ndarray, base: float) -> np.ndarray:
     return 1 + np.floor(np.log(counts) / np.log(base) + 1e-9).astype(np.int64)
 
 
-def _positions(rest: np.ndarray, level: int, bits: int) -> list[np.ndarray]:
-    """Bit places within a segment of ``bits`` bits for 40-bit hashes at a level."""
+def _positions(rest: np.ndarray, level: int, bits: int | np.ndarray) -> list[np.ndarray]:
+    """Bit places within segments of ``bits`` bits (below 2 ** 32) for 40-bit hashes at a level."""
     h = mix(rest * _MUL2 + np.uint64(level))
     step = (h >> np.uint64(32)) | np.uint64(1)
-    return [((h + np.uint64(k) * step) & np.uint64(bits - 1)).astype(np.int64) for k in range(HASHES)]
+    low, bits = np.uint64((1 << 32) - 1), np.asarray(bits, np.uint64)
+    return [((((h + np.uint64(k) * step) & low) * bits) >> np.uint64(32)).astype(np.int64) for k in range(HASHES)]
 
 
-def _segment(bits: int, base: float):
-    """The bits of one segment from the packed counts that meet there."""
+def _segment(base: float):
+    """The bits of one segment, as many as its entries ask for, from the packed counts that meet there."""
 
     def run(table: pa.Table) -> pa.Table:
         hashes = _from_five(b"".join(x.as_py() for x in table.column("hashes")))
@@ -194,64 +204,83 @@ def _segment(bits: int, base: float):
         first = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))
         hashes, counts = hashes[first], np.add.reduceat(counts, first)
         levels = _levels(counts, base)
-        data = np.zeros(bits // 8, np.uint8)
+        entries = int(levels.sum())
+        bits = np.zeros(-(-entries * BITS // 64) * 64, bool)
         for level in range(1, int(levels.max()) + 1):
-            for at in _positions(hashes[levels >= level], level, bits):
-                np.bitwise_or.at(data, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
+            for at in _positions(hashes[levels >= level], level, len(bits)):
+                bits[at] = True
+        data = np.packbits(bits, bitorder="little").tobytes()
         return pa.table({"segment": pa.array([table.column("segment")[0].as_py()], pa.int32()),
-                         "entries": pa.array([len(hashes)], pa.int64()), "data": pa.array([data.tobytes()], pa.binary())})
+                         "entries": pa.array([entries], pa.int64()), "size": pa.array([len(data)], pa.int64()),
+                         "data": pa.array([data], pa.binary())})
 
     return run
 
 
 @dataclass
 class Filter:
-    """The filter's segments in one array of bytes, and what is needed to read it."""
+    """Some of the filter's segments in one array of bytes, and what is needed to read them."""
 
-    data: np.ndarray
-    bits: int  # of a segment
-    segments: int
+    data: np.ndarray  # the segments in order, and a byte that is never set
+    starts: np.ndarray  # of each segment from ``first`` on
+    sizes: np.ndarray  # bytes of each; nothing was put into one of none
+    first: int
+    segments: int  # of the whole filter
     base: float
 
-    def counts(self, hashes: np.ndarray) -> np.ndarray:
-        """Estimated counts: the least count of the highest level that all probes below hit."""
-        segment = (hashes >> np.uint64(56)).astype(np.int64) * self.segments >> 8
+    def levels(self, hashes: np.ndarray) -> np.ndarray:
+        """The highest level of each n-gram that all probes below hit; its segment has to be among the filter's."""
+        segment = _segments_of(hashes, self.segments) - self.first
+        begin, bits = self.starts[segment], self.sizes[segment] * 8
         rest = hashes & np.uint64((1 << 40) - 1)
         level = np.zeros(len(hashes), np.int64)
-        still = np.arange(len(hashes))
-        while len(still):
-            at = int(level[still[0]]) + 1
-            own = segment[still] * (self.bits // 8)
+        still = np.flatnonzero(bits)
+        at = 0
+        while len(still) and at < 64:
+            at += 1
+            own = begin[still]
             hit = np.ones(len(still), bool)
-            for place in _positions(rest[still], at, self.bits):
+            for place in _positions(rest[still], at, bits[still]):
                 hit &= (self.data[own + (place >> 3)] >> (place & 7).astype(np.uint8)) & 1 == 1
             still = still[hit]
             level[still] = at
-            if at >= 64:
-                break
-        return np.where(level > 0, self.base ** (level - 1), 0.0)
+        return level
+
+    def counts(self, hashes: np.ndarray) -> np.ndarray:
+        """Estimated counts: the least count of each n-gram's level."""
+        return _least(self.levels(hashes), self.base)
+
+
+def _least(levels: np.ndarray, base: float) -> np.ndarray:
+    return np.where(levels > 0, base ** (levels.astype(np.float64) - 1), 0.0)
 
 
 @dataclass
 class Model:
-    filter: Filter
+    filter: Filter | None  # None where it is read in passes
+    base: float
     order: int
     tokens: int
     types: int
     frequent: dict[bytes, int]
 
-    def log_probabilities(self, tokens: np.ndarray, places: np.ndarray) -> np.ndarray:
+    def log_probabilities(self, tokens: np.ndarray, places: np.ndarray, levels: np.ndarray | None = None) -> np.ndarray:
         """log10 of each token's smoothed probability given the tokens before it.
 
+        ``levels`` has a row for each order, looked up before; without it the filter is read.
+
         From the unigram up, an order's share of its context's count is mixed with the
         next lower order. An n-gram never counts for more than its context or its last
         word does, which takes back part of what false hits add.
         """
+        def counts(n: int) -> np.ndarray:
+            return self.filter.counts(ngrams(tokens, places, n)) if levels is None else _least(levels[n - 1], self.base)
+
         floor = 0.5 / (self.tokens + 0.5 * (self.types + 1))
-        lower = self.filter.counts(ngrams(tokens, places, 1))
+        lower = counts(1)
         p = lower / (self.tokens + 0.5 * (self.types + 1)) + floor
         for n in range(2, self.order + 1):
-            whole = self.filter.counts(ngrams(tokens, places, n))
+            whole = counts(n)
             # The context is the n-gram of the token before; at the start of a text, as many as texts.
             before = np.concatenate([lower[:1], lower[:-1]])
             context = np.where(places == 0, np.maximum(self.starts, 1.0), before)
@@ -265,12 +294,45 @@ class Model:
         return float(self.frequent.get(b" ", 0))
 
 
+@dataclass
+class Parts:
+    """The filter's segments in a stored table, and the ranges of them that are broadcast in turn."""
+
+    table: DataFrame
+    sizes: np.ndarray  # bytes of each segment
+    base: float
+    cuts: list[int]  # where each range begins, and the number of segments
+
+    def load(self, at: int) -> Filter:
+        first, end = self.cuts[at: at + 2]
+        sizes = self.sizes[first:end]
+        starts = np.cumsum(sizes) - sizes
+        data = np.zeros(int(sizes.sum()) + 1, np.uint8)
+        for row in self.table.filter(F.col("segment").between(first, end - 1)).select("segment", "data").toLocalIterator():
+            begin = int(starts[row.segment - first])
+            data[begin: begin + len(row.data)] = np.frombuffer(row.data, np.uint8)
+        return Filter(data, starts, sizes, first, len(self.sizes), self.base)
+
+
+def _cuts(sizes: np.ndarray, most: int) -> list[int]:
+    """Ranges of segments of ``most`` bytes together, or of one larger segment."""
+    cuts, held = [0], 0
+    for at, size in enumerate(sizes.tolist()):
+        if held and held + size > most:
+            cuts.append(at)
+            held = 0
+        held += size
+    return [*cuts, len(sizes)]
+
+
 def train(docs: DataFrame, text_col: str = "text", order: int = ORDER, base: float = BASE, segments: int = SEGMENTS,
-          most_bits: int = MOST_BITS, frequent: int = FREQUENT) -> tuple[Model, DataFrame]:
+          pass_bytes: int = PASS_BYTES, frequent: int = FREQUENT, group: int = GROUP) -> tuple[Model, DataFrame]:
     """The model of the texts, and the exact count of every word (word binary, n; the end as a space)."""
     texts = docs.select(F.col(text_col).alias("text"))
-    chars = texts.agg(F.sum(F.char_length("text"))).first()[0] or 0
-    bits = 1 << max(10, int(np.ceil(np.log2(max(1, min(most_bits, chars * BITS_PER_CHAR) / segments)))))
+    given = texts.agg(F.sum(F.char_length("text")).alias("chars"), F.count("*").alias("rows")).first()
+    most = order * ((given.chars or 0) // 2 + 2 * given.rows)  # n-grams: no text has more tokens than that
+    while segments * group < most and segments < 1 << 24:
+        segments *= 2
     path = shared_path(docs.sparkSession, "gathered")
     gathered = stored(texts.mapInArrow(
         _gathered(order, segments), "segment int, hashes binary, counts binary, word binary, n long"), "gathered", path)
@@ -278,14 +340,59 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER, base: flo
     sums = vocabulary.agg(F.sum("n").alias("tokens"), F.count("*").alias("types")).first()
     tokens, types = sums.tokens or 0, sums.types
     often = vocabulary.filter((F.col("n") * frequent > tokens) | (F.col("word") == F.lit(b" ")))
-    built = gathered.filter("segment IS NOT NULL").groupBy("segment").applyInArrow(
-        _segment(bits, base), "segment int, entries long, data binary")
-    data = np.zeros(segments * bits // 8, np.uint8)
-    for row in stored(built, "segments").toLocalIterator():
-        data[row.segment * bits // 8: (row.segment + 1) * bits // 8] = np.frombuffer(row.data, np.uint8)
+    built = stored(gathered.filter("segment IS NOT NULL").groupBy("segment").applyInArrow(
+        _segment(base), "segment int, entries long, size long, data binary"), "segments")
     discard(docs.sparkSession, path)
+    sizes = np.zeros(segments, np.int64)
+    for row in built.select("segment", "size").toLocalIterator():
+        sizes[row.segment] = row.size
+    parts = Parts(built, sizes, base, _cuts(sizes, pass_bytes))
     table = {bytes(r.word): r.n for r in often.toLocalIterator()}
-    return Model(Filter(data, bits, segments, base), order, tokens, types, table), vocabulary
+    model = Model(parts.load(0) if len(parts.cuts) == 2 else None, base, order, tokens, types, table)
+    model.parts = parts  # of the driver only
+    return model, vocabulary
+
+
+def _looked_up(inputs: DataFrame, model: Model) -> DataFrame:
+    """(_row, _levels): the levels of each text's n-grams as (part, levels), read in a pass for each part of the filter.
+
+    The levels of a part are in the order of the text's n-grams, those of order 1 first.
+    """
+    spark, parts, order, every = inputs.sparkSession, model.parts, model.order, None
+    for at in range(len(parts.cuts) - 1):
+        sent = spark.sparkContext.broadcast(parts.load(at))
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent, at=at, end=parts.cuts[at + 1]) -> Iterator[pa.RecordBatch]:
+            own, words = sent.value, Words()
+            for rows, texts in text_slices(batches, "_text"):
+                flat, sizes = _split(texts)
+                numbers, _ = words.numbers(flat)
+                tokens, places = _with_ends(words.hashes[numbers], sizes)
+                hashes = np.stack([ngrams(tokens, places, n) for n in range(1, order + 1)])
+                segment = _segments_of(hashes, own.segments)
+                mine = (segment >= own.first) & (segment < end)
+                levels = np.zeros(hashes.shape, np.uint8)
+                levels[mine] = own.levels(hashes[mine])
+                ends = np.cumsum(sizes)
+                found = [levels[:, s:e][mine[:, s:e]].tobytes() for s, e in zip(ends - sizes, ends)]
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("_row"), pa.array([at] * len(texts), pa.int32()), pa.array(found, pa.binary())],
+                    ["_row", "part", "levels"])
+
+        got = stored(inputs.select("_row", "_text").mapInArrow(run, "_row long, part int, levels binary"), "levels")
+        sent.destroy()
+        every = got if every is None else every.unionByName(got)
+    return every.groupBy("_row").agg(F.collect_list(F.struct("part", "levels")).alias("_levels"))
+
+
+def _joined_levels(hashes: np.ndarray, ends: np.ndarray, sizes: np.ndarray, looked: list, cuts: list[int], segments: int) -> np.ndarray:
+    """The levels of all n-grams of a slice of texts from what the passes found for each text."""
+    part = np.searchsorted(np.array(cuts), _segments_of(hashes, segments), side="right") - 1
+    levels = np.zeros(hashes.shape, np.uint8)
+    for s, e, found in zip(ends - sizes, ends, looked):
+        for one in found:
+            levels[:, s:e][part[:, s:e] == one["part"]] = np.frombuffer(one["levels"], np.uint8)
+    return levels
 
 
 def score(docs: DataFrame, model: Model, vocabulary: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
@@ -296,7 +403,10 @@ def score(docs: DataFrame, model: Model, vocabulary: DataFrame, keep: list[str],
     text is an empty one, which has its end alone.
     """
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(model)  # a filter of at most ``most_bits`` and ``frequent`` words
+    parts = model.parts
+    cuts, segments, passes = parts.cuts, len(parts.sizes), model.filter is None
+    # A filter of at most ``pass_bytes``, or none, and ``frequent`` words.
+    sent = spark.sparkContext.broadcast(replace(model))
     divisor = model.tokens + 0.5 * (model.types + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,7 +420,11 @@ def score(docs: DataFrame, model: Model, vocabulary: DataFrame, keep: list[str],
             exact = np.concatenate([exact[: len(words.known) - len(new)], [often.get(w, np.nan) for w in new]])
             tokens, places = _with_ends(words.hashes[numbers], sizes)
             ends = np.cumsum(sizes)
-            total = np.add.reduceat(own.log_probabilities(tokens, places), ends - sizes)
+            levels = None
+            if passes:
+                hashes = np.stack([ngrams(tokens, places, n) for n in range(1, own.order + 1)])
+                levels = _joined_levels(hashes, ends, sizes, rows.column("_levels").to_pylist(), cuts, segments)
+            total = np.add.reduceat(own.log_probabilities(tokens, places, levels), ends - sizes)
             logs = exact[numbers]
             text_of = np.repeat(np.arange(len(sizes)), sizes - 1)
             unknown = np.isnan(logs)
@@ -328,6 +442,9 @@ def score(docs: DataFrame, model: Model, vocabulary: DataFrame, keep: list[str],
 
     more = "n_tokens long, _known long, _base double, score double, _rare array<struct<word: binary, times: bigint>>"
     inputs = docs.select(*keep, F.col(text_col).alias("_text"))
+    if passes:
+        inputs = stored(inputs.withColumn("_row", F.monotonically_increasing_id()), "texts")
+        inputs = inputs.join(_looked_up(inputs, model), "_row")
     scored = stored(inputs.mapInArrow(run, schema_with(docs, keep, more)).withColumn(
         "_row", F.monotonically_increasing_id()), "scored")
     rare = scored.select("_row", F.inline("_rare")).join(vocabulary, "word", "left")
