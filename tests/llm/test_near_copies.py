@@ -73,6 +73,24 @@ def test_rounds_change_nothing(spark, monkeypatch):
     assert Counter(tuple(r) for r in near.near_copies(docs).collect()) == whole
 
 
+def _same(spark, texts):
+    want = _groups(texts)
+    return want, {r.doc_id: r.component_id for r in near.near_copies(_table(spark, texts.items())).collect()}
+
+
+def test_texts_of_one_word_set(spark):
+    """Orders of the same words share all fingerprints; near copies among them are found whichever comes first."""
+    rng = random.Random(7)
+    words, texts = [f"w{n}" for n in range(150)], {}
+    for _ in range(12):
+        own = rng.sample(words, k=150)
+        texts[len(texts)] = " ".join(own)
+        own[40], own[41] = own[41], own[40]
+        texts[len(texts)] = " ".join(own)
+    want, got = _same(spark, texts)
+    assert got == want and len(set(want.values())) == 12
+
+
 def test_edge_cases(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "One two"), (5, "one\ttwo"), (6, "one two three"), (6, "one two three"),
             (None, "one two"), (7, "x " * 30_000), (8, "X " * 30_000), (None, "alone")]

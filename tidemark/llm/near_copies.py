@@ -4,6 +4,8 @@ A SimHash of shingles is too far off at a similarity of 0.8 (some 8 of 64 bits),
 distinct words is not (some 4). So each text has several fingerprints of its words, each
 in a trie of its own, and the trie self-join proposes pairs within a few bits. Every
 pair is then judged by the shingles themselves, unless its texts are connected by then.
+Texts that share or link a fingerprint meet its first text first, and each other in later
+rounds as long as they are not connected.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.common import ASCII_LOWER, attach, salt_of, schema_with, stored, text_slices
+from tidemark.llm.common import ASCII_LOWER, SALTS, attach, salt_of, schema_with, stored, text_slices
 from tidemark.llm.components import components
 from tidemark.llm.simhash import LEAF, trie_links
 
@@ -84,20 +86,47 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         run, schema_with(docs, [id_col], "key binary, fps array<long>, shingles binary"))
 
 
-def candidates(texts: DataFrame, budget: int = BUDGET, leaf: int = LEAF) -> DataFrame:
-    """(a, b), keys of texts that a trie proposes, a < b.
+def candidates(texts: DataFrame, budget: int = BUDGET, leaf: int = LEAF) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(a, b), keys of texts to be judged first, a < b; (key, fp), what texts have in common; links (a, b) between fps.
 
-    Texts with one fingerprint in common meet the first of them, which stands for them
-    in the links of that fingerprint.
+    Texts with one fingerprint in common meet the first of them, which
+    stands for them in the links of that fingerprint.
     """
-    members = texts.select("key", F.explode("fps").alias("fp")).withColumn("salt", salt_of("key"))
+    prints = texts.select("key", F.explode("fps").alias("fp"))
+    members = stored(prints, "members")
+    salted = members.withColumn("salt", salt_of("key"))
     heads = stored(members.groupBy("fp").agg(F.min("key").alias("head")), "heads")
-    links = stored(trie_links(heads.select("fp"), budget, leaf, TAG), "links")
-    stars = attach(members, ["fp"], "salt", {"h": F.min("key")}, {"head": F.min("h")})
+    links = stored(trie_links(heads.filter("fp >= 0").select("fp"), budget, leaf, TAG), "links")
+    stars = attach(salted, ["fp"], "salt", {"h": F.min("key")}, {"head": F.min("h")})
     across = links.join(heads.select(F.col("fp").alias("a"), F.col("head").alias("x")), "a").join(
         heads.select(F.col("fp").alias("b"), F.col("head").alias("y")), "b").select("x", "y")
     every = stars.select(F.col("head").alias("x"), F.col("key").alias("y")).unionByName(across)
-    return every.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    pairs = every.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    return pairs, members, links
+
+
+def _rest(members: DataFrame, links: DataFrame, roots: DataFrame, heads: int) -> tuple[DataFrame, int]:
+    """Pairs (a, b) of unconnected texts within a fingerprint, or of linked ones, that its first text stood for.
+
+    Some ``heads`` texts of each fingerprint meet all; the number is the most texts of a fingerprint that is left.
+    """
+    own = stored(members.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn(
+        "root", F.coalesce("root", "key")), "rooted")
+    groups = stored(own.groupBy("fp").agg(
+        F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")), "groups")
+    one, two = (groups.select(F.col("fp").alias(x), *(F.col(c).alias(c + x) for c in ("n", "low", "high"))) for x in "ab")
+    both = links.join(one, "a").join(two, "b").filter("na + nb > 2 AND (least(lowa, lowb) <> greatest(higha, highb))")
+    within = groups.filter("n > 2 AND low <> high").select(F.col("fp").alias("a"), F.col("fp").alias("b"), F.col("n").alias("na"))
+    open_ = stored(within.unionByName(both.select("a", "b", "na")).unionByName(
+        both.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("nb").alias("na"))), "open")
+    most = open_.agg(F.max("na")).first()[0] or 0
+    first = own.select(F.col("fp").alias("a"), F.col("key").alias("x"), F.col("root").alias("rx"))
+    stands = open_.join(first, "a").filter(
+        F.pmod(F.xxhash64("x"), F.ceil(F.col("na") / heads)) == 0).withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    other = own.select(F.col("fp").alias("b"), F.col("key").alias("y"), F.col("root").alias("ry"), salt_of("key").alias("salt"))
+    pairs = stands.join(other, ["b", "salt"]).filter("rx <> ry")
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), most
 
 
 def _beside(pairs: DataFrame, lists: DataFrame, end: str, other: str, name: str) -> DataFrame:
@@ -130,13 +159,13 @@ def similar(pairs: DataFrame, lists: DataFrame, least: float = SIMILARITY) -> Da
     return known.select("a", "b", "one", "two").mapInArrow(run, "a binary, b binary")
 
 
-def connections(pairs: DataFrame, lists: DataFrame) -> DataFrame:
-    """(node, root) over the similar ones among ``pairs``.
+def connections(pairs: DataFrame, lists: DataFrame, good: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(node, root) over the similar ones among ``pairs`` and those known as ``good``, and all of these.
 
     Each round judges every text against its partners with most pairs; pairs whose texts
     are connected by then need no judgement, so a large group costs about a star.
     """
-    todo, good, fan = stored(pairs, "pairs"), None, FAN
+    todo, fan = stored(pairs, "pairs"), FAN
     while True:
         ends = todo.unionByName(todo.select(F.col("b").alias("a"), F.col("a").alias("b")))
         degrees = ends.groupBy("a").agg(F.count("*").alias("n")).withColumnRenamed("a", "b")
@@ -152,7 +181,7 @@ def connections(pairs: DataFrame, lists: DataFrame) -> DataFrame:
             rest = rest.join(own, end, "left").withColumn(f"r{end}", F.coalesce(f"r{end}", end))
         todo = stored(rest.filter("ra <> rb").select("a", "b"), "pairs")
         if todo.isEmpty():
-            return roots
+            return roots, good
         fan *= GROWTH
 
 
@@ -165,7 +194,18 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     rows = stored(sketches(docs, id_col, text_col).withColumnRenamed(id_col, "id"), "sketches")
     texts = stored(rows.groupBy("key").agg(F.min("id").alias("least"), F.first("fps").alias("fps")), "texts")
-    roots = connections(candidates(texts), rows.select("key", "shingles"))
+    lists = rows.select("key", "shingles")
+    pairs, members, links = candidates(texts)
+    roots, good = connections(pairs, lists)
+    heads = FAN
+    while True:
+        pairs, most = _rest(members, links, roots, heads)
+        if not most:
+            break
+        roots, good = connections(pairs, lists, good)
+        if heads >= most:  # each text was a head
+            break
+        heads *= GROWTH
     owned = stored(texts.join(roots, texts.key == roots.node, "left").select(
         "key", "least", F.coalesce("root", "key").alias("root")), "owned")
     least = owned.groupBy("root").agg(F.min("least").alias("component_id"))
