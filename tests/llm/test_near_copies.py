@@ -91,6 +91,18 @@ def test_texts_of_one_word_set(spark):
     assert got == want and len(set(want.values())) == 12
 
 
+def test_short_texts(spark):
+    rng = random.Random(8)
+    vocabulary, texts = [f"w{n}" for n in range(5_000)], {}
+    for n in (8, 9, 10, 12, 16, 20, 30):
+        for _ in range(20):
+            own = rng.sample(vocabulary, k=n)
+            texts[len(texts)] = " ".join(own)
+            texts[len(texts)] = " ".join([*own, rng.choice(vocabulary)])
+    want, got = _same(spark, texts)
+    assert got == want and len(set(want.values())) < len(texts) / 2 + 10
+
+
 def test_edge_cases(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "One two"), (5, "one\ttwo"), (6, "one two three"), (6, "one two three"),
             (None, "one two"), (7, "x " * 30_000), (8, "X " * 30_000), (None, "alone")]

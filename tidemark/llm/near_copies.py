@@ -5,7 +5,8 @@ distinct words is not (some 4). So each text has several fingerprints of its wor
 in a trie of its own, and the trie self-join proposes pairs within a few bits. Every
 pair is then judged by the shingles themselves, unless its texts are connected by then.
 Texts that share or link a fingerprint meet its first text first, and each other in later
-rounds as long as they are not connected.
+rounds as long as they are not connected. Short texts, whose fingerprints are too far off,
+also meet by their rarest shingles, which no pair of near copies can lack.
 """
 
 from __future__ import annotations
@@ -33,6 +34,9 @@ FAN, GROWTH = 8, 16
 #: Pairs that one copy of a text's shingles serves.
 SHARE = 4096
 
+#: Shingles of a short text: pairs with one of these are proposed without fail.
+SHORT = 80
+
 _AT_ONCE = 1 << 16
 _GOLDEN = 0x9E3779B97F4A7C15
 
@@ -86,14 +90,39 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         run, schema_with(docs, [id_col], "key binary, fps array<long>, shingles binary"))
 
 
+def rare_shingles(texts: DataFrame, least: float = SIMILARITY, short: int = SHORT) -> DataFrame:
+    """(key, fp) with the rarest shingles of short texts, as numbers below zero.
+
+    Two texts as similar as ``least`` share one of the first n - ceil(least * n) + 1 in
+    any common order. A partner of a short text may be longer by 1 / ``least``.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [np.frombuffer(v.as_buffer(), np.uint32) for v in batch.column("shingles")]
+            sizes = np.array([len(x) for x in lists], np.int64)
+            if sizes.sum():
+                every = -np.concatenate(lists).astype(np.int64) - 1
+                key = batch.column("key").take(pa.array(np.repeat(np.arange(len(lists)), sizes)))
+                yield pa.RecordBatch.from_arrays(
+                    [key, pa.array(every), pa.array(np.repeat(sizes, sizes))], ["key", "fp", "n"])
+
+    some = texts.filter(F.length("shingles") <= int(short / least) * 4).select("key", "shingles")
+    every = stored(some.mapInArrow(run, "key binary, fp long, n long"), "shingles").withColumn("salt", salt_of("key"))
+    counted = attach(every, ["fp"], "salt", {"c": F.count("*")}, {"df": F.sum("c")})
+    place = F.row_number().over(Window.partitionBy("key").orderBy("df", "fp"))
+    return counted.withColumn("place", place).filter(
+        F.col("place") <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1).select("key", "fp")
+
+
 def candidates(texts: DataFrame, budget: int = BUDGET, leaf: int = LEAF) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(a, b), keys of texts to be judged first, a < b; (key, fp), what texts have in common; links (a, b) between fps.
 
-    Texts with one fingerprint in common meet the first of them, which
+    Texts with one fingerprint or rare shingle in common meet the first of them, which
     stands for them in the links of that fingerprint.
     """
     prints = texts.select("key", F.explode("fps").alias("fp"))
-    members = stored(prints, "members")
+    members = stored(prints.unionByName(rare_shingles(texts)), "members")
     salted = members.withColumn("salt", salt_of("key"))
     heads = stored(members.groupBy("fp").agg(F.min("key").alias("head")), "heads")
     links = stored(trie_links(heads.filter("fp >= 0").select("fp"), budget, leaf, TAG), "links")
@@ -193,7 +222,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Rows given more than once each get their row. An empty table gives no rows.
     """
     rows = stored(sketches(docs, id_col, text_col).withColumnRenamed(id_col, "id"), "sketches")
-    texts = stored(rows.groupBy("key").agg(F.min("id").alias("least"), F.first("fps").alias("fps")), "texts")
+    texts = stored(rows.groupBy("key").agg(F.min("id").alias("least"), F.first("fps").alias("fps"), F.first(
+        F.when(F.length("shingles") <= int(SHORT / SIMILARITY) * 4, F.col("shingles"))).alias("shingles")), "texts")
     lists = rows.select("key", "shingles")
     pairs, members, links = candidates(texts)
     roots, good = connections(pairs, lists)
