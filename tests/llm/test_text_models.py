@@ -73,6 +73,14 @@ def test_linking(spark):
     assert secrets.scan_secrets(docs.limit(0)).count() == 0
 
 
+def test_long_parts_between(spark):
+    """An identifier and an address with a key of many lines between them are of one group."""
+    key = "\n".join(["aB3xY9kQ" * 8] * 12)
+    text = f"client_id=abc123\n{key}\nhttps://auth.example/o"
+    added = secrets.scan_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().added
+    assert Counter(secrets.KINDS[p.kind] for p in added) == {"user": 1, "blob": 12, "endpoint": 1}
+
+
 def test_secret_query(spark, sf):
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     for r in secrets.op4_secret_scan(spark, sf).collect():

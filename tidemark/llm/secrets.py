@@ -1,10 +1,10 @@
 """Secret scans: single matches, and weak candidates linked by what stands near them.
 
 One pass over the texts finds all parts. Parts that prove nothing alone (a user name, a
-long random token, an address) are reported only where complementary parts stand within
-reach in the same scope, a block of text between blank lines. That test is an interval
-join of parts by scope: windows over the ordered parts give the nearest part of each role
-on either side, so no pairs are formed.
+long random token, an address) are reported only where complementary parts stand in
+their group: parts of one scope, a block of text between blank lines, whose neighbours are
+within reach. Windows over the ordered parts give the groups and the roles in each, so no
+pairs are formed.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ USER = r"""(?:user_?name|user|login|account|client_?id)["']?\x20*[:=]\x20*["']?(
 BLOB = r"[A-Za-z0-9+/_-]{32,}"
 ENDPOINT = r"""[a-z][a-z0-9+.-]*://[^\x20\x09-\x0D"'<>]{4,}"""
 
-#: Characters between parts that are taken together.
+#: Characters between neighbouring parts of a group; a group's parts are taken together.
 REACH = 200
 
 _BLANK_LINE = re.compile(r"\n[ \t\r]*\n")
@@ -114,7 +114,9 @@ def find_parts(docs: DataFrame, text_col: str = "text", keep: list[str] | None =
 
 
 def link(found: DataFrame, row: str, reach: int = REACH) -> DataFrame:
-    """(row, added): the weak parts of each row that have their complement within ``reach``.
+    """(row, added): the weak parts of each row that have their complement in their group.
+
+    A group is a run of parts in one scope, none of them further than ``reach`` from those before it.
 
     A user needs a secret, a blob an identifier, an endpoint both.
     """
@@ -122,15 +124,14 @@ def link(found: DataFrame, row: str, reach: int = REACH) -> DataFrame:
     every = found.filter(F.size("weak") > 0).select(row, F.inline(F.concat("base", "weak"))).withColumn("role", roles)
     scope = Window.partitionBy(row, "scope")
     earlier = scope.orderBy("start", "end", "kind").rowsBetween(Window.unboundedPreceding, -1)
-    later = scope.orderBy(F.desc("start"), F.desc("end"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
+    apart = F.coalesce(F.col("start") - F.max("end").over(earlier) > reach, F.lit(False)).cast("int")
+    grouped = every.withColumn("apart", apart).withColumn("group", F.sum("apart").over(
+        scope.orderBy("start", "end", "kind").rowsBetween(Window.unboundedPreceding, 0)))
 
     def near(role: str) -> Column:
-        own = F.col("role") == role
-        before = F.col("start") - F.max(F.when(own, F.col("end"))).over(earlier) <= reach
-        after = F.min(F.when(own, F.col("start"))).over(later) - F.col("end") <= reach
-        return F.coalesce(before, F.lit(False)) | F.coalesce(after, F.lit(False))
+        return F.max(F.col("role") == role).over(Window.partitionBy(row, "scope", "group"))
 
-    judged = every.withColumn("near_id", near("id")).withColumn("near_secret", near("secret"))
+    judged = grouped.withColumn("near_id", near("id")).withColumn("near_secret", near("secret"))
     linked = F.when(F.col("kind") == 3, F.col("near_secret")).when(F.col("kind") == 4, F.col("near_id")).when(
         F.col("kind") == 5, F.col("near_id") & F.col("near_secret")).otherwise(False)
     return judged.filter(linked).groupBy(row).agg(
