@@ -51,6 +51,19 @@ def test_resolved(spark, pages):
     assert size["revisit", "<urn:page:3>"] == 0 and all(r.payload is None for r in rows)
 
 
+@pytest.mark.parametrize("spoil", [lambda d: d[:-9], lambda d: b""])
+def test_damage_fails_the_query(spark, pages, spoil):
+    manifest = _written(spark, pages)
+    assert warc.verified(manifest, warc.read_warc(manifest)).count() == len(ROWS)
+    path = manifest.first().path.removeprefix("file:")
+    with open(path, "rb") as f:
+        data = f.read()
+    with open(path, "wb") as f:
+        f.write(spoil(data))
+    with pytest.raises(ValueError, match="records read"):
+        warc.verified(manifest, warc.read_warc(manifest))
+
+
 def test_short_payloads_are_responses(spark, pages):
     kinds = Counter(r.type for r in warc.read_warc(_written(spark, pages, least=10)).collect())
     assert kinds == {"response": 8}

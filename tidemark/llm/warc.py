@@ -256,6 +256,16 @@ _SCHEMA = pa.schema([(f.split()[0], {"string": pa.string(), "long": pa.int64(),
                      for f in RECORDS.split(", ")])
 
 
+def verified(manifest: DataFrame, records: DataFrame) -> DataFrame:
+    """``records``; an error where one is damaged or has a wrong digest, or where an archive lacks one."""
+    told = records.groupBy("path").agg(F.count("*").alias("_read"), F.max("error").alias("_error"))
+    wrong = manifest.select("path", "records").join(told, "path", "left").filter(
+        "_error IS NOT NULL OR coalesce(_read, 0) <> records").first()
+    if wrong:
+        raise ValueError(f"{wrong.path}: {wrong._read or 0} of {wrong.records} records read, {wrong._error}")
+    return records
+
+
 def resolved(records: DataFrame) -> DataFrame:
     """Revisits with the ``payload_bytes`` of the response they refer to."""
     target = F.coalesce("refers_to", "record_id")
@@ -267,7 +277,7 @@ def resolved(records: DataFrame) -> DataFrame:
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"), shared_path(spark, "warc"))
-    records = stored(read_warc(manifest, keep_payload=False), "records")
+    records = verified(manifest, stored(read_warc(manifest, keep_payload=False), "records"))
     number = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
     return resolved(records).select(
         number("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"),
