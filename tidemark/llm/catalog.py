@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidemark.llm import bpe, exact_dedup, langid, lm, mixing, repair, secrets, simhash, token_counts, topk, warc
+from tidemark.llm import bpe, exact_dedup, jaccard, langid, lexical, lm, mixing, repair, secrets, simhash, token_counts, topk, warc
 from tidemark.session import pin_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,7 +23,9 @@ QUERIES: dict[str, Query] = {
     "op8_lm_score": lm.op8_lm_score,
     "op9_byte_bpe": bpe.op9_byte_bpe,
     "op10_language_id": langid.op10_language_id,
+    "op11_jaccard_join": jaccard.op11_jaccard_join,
     "op12_conversation_repair": repair.op12_conversation_repair,
+    "op13_lexical_search": lexical.op13_lexical_search,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -32,7 +34,9 @@ SQL: dict[str, str] = {
     "op3_exact_dedup": exact_dedup.SQL,
     "op6_exact_top_k": topk.SQL,
     "op7_mix_sources": mixing.SQL,
+    "op11_jaccard_join": jaccard.SQL,
     "op12_conversation_repair": repair.SQL,
+    "op13_lexical_search": lexical.SQL,
 }
 
 
