@@ -249,7 +249,9 @@ def test_lines_end_in_any_way(spark, tmp_path, monkeypatch):
     put(root, "2024-01-14", 0, content=gzip.compress(text))
     (checked,) = raw.gzip_integrity(raw.raw_files(spark, str(root))).collect()
     assert checked.line_cnt == len(expected)
-    assert [r.line for r in raw.raw_lines(raw.raw_files(spark, str(root))).collect()] == expected
+    *lines, verdict = raw.unpacked(raw.raw_files(spark, str(root))).collect()
+    assert [r.line for r in lines] == expected and not any(r.done for r in lines)
+    assert (verdict.done, verdict.error, verdict.line_cnt, verdict.text_bytes) == (True, None, len(expected), len(text))
 
 
 def test_volume(spark, zone, tmp_path):
@@ -268,7 +270,7 @@ def test_one_file_per_hour_with_zstd(spark, zone, tmp_path):
     ods = str(tmp_path / "ods")
     warehouse.land(spark, str(zone), ods)
     for folder in Path(ods).glob("dt=*/hour=*"):
-        (file,) = folder.glob("*.parquet")
+        (file,) = folder.glob("file=*/*.parquet")
         assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"
 
 

@@ -1,15 +1,18 @@
 import datetime as dt
+import gzip
 from pathlib import Path
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tests.conftest import physical, rows
 from tidemark.operators import rollups
 from tidemark.operators.fact import fact_from_ods
 from tidemark.plans import catalog, reports, warehouse
-from tidemark.sources import tables
-from tidemark.sources.adapter import ods_from_events
+from tidemark.session import delete
+from tidemark.sources import tables, versions
+from tidemark.sources.adapter import ods_from_events, raw_lines_from_events
 
 
 @pytest.fixture(scope="module")
@@ -26,15 +29,15 @@ def ods(spark, sf, tmp_path):
 
 def test_pipeline_equals_direct_queries(spark, sf, root):
     fact = fact_from_ods(ods_from_events(spark, sf))
-    stored = tables.read_table(spark, root, "dwd", "event_fact")
+    stored = versions.read_table(spark, root, "dwd", "event_fact")
     assert rows(stored.select(fact.columns)) == rows(fact)
     for name, build in rollups.ADS_TABLES.items():
         want = build(fact)
-        assert rows(tables.read_table(spark, root, "ads", name).select(want.columns)) == rows(want), name
+        assert rows(versions.read_table(spark, root, "ads", name).select(want.columns)) == rows(want), name
 
 
 def test_views_answer_sql(spark, root):
-    tables.register_views(spark, root).collect()
+    versions.register_views(spark, root).collect()
     total = spark.sql("SELECT sum(event_cnt) FROM ads_daily_event_type").first()[0]
     assert total == spark.sql("SELECT count(*) FROM dwd_event_fact").first()[0]
     assert {(r.layer, r.table) for r in tables.list_views(spark).collect()} == set(tables.LAYOUT)
@@ -44,7 +47,7 @@ def test_views_answer_sql(spark, root):
 
 def test_missing_table_is_reported_and_has_no_view(spark, root, tmp_path):
     layout = [("ads", "daily_event_type"), ("ads", "absent")]
-    got = {r.table: (r.rows, r.status) for r in tables.register_views(spark, root, layout).collect()}
+    got = {r.table: (r.rows, r.status) for r in versions.register_views(spark, root, layout).collect()}
     assert got["absent"] == (None, "missing") and got["daily_event_type"][1] == "ready"
     assert not spark.catalog.tableExists("ads_absent")
 
@@ -73,23 +76,24 @@ def test_extract(spark, root, tmp_path):
     got = {r.table: r for r in warehouse.write_extract(spark, root, out, rows=2).collect()}
     assert got["daily_org_rank"].rows == 60 < got["daily_org_rank"].full_rows
     assert got["daily_pr_funnel"].pct == 100.0
-    assert tables.read_table(spark, out, "serving", "meta").first().kind == "demo"
-    assert rows(tables.read_table(spark, out, "serving", "summary")) == rows(
-        tables.read_table(spark, root, "serving", "summary"))
+    assert versions.read_table(spark, out, "serving", "meta").first().kind == "demo"
+    assert rows(versions.read_table(spark, out, "serving", "summary")) == rows(
+        versions.read_table(spark, root, "serving", "summary"))
 
 
 def test_small_tables_are_one_file(root):
     for layer, name in [("dwd", "dim_repo"), ("dwd", "dim_actor"), ("dwd", "dim_date"), ("serving", "meta")]:
-        assert len(list(Path(tables.table_path(root, layer, name)).glob("*.parquet"))) == 1
+        assert len(list(Path(tables.table_path(root, layer, name)).glob("run=*/*.parquet"))) == 1
     for name in rollups.ADS_TABLES:
-        for day in Path(tables.table_path(root, "ads", name)).glob("date=*"):
+        for day in Path(tables.table_path(root, "ads", name)).glob("run=*/date=*"):
             assert len(list(day.glob("*.parquet"))) == 1
 
 
-def test_table_size(spark, root):
-    path = tables.table_path(root, "dwd", "dim_repo")
+def test_table_size(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_table(spark.range(70), path)
     size = tables.table_size(spark, path).first()
-    assert (size.rows, size.files) == (spark.read.parquet(path).count(), 1)
+    assert (size.rows, size.files) == (70, 1)
     assert size.bytes == sum(p.stat().st_size for p in Path(path).glob("*.parquet"))
 
 
@@ -99,39 +103,152 @@ def test_quality_report(spark, root, tmp_path):
     assert got.failed == 1  # the smallest tables do not fill all hours of each day
 
 
-def _files(root, *tables_):
-    return {p: p.stat().st_mtime_ns for t in tables_ for p in Path(root, *t).rglob("*.parquet")}
+def _files(root):
+    return {str(p.relative_to(root)): p.stat().st_mtime_ns for p in Path(root).rglob("*.parquet") if "versions" not in p.parts}
+
+
+def _agrees(spark, root, ods):
+    """All tables of the version in use equal those built straight from the whole fact."""
+    whole = fact_from_ods(spark.read.parquet(ods).drop("file", "raw_path"))
+    read = lambda layer, name: versions.read_table(spark, root, layer, name)
+    assert rows(read("dwd", "event_fact").select(whole.columns)) == rows(whole)
+    for name, build in rollups.ADS_TABLES.items():
+        want = build(whole)
+        assert rows(read("ads", name).select(want.columns)) == rows(want), name
+    for name, build in warehouse.DIMENSIONS.items():
+        want = build(whole)
+        assert rows(read("dwd", name).select(want.columns)) == rows(want), name
+    assert rows(read("serving", "summary").select("date", "events", "repos", "actors")) == rows(rollups.daily_summary(whole))
 
 
 def test_only_changed_days_are_built(spark, ods, tmp_path):
     root = str(tmp_path / "w")
-    fact = tables.table_path(root, "dwd", "event_fact")
-    ads = [("ads", name) for name in rollups.ADS_TABLES] + [("serving", "summary")]
-    warehouse.build_fact_days(spark, ods, fact)
-    warehouse.build_dims(spark, root)
-    warehouse.build_rollups(spark, root)
-    built = _files(root, *ads, ("dwd",))
-    warehouse.build_fact_days(spark, ods, fact)
-    warehouse.build_dims(spark, root)
-    warehouse.build_rollups(spark, root)
-    assert _files(root, *ads, ("dwd",)) == built
+    assert warehouse.build_from(spark, ods, root) == ["2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04"]
+    built = _files(root)
+    assert warehouse.build_from(spark, ods, root) == [] and _files(root) == built and versions.numbers(spark, root) == [1]
 
     late = spark.read.parquet(ods).filter("dt = '2024-01-03' and hour = 5").withColumn("hour", F.lit(30))
     tables.write_days(late.withColumn("event_id", F.concat(F.lit("late"), "event_id")), ods, "dt", "hour")
+    assert warehouse.build_from(spark, ods, root) == ["2024-01-03"]
+    new = set(_files(root)) - set(built)
+    assert {p.parent.name for p in map(Path, new) if "=2024" in p.parent.name} == {"dt=2024-01-03", "date=2024-01-03"}
+    assert {p: t for p, t in _files(root).items() if p in built} == built
+    _agrees(spark, root, ods)
+    assert "PartitionFilters: [isnotnull(date" in physical(
+        reports.between(versions.read_table(spark, root, "ads", "daily_repo_rank"), "2024-01-02", "2024-01-03"))
+
+
+def test_days_that_empty_or_shrink_leave_all_tables(spark, ods, tmp_path):
+    """Dimensions take back the share of a day that was built anew, went empty or went away."""
+    root = str(tmp_path / "w")
+    warehouse.build_from(spark, ods, root)
+    for hour in Path(ods).glob("dt=2024-01-02/hour=*"):
+        if hour.name != "hour=7":
+            delete(spark, str(hour))
+    delete(spark, f"{ods}/dt=2024-01-04")
+    out_of_scope = spark.read.parquet(ods).filter("dt = '2024-01-01'").withColumn("event_type", F.lit("Unknown"))
+    tables.write_days(out_of_scope.limit(20).repartition(1), f"{ods}_new", "dt", "hour")
+    delete(spark, f"{ods}/dt=2024-01-01")
+    tables.write_days(spark.read.parquet(f"{ods}_new"), ods, "dt", "hour")
+    assert warehouse.build_from(spark, ods, root) == ["2024-01-01", "2024-01-02"]
+    _agrees(spark, root, ods)
+    assert {str(r.date) for r in versions.read_table(spark, root, "ads", "hourly_activity").select("date").distinct().collect()} == {
+        "2024-01-02", "2024-01-03"}
+    listed = {(r.layer, r.name): (r.days, r.empty_days) for r in versions.listing(spark, root).collect()}
+    assert listed["dwd", "event_fact"] == (2, 1) and listed["ads", "daily_org_rank"] == (2, 1)
+
+
+def test_old_versions_are_read_until_they_are_vacuumed(spark, ods, tmp_path):
+    root = str(tmp_path / "w")
+    warehouse.build_from(spark, ods, root)
+    before = rows(versions.read_table(spark, root, "ads", "daily_pr_funnel"))
+    more = spark.read.parquet(ods).filter("dt = '2024-01-03'").withColumn("hour", F.lit(31))
+    tables.write_days(more, ods, "dt", "hour")
+    warehouse.build_from(spark, ods, root)
+    old = versions.current(spark, root, 1)
+    assert rows(versions.read(spark, root, "ads", "daily_pr_funnel", old)) == before
+    assert rows(versions.read_table(spark, root, "ads", "daily_pr_funnel")) != before
+    assert versions.vacuum(spark, root, keep=2) == 0
+    assert versions.vacuum(spark, root, keep=1) > 0 and versions.numbers(spark, root) == [2]
+    _agrees(spark, root, ods)
+
+
+def test_a_race_has_one_winner(spark, ods, tmp_path):
+    root = str(tmp_path / "w")
+    warehouse.build_from(spark, ods, root)
+    more = spark.read.parquet(ods).filter("dt = '2024-01-03'").withColumn("hour", F.lit(31))
+    tables.write_days(more, ods, "dt", "hour")
+    slow = versions.Draft(spark, root)
+    warehouse.build_fact(slow, spark.read.parquet(ods), tables.day_prints(spark, ods))
+    warehouse.build_from(spark, ods, root)
+    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+        slow.commit()
+    slow.abandon()
+    _agrees(spark, root, ods)
+
+
+def test_an_hour_that_lands_during_the_job_is_built_by_the_next(spark, ods, tmp_path, monkeypatch):
+    fact, build = str(tmp_path / "fact"), warehouse.fact_from_ods
+    late = spark.read.parquet(ods).filter("dt = '2024-01-03'").withColumn("hour", F.lit(31))
+
+    def landing_meanwhile(source):
+        made = build(source)
+        tables.write_days(late, ods, "dt", "hour")
+        return made
+
+    monkeypatch.setattr(warehouse, "fact_from_ods", landing_meanwhile)
+    assert len(warehouse.build_fact_days(spark, ods, fact)) == 4
+    monkeypatch.setattr(warehouse, "fact_from_ods", build)
     assert warehouse.build_fact_days(spark, ods, fact) == [dt.date(2024, 1, 3)]
-    warehouse.build_dims(spark, root)
-    warehouse.build_rollups(spark, root)
-    now = _files(root, *ads)
-    changed = {p.parent.name for p in now if now[p] != built.get(p)}
-    assert changed == {"date=2024-01-03"}
     whole = fact_from_ods(spark.read.parquet(ods))
-    assert rows(tables.read_table(spark, root, "dwd", "event_fact").select(whole.columns)) == rows(whole)
-    for name, build in rollups.ADS_TABLES.items():
-        want = build(whole)
-        assert rows(tables.read_table(spark, root, "ads", name).select(want.columns)) == rows(want), name
-    assert tables.read_table(spark, root, "dwd", "dim_repo").agg(F.sum("event_cnt")).first()[0] == whole.count()
-    assert "PartitionFilters: [isnotnull(date" in physical(
-        reports.between(tables.read_table(spark, root, "ads", "daily_repo_rank"), "2024-01-02", "2024-01-03"))
+    assert rows(spark.read.parquet(fact).select(whole.columns)) == rows(whole)
+
+
+def test_a_fact_day_that_is_asked_for_and_empties(spark, ods, tmp_path):
+    fact = str(tmp_path / "fact")
+    warehouse.build_fact_days(spark, ods, fact)
+    delete(spark, f"{ods}/dt=2024-01-02")
+    assert warehouse.build_fact_days(spark, ods, fact) == [dt.date(2024, 1, 2)]
+    assert {str(r.dt) for r in spark.read.parquet(fact).select("dt").distinct().collect()} == {
+        "2024-01-01", "2024-01-03", "2024-01-04"}
+    assert warehouse.build_fact_days(spark, ods, fact) == []
+
+
+def _zone(spark, sf, path, last="2024-01-02"):
+    lines = raw_lines_from_events(spark, sf).filter(F.col("dt") <= last).hint("rebalance", "dt", "hour")
+    lines.write.partitionBy("dt", "hour").option("compression", "gzip").text(path)
+
+
+def test_a_closed_gate_changes_nothing(spark, sf, tmp_path):
+    raw_root, root = str(tmp_path / "raw"), str(tmp_path / "w")
+    _zone(spark, sf, raw_root)
+    warehouse.build_warehouse(spark, raw_root, root)
+    before, fact = _files(root), rows(versions.read_table(spark, root, "dwd", "event_fact"))
+    bad = Path(raw_root, "dt=2024-01-03", "hour=0")
+    bad.mkdir(parents=True)
+    sound = '{"id": "%s", "type": "PushEvent", "actor": {"id": 1, "login": "a"}, "repo": {"id": 2, "name": "o/r"}, "created_at": "2024-01-03T00:00:00Z"}\n'
+    (bad / "one.json.gz").write_bytes(gzip.compress((sound % "new" + sound % "").encode()))
+    with pytest.raises(warehouse.GateClosed, match="R1") as closed:
+        warehouse.build_warehouse(spark, raw_root, root)
+    assert [r.passed for r in closed.value.rules][0] is False and len(closed.value.rules) == 5
+    assert _files(root) == before and rows(versions.read_table(spark, root, "dwd", "event_fact")) == fact
+    with pytest.raises(warehouse.GateClosed):  # the file is still due
+        warehouse.build_warehouse(spark, raw_root, root)
+    (bad / "one.json.gz").write_bytes(gzip.compress((sound % "new").encode()))
+    status = {r.table: r.rows for r in warehouse.build_warehouse(spark, raw_root, root).collect()}
+    assert status["event_fact"] == len(fact) + 1 and versions.numbers(spark, root) == [1, 2]
+    _agrees(spark, root, f"{root}/ods/events")
+    built = _files(root)
+    warehouse.build_warehouse(spark, raw_root, root)
+    assert _files(root) == built
+
+
+def test_a_gate_that_is_left_open(spark, sf, tmp_path):
+    raw_root, root = str(tmp_path / "raw"), str(tmp_path / "w")
+    (tmp_path / "raw" / "dt=2024-01-03" / "hour=0").mkdir(parents=True)
+    (tmp_path / "raw" / "dt=2024-01-03" / "hour=0" / "x.json.gz").write_bytes(gzip.compress(b'{"type": "PushEvent"}\n'))
+    status = {r.table: r.status for r in warehouse.build_warehouse(spark, raw_root, root, gate=False).collect()}
+    assert status["events"] == "ready" and status["event_fact"] == "missing"  # no row is in scope
 
 
 def test_questions(spark, root):
@@ -142,7 +259,7 @@ def test_questions(spark, root):
 
 
 def test_statements(spark, root):
-    tables.register_views(spark, root)
+    versions.register_views(spark, root)
     got = warehouse.run_statement(spark, "```sql\nSELECT date, event_cnt FROM ads_daily_repo_rank;\n```")
     assert got.count() == 200
     with pytest.raises(ValueError, match="forbidden word"):
@@ -153,6 +270,6 @@ def test_statements(spark, root):
 
 def test_sample_export(spark, root, tmp_path):
     path = str(tmp_path / "sample")
-    tables.export_sample(tables.read_table(spark, root, "dwd", "event_fact"), path, "event_id", "event_type", rows=7)
+    tables.export_sample(versions.read_table(spark, root, "dwd", "event_fact"), path, "event_id", "event_type", rows=7)
     sample = spark.read.parquet(path)
     assert (sample.count(), sample.columns) == (7, ["event_id", "event_type"])

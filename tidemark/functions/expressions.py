@@ -14,14 +14,15 @@ def is_blank(name: str) -> Column:
     return F.col(name).isNull() | (F.col(name) == "")
 
 
-def count_where(condition: Column) -> Column:
-    """Number of rows meeting the condition; 0, not NULL, for no rows."""
-    return F.count_if(condition)
+def count_where(condition: Column, weight: Column | None = None) -> Column:
+    """Number of rows meeting the condition, or their weights' sum; 0, not NULL, for no rows."""
+    return F.count_if(condition) if weight is None else F.coalesce(F.sum(F.when(condition, weight)), F.lit(0)).cast("long")
 
 
-def type_counts(names: Iterable[str] = tuple(fixed.COUNT_COLUMNS), kind: str = "event_type") -> list[Column]:
+def type_counts(names: Iterable[str] = tuple(fixed.COUNT_COLUMNS), kind: str = "event_type",
+                weight: Column | None = None) -> list[Column]:
     """One conditional count per requested column, for use inside ``agg``."""
-    return [count_where(F.col(kind) == fixed.COUNT_COLUMNS[n]).alias(n) for n in names]
+    return [count_where(F.col(kind) == fixed.COUNT_COLUMNS[n], weight).alias(n) for n in names]
 
 
 def is_bot(login: str = "actor_login") -> Column:

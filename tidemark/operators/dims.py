@@ -8,7 +8,30 @@ from tidemark.functions.expressions import newest
 from tidemark.operators.skew import lookup_join
 
 
-def _entity(fact: DataFrame, key: str, attributes: dict, at: str, day: str) -> DataFrame:
+#: Attributes of an entity and which of their values count, in SQL.
+REPO = {"repo_name": "repo_name <> ''", "org_login": "org_login <> ''", "language": "language IS NOT NULL"}
+ACTOR = {"actor_login": "actor_login <> ''"}
+
+
+def _spellings(rows: DataFrame, *by: str) -> DataFrame:
+    """Events and the last time by ``by``, from events or from rows that stand for several."""
+    folded = "events" in rows.columns
+    return rows.groupBy(*by).agg(
+        (F.sum("events") if folded else F.count("*")).alias("events"),
+        F.max("last_ts" if folded else "event_ts").alias("last_ts"),
+        *(x for x in (F.min("dt").alias("first_seen_dt"), F.max("dt").alias("last_seen_dt")) if "dt" not in by))
+
+
+def repo_days(rows: DataFrame) -> DataFrame:
+    """What a day adds to ``dim_repo``; replaced as a whole when the day is built anew."""
+    return _spellings(rows, "dt", "repo_id", *REPO)
+
+
+def actor_days(rows: DataFrame) -> DataFrame:
+    return _spellings(rows, "dt", "actor_id", *ACTOR)
+
+
+def _entity(rows: DataFrame, key: str, attributes: dict) -> DataFrame:
     """One row per key: size, first and last day, and the newest value of each attribute.
 
     The first grouping is by key *and* attribute values. Its buffers are plain
@@ -16,32 +39,25 @@ def _entity(fact: DataFrame, key: str, attributes: dict, at: str, day: str) -> D
     folds a hot key down to its few spellings before anything is shuffled by
     the key alone; the string comparison then only sees those.
     """
-    spellings = fact.groupBy(key, *attributes).agg(
-        F.count("*").alias("event_cnt"),
-        F.min(day).alias("first_seen_dt"),
-        F.max(day).alias("last_seen_dt"),
-        F.max(at).alias("_at"),
-    )
-    return spellings.groupBy(key).agg(
+    return _spellings(rows, key, *attributes).groupBy(key).agg(
         # A NULL key belongs to no entity: it keeps its counts and has no attributes.
-        *[newest(name, "_at", keep & F.col(key).isNotNull()).alias(name) for name, keep in attributes.items()],
-        F.sum("event_cnt").alias("event_cnt"),
+        *[newest(name, "last_ts", F.expr(keep) & F.col(key).isNotNull()).alias(name) for name, keep in attributes.items()],
+        F.sum("events").alias("event_cnt"),
         F.min("first_seen_dt").alias("first_seen_dt"),
         F.max("last_seen_dt").alias("last_seen_dt"),
     )
 
 
-def dim_repo(fact: DataFrame) -> DataFrame:
-    """Repositories: newest non-empty name and organisation, newest known language, each on its own."""
-    return _entity(fact, "repo_id", {
-        "repo_name": F.col("repo_name") != "",
-        "org_login": F.col("org_login") != "",
-        "language": F.col("language").isNotNull(),
-    }, at="event_ts", day="dt")
+def dim_repo(rows: DataFrame) -> DataFrame:
+    """Repositories: newest non-empty name and organisation, newest known language, each on its own.
+
+    From the fact, its daily grain or ``repo_days``: the result is the same.
+    """
+    return _entity(rows, "repo_id", REPO)
 
 
-def dim_actor(fact: DataFrame) -> DataFrame:
-    return _entity(fact, "actor_id", {"actor_login": F.col("actor_login") != ""}, at="event_ts", day="dt")
+def dim_actor(rows: DataFrame) -> DataFrame:
+    return _entity(rows, "actor_id", ACTOR)
 
 
 def dim_date(fact: DataFrame, day: str = "dt") -> DataFrame:

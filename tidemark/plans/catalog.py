@@ -11,7 +11,7 @@ from tidemark.operators import dims, profile, quality, rollups, texts
 from tidemark.operators.fact import build_fact, fact_from_ods, in_scope, parse_payload
 from tidemark.plans import reports, warehouse
 from tidemark.session import pin_utc, scratch_dir
-from tidemark.sources import raw, tables
+from tidemark.sources import raw, tables, versions
 from tidemark.sources.adapter import fact_from_events, ods_from_events, raw_lines_from_events
 from tidemark.streaming.landing import land_stream
 
@@ -150,6 +150,10 @@ def _report_queries() -> dict[str, Query]:
         "peak_trough": _fact(lambda f: reports.peak_trough(heat(f))),
         "funnel_series": _fact(series),
         "funnel_long": _fact(lambda f: reports.funnel_long(series(f))),
+        "range_distinct": _fact(lambda f: reports.range_distinct(rollups.distinct_days(f), rollups.daily_summary(f))),
+        "range_distinct_week": _fact(lambda f: reports.range_distinct(
+            rollups.distinct_days(f), rollups.daily_summary(f), "2024-01-08", "2024-01-14")),
+        "last_full_days": _fact(lambda f: reports.last_full_days(rollups.daily_event_type(f), 7, today="2024-01-20")),
     }
     out["capped_answer"] = _fact(lambda f: texts.capped_answer(
         rollups.daily_repo_rank(f).orderBy("date", F.desc("event_cnt"), "repo_id", "repo_name")))
@@ -231,7 +235,7 @@ def _pipeline_queries() -> dict[str, Query]:
     """Queries that go through files: written by Spark from the given tables, then read back."""
 
     def landed_ods(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return spark.read.parquet(_landed(spark, sf_dir)).drop("raw_path")
+        return spark.read.parquet(_landed(spark, sf_dir)).drop("raw_path", "file")
 
     def late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         """Each hour has two files, of which one comes after the hour was landed."""
@@ -241,7 +245,77 @@ def _pipeline_queries() -> dict[str, Query]:
             part = lines.filter(F.col("late") == late).drop("late").hint("rebalance", "dt", "hour")
             part.write.mode("append").partitionBy("dt", "hour").option("compression", "gzip").text(raw_root)
             warehouse.land(spark, raw_root, ods_path)
-        return spark.read.parquet(ods_path).drop("raw_path")
+        return spark.read.parquet(ods_path).drop("raw_path", "file")
+
+    def archived_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Each hour has two files, of which the first is gone from the landing zone when the second comes."""
+        ods_path = scratch_dir(spark, "ods")
+        lines = raw_lines_from_events(spark, sf_dir).withColumn("late", F.pmod(F.xxhash64("line"), F.lit(2)) == 1)
+        for late in (False, True):
+            raw_root = scratch_dir(spark, "raw")  # as if the files of the first were moved away
+            part = lines.filter(F.col("late") == late).drop("late").hint("rebalance", "dt", "hour")
+            part.write.partitionBy("dt", "hour").option("compression", "gzip").text(raw_root)
+            warehouse.land(spark, raw_root, ods_path)
+        return spark.read.parquet(ods_path).drop("raw_path", "file")
+
+    def closed_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The blocking rule on a day that lacks its keys, and the rows that readers still see: those of before."""
+        raw_root, root = scratch_dir(spark, "raw"), scratch_dir(spark, "gated")
+        lines = raw_lines_from_events(spark, sf_dir)
+        last = lines.agg(F.max("dt")).scalar()
+        for bad in (False, True):
+            part = lines.filter((F.col("dt") == last) == bad)
+            line = F.regexp_replace("line", '"id":[^,]*,"type"', '"id":"","type"') if bad else F.col("line")
+            part.select("dt", "hour", line.alias("line")).hint("rebalance", "dt", "hour").write.mode("append").partitionBy(
+                "dt", "hour").option("compression", "gzip").text(raw_root)
+            try:
+                warehouse.build_warehouse(spark, raw_root, root)
+            except warehouse.GateClosed as closed:
+                rules = spark.createDataFrame(closed.rules)
+        rows = {name: versions.read_table(spark, root, layer, name).agg(F.count("*").alias("n")).scalar().alias(f"{name}_rows")
+                for layer, name in (("ods", "events"), ("dwd", "event_fact"), ("serving", "summary"))}
+        return rules.filter("id = 'R1'").select("id", "value", "passed", *rows.values())
+
+    def stored(layer: str, name: str, *without: str) -> Query:
+        """A table of the built warehouse, read back."""
+        return lambda spark, sf_dir: versions.read_table(spark, _warehouse(spark, sf_dir), layer, name).drop(*without)
+
+    def meta_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+        meta = versions.read_table(spark, _warehouse(spark, sf_dir), "serving", "meta")
+        return meta.withColumn("built_today", F.abs(F.date_diff(F.current_timestamp(), "built_at")) <= 1).drop("built_at")
+
+    def quality_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The rules from the report that was written as JSON."""
+        path = scratch_dir(spark, "quality")
+        warehouse.write_quality_report(spark, _warehouse(spark, sf_dir), path)
+        return spark.read.json(path).select(F.inline("rules"))
+
+    def views(spark: SparkSession, sf_dir: str) -> DataFrame:
+        versions.register_views(spark, _warehouse(spark, sf_dir))
+        return tables.list_views(spark)
+
+    def sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Rows by the footers, and whether files and bytes are told, of the landed table."""
+        return tables.table_size(spark, _landed(spark, sf_dir)).select(
+            "rows", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > F.col("rows")).alias("has_bytes"))
+
+    def sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_dir(spark, "sample")
+        summary = versions.read_table(spark, _warehouse(spark, sf_dir), "serving", "summary")
+        tables.export_sample(summary, path, "date", "events")
+        return spark.read.parquet(path)
+
+    def extract_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+        out = scratch_dir(spark, "extract")
+        warehouse.write_extract(spark, _warehouse(spark, sf_dir), out, rows=20)
+        return spark.read.parquet(tables.table_path(out, "ads", "daily_repo_rank"))
+
+    def statement(spark: SparkSession, sf_dir: str) -> DataFrame:
+        versions.register_views(spark, _warehouse(spark, sf_dir))
+        return warehouse.run_statement(spark, """
+            WITH days AS (SELECT date, sum(event_cnt) AS n FROM ads_daily_event_type GROUP BY date)
+            SELECT s.date, d.n, s.events FROM days d JOIN serving_summary s ON s.date = d.date
+            WHERE s.events = (SELECT max(events) FROM serving_summary)""")
 
     def ingest_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
         return warehouse.ingest_volume(spark, _raw_zone(spark, sf_dir), _landed(spark, sf_dir)).select(
@@ -270,7 +344,7 @@ def _pipeline_queries() -> dict[str, Query]:
         return spark.read.parquet(fact_path)
 
     def catalog_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return tables.register_views(spark, _warehouse(spark, sf_dir))
+        return versions.register_views(spark, _warehouse(spark, sf_dir))
 
     def extract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         return warehouse.write_extract(spark, _warehouse(spark, sf_dir), scratch_dir(spark, "extract"), rows=20)
@@ -291,6 +365,20 @@ def _pipeline_queries() -> dict[str, Query]:
         "bad_line_report": bad_lines,
         "landed_ods": landed_ods,
         "landed_late_files": late_files,
+        "landed_archived_files": archived_files,
+        "closed_gate": closed_gate,
+        **{f"stored_{name}": stored("ads", name) for name in rollups.ADS_TABLES},
+        "stored_summary": stored("serving", "summary"),
+        "stored_dim_repo": stored("dwd", "dim_repo"),
+        "stored_dim_actor": stored("dwd", "dim_actor"),
+        "stored_dim_date": stored("dwd", "dim_date"),
+        "stored_meta": meta_row,
+        "stored_quality_report": quality_file,
+        "stored_sample": sample,
+        "stored_extract": extract_rows,
+        "registered_views": views,
+        "guarded_statement": statement,
+        "landed_size": sizes,
         "ingest_volume": ingest_volume,
         "hour_states": hour_states,
         "gzip_integrity": gzip_integrity,

@@ -98,6 +98,9 @@ _ADS = {
                      "count(DISTINCT actor_id) AS actors FROM fact GROUP BY dt",
 }
 
+_RANGE_DISTINCT = ("SELECT count(*) AS events, count(DISTINCT dt) AS days, count(DISTINCT repo_id) AS repos, "
+                   "count(DISTINCT actor_id) AS actors FROM fact WHERE {}")
+
 _SPAN = "date IS NOT NULL"
 _HUMAN = "actor_login NOT LIKE '%[bot]' AND actor_login NOT LIKE '%-bot'"
 
@@ -338,6 +341,10 @@ def oracle_sql() -> dict[str, str]:
   FROM fact f LEFT JOIN r ON f.repo_id = r.repo_id LEFT JOIN a ON f.actor_id = a.actor_id
   LEFT JOIN d ON f.dt = d.date"""),
         # dashboard
+        "range_distinct": _with_fact(_RANGE_DISTINCT.format("true")),
+        "range_distinct_week": _with_fact(_RANGE_DISTINCT.format("dt BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'")),
+        "last_full_days": _over("daily_event_type", "SELECT * FROM daily_event_type "
+                                "WHERE date BETWEEN DATE '2024-01-13' AND DATE '2024-01-19'"),
         "available_dates": _with_fact("SELECT DISTINCT dt AS date FROM fact"),
         "kpi_range": _over("daily_summary", f"""
   SELECT CAST(sum(events) AS BIGINT) AS events, count(*) AS days, avg(repos) AS repos_daily, avg(actors) AS actors_daily
@@ -436,6 +443,28 @@ def oracle_sql() -> dict[str, str]:
         "ods_from_raw": _with_ods(_LANDED),
         "landed_ods": _with_ods(_LANDED),
         "landed_late_files": _with_ods(_LANDED),
+        "landed_archived_files": _with_ods(_LANDED),
+        "closed_gate": _with_fact(""", d AS (SELECT max(dt) AS last FROM ods)
+  SELECT 'R1' AS id, CAST((SELECT count(*) FROM ods, d WHERE dt = last) AS DOUBLE) AS value, false AS passed,
+         (SELECT count(*) FROM ods, d WHERE dt < last) AS events_rows, (SELECT count(*) FROM fact, d WHERE dt < last) AS event_fact_rows,
+         (SELECT count(DISTINCT dt) FROM fact, d WHERE dt < last) AS summary_rows"""),
+        **{f"stored_{name}": _with_fact(body) for name, body in _ADS.items() if name != "daily_summary"},
+        "stored_summary": _with_fact(_ADS["daily_summary"]),
+        "stored_dim_repo": _with_fact(_DIM_REPO),
+        "stored_dim_actor": _with_fact(_DIM_ACTOR),
+        "stored_dim_date": _with_fact(_DIM_DATE),
+        "stored_meta": _with_fact("SELECT count(DISTINCT dt) AS days, min(dt) AS date_from, max(dt) AS date_to, "
+                                  "'full' AS kind, true AS built_today FROM fact"),
+        "stored_quality_report": f"WITH {_FACT} {_RULES} SELECT * FROM rules",
+        "stored_sample": _with_fact("SELECT dt AS date, count(*) AS events FROM fact GROUP BY dt"),
+        "stored_extract": _top("daily_repo_rank", "repo_id, repo_name", 20),
+        "registered_views": "SELECT unnest(['ods', 'dwd', 'dwd', 'dwd', 'dwd', 'ads', 'ads', 'ads', 'ads', 'ads', 'ads', 'serving', 'serving']) "
+                            "AS layer, unnest(['events', 'event_fact', 'dim_repo', 'dim_actor', 'dim_date', 'daily_event_type', "
+                            "'daily_repo_rank', 'daily_actor_active', 'daily_org_rank', 'hourly_activity', 'daily_pr_funnel', "
+                            "'summary', 'meta']) AS \"table\"",
+        "guarded_statement": _with_fact(""", d AS (SELECT dt, count(*) AS n FROM fact GROUP BY dt)
+  SELECT dt AS date, n, n AS events FROM d WHERE n = (SELECT max(n) FROM d)"""),
+        "landed_size": _with_ods("SELECT count(*) AS rows, true AS has_files, true AS has_bytes FROM ods"),
         "bad_line_report": """
 WITH lines AS (
   SELECT 'documents' AS source, unnest(string_split(text, chr(10))) AS line FROM documents

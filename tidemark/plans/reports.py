@@ -25,9 +25,10 @@ def between(table: DataFrame, first: Day = None, last: Day = None, column: str =
     return table
 
 
-def last_full_days(table: DataFrame, days: int = 7, column: str = "date") -> DataFrame:
-    """The last whole days before today."""
-    return table.filter(F.col(column).between(F.date_sub(F.current_date(), days), F.date_sub(F.current_date(), 1)))
+def last_full_days(table: DataFrame, days: int = 7, column: str = "date", today: Day = None) -> DataFrame:
+    """The last whole days before today, or before a given day."""
+    end = F.current_date() if today is None else F.lit(str(today)).cast("date")
+    return table.filter(F.col(column).between(F.date_sub(end, days), F.date_sub(end, 1)))
 
 
 def on_dates(table: DataFrame, dates: list, column: str = "date") -> DataFrame:
@@ -55,6 +56,27 @@ def kpi_range(summary: DataFrame, first: Day = None, last: Day = None) -> DataFr
         F.avg("repos").alias("repos_daily"), F.avg("actors").alias("actors_daily"))
 
 
+def range_distinct(distinct_days: DataFrame, summary: DataFrame, first: Day = None, last: Day = None) -> DataFrame:
+    """Events, days, and the distinct repositories and contributors of the whole range, exactly.
+
+    The bitmaps of the range's days are joined bucket by bucket; the events stay unread.
+    """
+    joined = between(distinct_days, first, last, "dt").groupBy("kind", "bucket").agg(F.bitmap_or_agg("bitmap").alias("ids"))
+    counts = joined.agg(*(F.coalesce(F.sum(F.when(F.col("kind") == kind, F.bitmap_count("ids"))), F.lit(0)).alias(name)
+                          for kind, name in (("repo", "repos"), ("actor", "actors"))))
+    return between(summary, first, last).agg(F.coalesce(F.sum("events"), F.lit(0)).alias("events"), F.count("*").alias("days")).select(
+        "*", *(counts.select(c).scalar().alias(c) for c in ("repos", "actors")))
+
+
+def range_estimates(sketch_days: DataFrame, first: Day = None, last: Day = None) -> DataFrame:
+    """Per kind of event: events, and estimates of the distinct repositories and contributors of the whole range.
+
+    Joined from sketches of a few KB for each day; see ``fixed.SKETCH_SIZE`` for the error.
+    """
+    return between(sketch_days, first, last, "dt").groupBy("event_type").agg(
+        F.sum("events").alias("events"), *(F.hll_sketch_estimate(F.hll_union_agg(c)).alias(c) for c in ("repos", "actors")))
+
+
 def event_mix(daily_event_type: DataFrame, first: Day = None, last: Day = None, top: int = 7) -> DataFrame:
     """Events per day and type; types outside the range's largest ``top`` become ``other``."""
     cells = between(daily_event_type, first, last).groupBy("date", "event_type").agg(F.sum("event_cnt").alias("n"))

@@ -2,23 +2,24 @@
 
 Each step writes a table that the next one reads. A step can be run again at
 any time: it replaces whole partitions or whole tables, and by default it only
-works on hours and days that are not there yet.
+works on what is new, told by what the stored tables were built from. The whole
+warehouse is built beside the version in use, audited, and only then switched to.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import re
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
-from tidemark.functions import fixed
+from tidemark.functions import fixed, schemas
 from tidemark.operators import dims, quality, rollups, texts
 from tidemark.operators.fact import fact_from_ods
-from tidemark.plans import reports
+from tidemark.plans import guard, reports
 from tidemark.session import delete
-from tidemark.sources import raw, tables
+from tidemark.sources import raw, tables, versions
 
 
 @dataclass
@@ -31,81 +32,153 @@ class Landing:
     broken: DataFrame | None
 
 
+class GateClosed(Exception):
+    """A blocking rule failed, so nothing was published; ``rules`` has the verdicts."""
+
+    def __init__(self, rules: list[Row]):
+        self.rules = rules
+        super().__init__("; ".join(f"{r.id} {r.name}: {r.detail}" for r in rules if not r.passed and r.action == quality.BLOCK))
+
+
 _STATE = ("path string, length long, modificationTime timestamp, error string, line_cnt long, good_cnt long, "
-          "dt date, hour int")
+          "text_bytes long, hour int, dt date")
+_STATE_COLUMNS = [field.split()[0] for field in _STATE.split(", ")]
+
+#: Partitions of the landed table: an hour holds a folder for each of its raw files.
+ODS_PARTITIONS = ("dt", "hour", "file")
 
 
 def landed_files(spark: SparkSession, ods_path: str) -> DataFrame | None:
-    """What is known of every raw file that was read: its size and time then, damage, lines and good lines."""
+    """What is known of every raw file that was read: its size and time then, damage, lines, good lines and unpacked size."""
     path = f"{ods_path.rstrip('/')}_files"
     return None if tables.stored_files(spark, path) is None else spark.read.schema(_STATE).parquet(path)
 
 
-def _due_hours(files: DataFrame, known: DataFrame | None) -> set[tuple]:
-    """(dt, hour) with a file that is new, changed or was damaged: one entry for each calendar hour at most."""
-    due = files.select("path", "dt", "hour", "length", "modificationTime")
-    if known is not None:
-        due = due.join(known.filter("error IS NULL"), ["path", "length", "modificationTime"], "left_anti")
-    return {(r.dt, r.hour) for r in due.select("dt", "hour").distinct().collect()}
+def _due_files(files: DataFrame, known: DataFrame | None) -> DataFrame:
+    """Files that are new, changed or were damaged when they were read."""
+    if known is None:
+        return files
+    return files.join(known.filter("error IS NULL"), ["path", "length", "modificationTime"], "left_anti")
 
 
-def _in_hours(table: DataFrame, hours: set[tuple], how: str = "left_semi") -> DataFrame:
-    """Rows of the given hours, or with ``left_anti`` of all others. The broadcast has a row for each calendar hour."""
-    asked = F.broadcast(table.sparkSession.createDataFrame(sorted(hours, key=str), "_dt date, _hour int"))
-    return table.join(asked, (F.col("dt") == F.col("_dt")) & F.col("hour").eqNullSafe(F.col("_hour")), how)
+@dataclass
+class Staged:
+    """Unpacked files that readers do not see yet."""
+
+    spark: SparkSession
+    ods_path: str
+    rows: DataFrame  # the files' rows, and their verdicts where ``done``
+    known: DataFrame | None
+
+    @property
+    def folders(self) -> tuple[str, str]:
+        return f"{self.ods_path}_staged", f"{self.ods_path}_noted"
+
+    def broken(self) -> DataFrame:
+        """Damaged files; the driver's own listing has an entry for each file anyway."""
+        return self.rows.filter("done AND error IS NOT NULL").select("raw_path")
+
+    def sound(self) -> DataFrame:
+        """Rows of sound files."""
+        return self.rows.filter("NOT done").join(F.broadcast(self.broken()), "raw_path", "left_anti").select(
+            *[f.name for f in schemas.ODS.fields], "raw_path", *ODS_PARTITIONS)
+
+    def states(self) -> DataFrame:
+        """``_STATE`` of these files and of all others of their days that are still part of the table."""
+        own = _file_states(self.rows)
+        if self.known is None:
+            return own
+        # Damaged files that are still there are among the own ones.
+        kept = tables.on_days(self.known, self.days()).filter("error IS NULL").join(own, "path", "left_anti")
+        return own.unionByName(kept.select(_STATE_COLUMNS))
+
+    def days(self) -> list:
+        return [r.dt for r in self.rows.filter("done").select("dt").distinct().collect()]  # one per calendar day
+
+    def table(self) -> DataFrame:
+        """The landed table as it will be: columns of the schema, ``dt`` and ``hour``."""
+        columns = [*[f.name for f in schemas.ODS.fields], "dt", "hour"]
+        new = self.sound().select(columns)
+        if tables.stored_files(self.spark, self.ods_path) is None:
+            return new
+        replaced = self.rows.filter("done AND error IS NULL").select("file")
+        return self.spark.read.parquet(self.ods_path).join(F.broadcast(replaced), "file", "left_anti").select(
+            columns).unionByName(new)
+
+    def publish(self) -> None:
+        """The rows of sound files take the place of what their files had, without a shuffle; other files are left."""
+        tables.write_days(self.sound(), self.ods_path, *ODS_PARTITIONS, rebalance=False)
+        if self.known is not None:
+            _drop_emptied(self.spark, self.ods_path, self.known, _file_states(self.rows))
+
+    def note(self) -> Landing:
+        """Stores what is known of the files, which ends the landing."""
+        staging = self.folders[1]
+        self.states().write.mode("overwrite").parquet(staging)
+        noted = self.spark.read.schema(_STATE).parquet(staging)
+        tables.write_days(noted, f"{self.ods_path}_files", "dt")
+        counts = self.rows.filter("done").agg(
+            F.sum("line_cnt").alias("lines"), F.count_if(F.col("error").isNotNull()).alias("broken")).first()
+        good = self.sound().count()
+        if not counts.broken:
+            return Landing(counts.lines, counts.lines - good, 0, None)
+        broken = tables.on_days(landed_files(self.spark, self.ods_path), self.days()).filter("error IS NOT NULL")
+        return Landing(counts.lines, counts.lines - good, counts.broken, broken.select("path", "dt", "hour", "error"))
+
+    def drop(self) -> None:
+        for path in self.folders:
+            delete(self.spark, path)
+
+
+def stage(spark: SparkSession, raw_root: str, ods_path: str, overwrite: bool = False, days: list | None = None) -> Staged | None:
+    """Unpacks and parses the files that are due, each opened once, beside the table; None where none is."""
+    ods_path = ods_path.rstrip("/")
+    files, known = raw.raw_files(spark, raw_root, days), landed_files(spark, ods_path)
+    due = _due_files(files, None if overwrite else known)
+    if due.isEmpty():
+        return None
+    lines = raw.parse_lines(raw.unpacked(due))
+    raw.staged_rows(lines).write.mode("overwrite").option("compression", "zstd").parquet(f"{ods_path}_staged")
+    return Staged(spark, ods_path, spark.read.parquet(f"{ods_path}_staged"), known)
 
 
 def land(spark: SparkSession, raw_root: str, ods_path: str, overwrite: bool = False,
          days: list | None = None) -> Landing:
-    """Bring the table up to the landing zone (or to some days of it), or read everything again.
+    """Bring the table up to the landing zone (or to some days of it), or read everything there again.
 
-    An hour is written whole, from all of its files, whenever one of them is new, has
-    changed or was damaged before; so the files of an hour may come late and be repaired,
-    and must stay until their hour is complete. What is known of the files is stored
-    beside the table, after the rows: a run that is cut short is done again.
+    Only files that are new, have changed or were damaged are opened, each once: their rows
+    are staged while they are unpacked, and those of sound files replace the file's own
+    partition. So a file may come late, be repaired, or be archived once it is landed: what was
+    landed from it stays, also where it turns up damaged later. What is known of the files is stored
+    last: a run that is cut short is done again. One run at a time lands into a table.
     """
-    files = raw.raw_files(spark, raw_root, days)
-    due = _due_hours(files, None if overwrite else landed_files(spark, ods_path))
-    if not due:
+    staged = stage(spark, raw_root, ods_path, overwrite, days)
+    if staged is None:
         return Landing(0, 0, 0, None)
-    due_days = sorted({str(day) for day, _ in due})
-    files = _in_hours(tables.on_days(files, due_days), due)
-    # Checked before the rows are read: a file that changes in between looks changed to the next run.
-    noted = f"{ods_path.rstrip('/')}_checked"
-    raw.gzip_integrity(files).write.mode("overwrite").parquet(noted)
-    counts = write_landed(raw.raw_lines(files), ods_path, due)
-    checked = spark.read.parquet(noted)
-    if tables.stored_files(spark, ods_path) is None:
-        states = checked.withColumn("good_cnt", F.lit(0).cast("long"))
-    else:
-        rows = tables.on_days(spark.read.schema("raw_path string, dt date, hour int").parquet(ods_path), due_days)
-        good = rows.groupBy(F.col("raw_path").alias("path")).agg(F.count("*").alias("good_cnt"))
-        states = checked.join(good, "path", "left").na.fill(0, ["good_cnt"])
-    columns = [field.split()[0] for field in _STATE.split(", ")]
-    tables.write_days(states.select(columns), f"{ods_path.rstrip('/')}_files", "dt", "hour", asked=due)
-    delete(spark, noted)
-    broken = _in_hours(landed_files(spark, ods_path).filter("error IS NOT NULL"), due).select(
-        "path", "dt", "hour", "error")
-    return Landing(counts["lines"], counts["bad_lines"], counts["broken_files"],
-                   broken if counts["broken_files"] else None)
-
-
-def write_landed(lines: DataFrame, ods_path: str, hours: set[tuple] = frozenset()) -> dict:
-    """Parse lines and write them by hour; those of ``hours`` without a good line become empty. Counts are taken on the way.
-
-    No shuffle: the task that unpacks a file writes it.
-    """
-    seen = Observation()
-    sound = F.col("error").isNull()
-    parsed = raw.parse_lines(lines).observe(
-        seen,
-        F.count_if(sound).alias("lines"),
-        F.count_if(sound & F.col("event").isNull()).alias("bad_lines"),
-        F.count_if(~sound).alias("broken_files"),
-    )
-    rows = raw.ods_rows(parsed, F.col("path").alias("raw_path"))
-    tables.write_days(rows, ods_path, "dt", "hour", rebalance=False, asked=hours)
-    return seen.get
+    staged.publish()
+    done = staged.note()
+    staged.drop()
+    return done
+
+
+def _file_states(staged: DataFrame) -> DataFrame:
+    """``_STATE`` of the staged files."""
+    counts = staged.groupBy("raw_path").agg(
+        F.count_if(~F.col("done")).alias("good"),
+        *(F.max(F.when(F.col("done"), F.col(c))).alias(c)
+          for c in ("length", "modificationTime", "error", "line_cnt", "text_bytes", "dt", "hour")))
+    good = F.when(F.col("error").isNull(), F.col("good")).otherwise(0).cast("long")
+    return counts.select(F.col("raw_path").alias("path"), "length", "modificationTime", "error", "line_cnt",
+                         good.alias("good_cnt"), "text_bytes", "hour", "dt")
+
+
+def _drop_emptied(spark: SparkSession, ods_path: str, known: DataFrame, states: DataFrame) -> None:
+    """Deletes the partitions of files that had good lines and have none any more: a few, and only changed files."""
+    none = states.filter("error IS NULL AND good_cnt = 0").select("path")
+    had = known.filter("good_cnt > 0").join(none, "path", "left_semi").select("path", "dt", "hour")
+    for r in had.withColumn("file", raw.file_key("path")).toLocalIterator():
+        hour = "__HIVE_DEFAULT_PARTITION__" if r.hour is None else r.hour
+        delete(spark, f"{ods_path}/dt={r.dt}/hour={hour}/file={r.file}")
 
 
 def ingest_volume(spark: SparkSession, raw_root: str, ods_path: str) -> DataFrame:
@@ -134,8 +207,8 @@ def ingest_volume(spark: SparkSession, raw_root: str, ods_path: str) -> DataFram
 def hour_states(spark: SparkSession, raw_root: str, ods_path: str, first=None, last=None) -> DataFrame:
     """``(dt, hour, state)`` of every expected hour: landed, damaged, pending or missing.
 
-    An hour is damaged if any of its files is. The span defaults to the days of the
-    landing zone. Only files of hours that are new, changed or were damaged are opened.
+    An hour is damaged if any of its files is, and pending if one waits to be landed. The span defaults
+    to the days of the landing zone. Only files that are new, changed or were damaged are opened.
     """
     files = raw.raw_files(spark, raw_root)
     if first is None or last is None:
@@ -143,80 +216,147 @@ def hour_states(spark: SparkSession, raw_root: str, ods_path: str, first=None, l
     else:
         expected = quality.expected_hours(spark, first, last)
     known = landed_files(spark, ods_path)
-    due = _due_hours(files, known)
-    states = spark.createDataFrame([], "dt date, hour int, state string")
+    due = raw.gzip_integrity(_due_files(files, known)).select("dt", "hour", F.when(F.col("ok"), 1).otherwise(2).alias("worst"))
     if known is not None:
-        rest = _in_hours(known, due, "left_anti") if due else known
-        states = rest.select("dt", "hour", F.lit("landed").alias("state")).distinct()
-    if due:
-        waiting = _in_hours(tables.on_days(files, sorted({str(day) for day, _ in due})), due)
-        states = states.unionByName(raw.gzip_integrity(waiting).groupBy("dt", "hour").agg(
-            F.when(F.bool_and("ok"), "pending").otherwise("damaged").alias("state")))
+        due = due.unionByName(known.filter("error IS NULL").select("dt", "hour", F.lit(0).alias("worst")))
+    names = F.array(*map(F.lit, ("landed", "pending", "damaged")))
+    states = due.groupBy("dt", "hour").agg(F.get(names, F.max("worst")).alias("state"))
     return expected.join(states, ["dt", "hour"], "left").na.fill("missing", ["state"])
 
 
-def _pending(spark: SparkSession, source: str, target: str, day: str, days: list | None, overwrite: bool) -> list:
-    if days is not None:
-        return days
-    return tables.stale_days(spark, source, None if overwrite else target, "dt", day)
-
-
 def build_fact_days(spark: SparkSession, ods_path: str, fact_path: str, days: list | None = None,
-                    overwrite: bool = False) -> list:
-    """Write the fact for the given days, by default those new or changed since they were built; returns them.
+                    overwrite: bool = False) -> list[dt.date]:
+    """Write the fact for the given days, by default those that were built from other files or never; returns them.
 
-    All days are one job: they share the cluster instead of taking turns, and
-    the partition filter keeps the other days unread.
+    What a day is made of is looked up before it is read and noted beside the fact, so an hour that lands
+    meanwhile is found by the next run. Days that the source has lost become empty. All days are one job: they
+    share the cluster instead of taking turns, and the partition filter keeps the other days unread.
     """
-    days = _pending(spark, ods_path, fact_path, "dt", days, overwrite)
+    prints = tables.day_prints(spark, ods_path)
+    if days is None:
+        built = {} if overwrite else tables.built_from(spark, fact_path)
+        gone = [d for d, source in built.items() if d not in prints and source]
+        days = [d for d, source in prints.items() if built.get(d) != source] + gone
+    days = sorted(map(str, days))
+    dates = [dt.date.fromisoformat(d) for d in days]
     if days:
         ods = tables.on_days(spark.read.parquet(ods_path), days)
-        tables.write_days(fact_from_ods(ods), fact_path, "dt", asked={(_date(d),) for d in days})
+        tables.write_days(fact_from_ods(ods), fact_path, "dt", asked={(d,) for d in dates})
+        tables.note_built(spark, fact_path, {d: prints.get(d, "") for d in days})
+    return dates
+
+
+Build = Callable[[DataFrame], DataFrame]
+
+#: Tables made by day and from which table, in order. Each is built anew for the days that changed.
+DAY_TABLES: dict[versions.Table, tuple[versions.Table, Build]] = {
+    ("state", "event_grain"): (("dwd", "event_fact"), rollups.daily_grain),
+    ("state", "repo_days"): (("state", "event_grain"), dims.repo_days),
+    ("state", "actor_days"): (("state", "event_grain"), dims.actor_days),
+    **{("state", name): (("state", "event_grain"), build) for name, build in rollups.DAY_STATES.items()},
+    **{("ads", name): (("state", "event_grain"), build) for name, build in rollups.ADS_TABLES.items()},
+    ("serving", "summary"): (("state", "event_grain"), rollups.daily_summary),
+}
+
+#: Whole tables and what they are folded from.
+WHOLE_TABLES: dict[versions.Table, tuple[versions.Table, Build]] = {
+    ("dwd", "dim_repo"): (("state", "repo_days"), dims.dim_repo),
+    ("dwd", "dim_actor"): (("state", "actor_days"), dims.dim_actor),
+    ("dwd", "dim_date"): (("serving", "summary"), lambda summary: dims.dim_date(summary, "date")),
+    ("serving", "meta"): (("serving", "summary"), rollups.dataset_meta),
+}
+DIMENSIONS = {"dim_repo": dims.dim_repo, "dim_actor": dims.dim_actor, "dim_date": dims.dim_date}
+
+
+def build_fact(draft: versions.Draft, ods: DataFrame, prints: dict[str, str], overwrite: bool = False) -> list[str]:
+    """The fact days of a draft that were built from other files than ``prints`` tells; returns them."""
+    days = draft.stale("dwd", "event_fact", prints, overwrite)
+    if days:
+        draft.write_days("dwd", "event_fact", fact_from_ods(tables.on_days(ods, days)), {d: prints[d] for d in days})
     return days
 
 
-def _date(day: dt.date | str) -> dt.date:
-    return dt.date.fromisoformat(day) if isinstance(day, str) else day
+def build_tables(draft: versions.Draft, overwrite: bool = False) -> None:
+    """All tables behind the fact, for the days that changed: one scan of their fact rows makes the grain.
 
+    Dimensions are folded from what each day adds to them, so a day that is built anew takes back its old share.
+    """
+    for table, (origin, build) in DAY_TABLES.items():
+        sources = draft.version.tokens(*origin)
+        days = draft.stale(*table, sources, overwrite)
+        filled = [d for d in days if sources[d] != versions.EMPTY]
+        if days:
+            rows = build(draft.read(*origin, filled)) if filled else None
+            draft.write_days(*table, rows, {d: sources[d] for d in days})
+    for table, (origin, build) in WHOLE_TABLES.items():
+        tokens = draft.version.tokens(*origin)
+        source = versions.digest(tokens)
+        if any(t != versions.EMPTY for t in tokens.values()) and (overwrite or draft.source(*table) != source):
+            draft.write(*table, build(draft.read(*origin)), source)
+
+
+def build_from(spark: SparkSession, ods_path: str, root: str, overwrite: bool = False) -> list[str]:
+    """A new version of all tables from a landed table as it lies; the fact days that were built."""
+    draft, prints = versions.Draft(spark, root), tables.day_prints(spark, ods_path)
+    try:
+        days = build_fact(draft, spark.read.parquet(ods_path), prints, overwrite)
+        build_tables(draft, overwrite)
+        draft.commit()
+    except BaseException:
+        draft.abandon()
+        raise
+    return days
 
-DIMENSIONS = {"dim_repo": dims.dim_repo, "dim_actor": dims.dim_actor, "dim_date": dims.dim_date}
 
+def raw_prints(states: DataFrame) -> dict[str, str]:
+    """What each landed day is made of: its raw files with their sizes and times. One entry per calendar day."""
+    prints = states.filter("error IS NULL").groupBy("dt").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("path", "length", "modificationTime")).alias("x"))
+    return {str(r.dt): f"{r.n}:{r.x}" for r in prints.collect()}
 
-def build_dims(spark: SparkSession, root: str, overwrite: bool = False) -> None:
-    """Full snapshots of every day in the fact, made anew where the fact has changed."""
-    fact_path = tables.table_path(root, "dwd", "event_fact")
-    for name, build in DIMENSIONS.items():
-        path = tables.table_path(root, "dwd", name)
-        if overwrite or tables.is_stale(spark, fact_path, path):
-            tables.write_table(build(spark.read.parquet(fact_path)), path)
 
+def audit(ods: DataFrame, fact: DataFrame, days: Iterable[str]) -> list[Row]:
+    """The rules' verdicts on the days that a run is about to publish: five rows."""
+    return quality.quality_rules(tables.on_days(ods, list(days)), fact).orderBy("id").collect()
 
-def build_rollups(spark: SparkSession, root: str, days: list | None = None, overwrite: bool = False) -> None:
-    """The application tables and the small summary that reports read instead of the fact.
 
-    No rollup mixes days, so a run reads and replaces the new and changed days
-    only. ``date`` becomes a partition and report ranges read their days only.
+def build_warehouse(spark: SparkSession, raw_root: str, root: str, overwrite: bool = False, gate: bool = True) -> DataFrame:
+    """The whole pipeline: write, audit, publish. Returns the catalog status of the new version.
+
+    Files are staged and every table is built beside the version in use. Then the rules judge the
+    days that are about to be published: if a blocking one fails, all that was written is deleted
+    and ``GateClosed`` raised; the old version, the landed table and what is known of the files stay
+    as they are, so the next run tries again. Otherwise the landed rows are published and the
+    version is switched.
     """
-    fact_path = tables.table_path(root, "dwd", "event_fact")
-    targets = {tables.table_path(root, "ads", name): build for name, build in rollups.ADS_TABLES.items()}
-    targets[tables.table_path(root, "serving", "summary")] = rollups.daily_summary
-    for path, build in targets.items():
-        pending = _pending(spark, fact_path, path, "date", days, overwrite)
-        if pending:
-            tables.write_days(build(tables.on_days(spark.read.parquet(fact_path), pending)), path, "date",
-                              asked={(_date(d),) for d in pending})
-    summary = tables.read_table(spark, root, "serving", "summary")
-    tables.write_table(rollups.dataset_meta(summary), tables.table_path(root, "serving", "meta"))
-
-
-def build_warehouse(spark: SparkSession, raw_root: str, root: str, overwrite: bool = False) -> DataFrame:
-    """The whole pipeline; returns the catalog status."""
-    ods_path, fact_path = tables.table_path(root, "ods", "events"), tables.table_path(root, "dwd", "event_fact")
-    land(spark, raw_root, ods_path, overwrite)
-    build_fact_days(spark, ods_path, fact_path, overwrite=overwrite)
-    build_dims(spark, root, overwrite)
-    build_rollups(spark, root, overwrite=overwrite)
-    return tables.register_views(spark, root)
+    ods_path = tables.table_path(root, "ods", "events")
+    draft, staged = versions.Draft(spark, root), stage(spark, raw_root, ods_path, overwrite)
+    try:
+        if staged is None:
+            states = landed_files(spark, ods_path)
+            ods = None if states is None else spark.read.parquet(ods_path)
+        else:
+            ods, states = staged.table(), staged.states()
+            if staged.known is not None:  # and the hours without a file that was due
+                states = states.unionByName(staged.known.join(states, "path", "left_anti").select(states.columns))
+        days = [] if states is None else build_fact(draft, ods, raw_prints(states), overwrite)
+        if gate and days:
+            rules = audit(ods, draft.read("dwd", "event_fact", days), days)
+            if any(not r.passed and r.action == quality.BLOCK for r in rules):
+                raise GateClosed(rules)
+        build_tables(draft, overwrite)
+        if staged is not None:
+            staged.publish()
+        draft.commit()
+    except BaseException:
+        draft.abandon()
+        if staged is not None:
+            staged.drop()
+        raise
+    if staged is not None:
+        staged.note()
+        staged.drop()
+    return versions.register_views(spark, root)
 
 
 def write_extract(spark: SparkSession, root: str, out: str, rows: int = fixed.EXTRACT_ROWS_PER_DAY) -> DataFrame:
@@ -225,11 +365,11 @@ def write_extract(spark: SparkSession, root: str, out: str, rows: int = fixed.EX
     Returns ``(table, rows, full_rows, pct)``.
     """
     for name in rollups.ADS_TABLES:
-        table = tables.read_table(spark, root, "ads", name)
+        table = versions.read_table(spark, root, "ads", name)
         ties = rollups.RANK_TIES.get(name)
         cut = rollups.top_per_day(table, *ties, rows=rows) if ties else table
         tables.write_table(cut, tables.table_path(out, "ads", name))
-    summary = tables.read_table(spark, root, "serving", "summary")
+    summary = versions.read_table(spark, root, "serving", "summary")
     tables.write_table(summary, tables.table_path(out, "serving", "summary"))
     tables.write_table(rollups.dataset_meta(summary, "demo"), tables.table_path(out, "serving", "meta"))
     return extract_report(spark, root, out)
@@ -238,7 +378,7 @@ def write_extract(spark: SparkSession, root: str, out: str, rows: int = fixed.EX
 def extract_report(spark: SparkSession, root: str, out: str) -> DataFrame:
     def sizes(at: str, column: str) -> DataFrame:
         layout = [("ads", name) for name in rollups.ADS_TABLES]
-        counts = [tables.read_table(spark, at, layer, name).agg(F.count("*").alias(column))
+        counts = [versions.read_table(spark, at, layer, name).agg(F.count("*").alias(column))
                   .withColumn("table", F.lit(name)) for layer, name in layout]
         merged = counts[0]
         for one in counts[1:]:
@@ -257,7 +397,7 @@ def answer(spark: SparkSession, root: str, question: str) -> DataFrame | None:
         return None
     name, report = reports.QUESTIONS[topic]
     layer = "dwd" if name == "event_fact" else "ads"
-    return texts.capped_answer(report(tables.read_table(spark, root, layer, name)))
+    return texts.capped_answer(report(versions.read_table(spark, root, layer, name)))
 
 
 def run_statement(spark: SparkSession, text: str) -> DataFrame:
@@ -265,41 +405,17 @@ def run_statement(spark: SparkSession, text: str) -> DataFrame:
     checked = texts.sql_text_audit(spark.createDataFrame([(text,)], "text string")).first()
     if not checked.safe:
         raise ValueError(f"refused: {checked.reason}")
-    reason = _reaches_out(spark, checked.statement)
+    reason = guard.refusal(spark, checked.statement)
     if reason:
         raise ValueError(f"refused: {reason}")
     return texts.capped_answer(spark.sql(checked.statement))
 
 
-# Functions that run code or read files outside the registered views.
-_OUTSIDE = {"java_method", "reflect", "try_reflect", "read_files", "input_file_name"}
-
-
-def _reaches_out(spark: SparkSession, statement: str) -> str | None:
-    """What a statement names besides registered views and its own WITH names; None where nothing.
-
-    The statement is parsed, not run: its relations and functions are read off the
-    unresolved plan, subqueries included, so quoting and comments hide nothing.
-    """
-    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(statement)
-    views = {r.viewName.lower() for r in spark.sql("SHOW VIEWS").select("viewName").collect()}  # one per table
-    text = plan.toString()
-    own = {n.strip().lower() for names in re.findall(r"CTE \[([^\]]*)\]", text) for n in names.split(",")}
-    for name in re.findall(r"'UnresolvedRelation \[([^\]]*)\]", text):
-        if name.lower() not in views | own:
-            return f"not a registered view: {name}"
-    if "UnresolvedTableValuedFunction" in text:
-        return "table functions"
-    called = {f.lower() for f in re.findall(r"'(?:\w+\.)*(\w+)\(", text)} | {f.lower() for f in re.findall(r"(\w+)\s*\(", statement)}
-    bad = sorted(called & _OUTSIDE)
-    return f"function {bad[0]}" if bad else None
-
-
 def write_quality_report(spark: SparkSession, root: str, path: str, day=None) -> DataFrame:
     """Check the stored tables, write the report as JSON and return its summary; stop the run on ``gate_open = false``."""
     scope = "all" if day is None else str(day)
-    rules = quality.quality_rules(tables.read_table(spark, root, "ods", "events"),
-                                  tables.read_table(spark, root, "dwd", "event_fact"), day)
+    rules = quality.quality_rules(versions.read_table(spark, root, "ods", "events"),
+                                  versions.read_table(spark, root, "dwd", "event_fact"), day)
     quality.quality_document(rules, scope).coalesce(1).write.mode("overwrite").json(path)
     document = spark.read.json(path)
     return document.select("scope", "summary.*").withColumn("gate_open", F.col("blocking_failed") == 0)

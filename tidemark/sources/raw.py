@@ -1,10 +1,10 @@
 """Raw landing zone: gzip files of JSON lines under ``dt=YYYY-MM-DD/``.
 
-A file holds one hour, named ``H.json.gz`` or kept in an ``hour=H`` folder. A
-damaged file counts as a whole, so a file is checked to its end before its
-first line is used. Both happen in the task that holds the file's bytes: the
-file is fetched once, unpacked in small pieces, and read errors of the storage
-are not mistaken for damage but fail and retry the task.
+A file holds one hour, named ``H.json.gz`` or kept in an ``hour=H`` folder. It is
+opened once, as a stream, by the task that unpacks it: the lines come first and the
+verdict on the file last, for only its end tells whether it is whole. So lines must be
+set aside until the verdict is known. Read errors of the storage are not mistaken for
+damage but fail and retry the task.
 """
 
 from __future__ import annotations
@@ -12,71 +12,77 @@ from __future__ import annotations
 import gzip
 import zlib
 from collections.abc import Iterable, Iterator
+from contextlib import closing
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions import schemas
+from tidemark.sources.files import STREAMED, open_file, scheme_of
 
 _PIECE = 1 << 20
-#: Unpacked bytes of a file that are kept while it is checked; a larger file is unpacked a second time.
-_KEPT = 64 << 20
-_DAMAGE = (EOFError, OSError, zlib.error)
+_DAMAGE = (EOFError, gzip.BadGzipFile, zlib.error)
 
 FILE_CHECK = "path string, dt date, hour int, length long, modificationTime timestamp, ok boolean, error string, line_cnt long, text_bytes long"
-LINES = "path string, dt date, hour int, line string, error string"
+#: A line, or after a file's last line its verdict.
+UNPACKED = ("path string, dt date, hour int, length long, modificationTime timestamp, line string, done boolean, "
+            "error string, line_cnt long, text_bytes long")
+_OF_FILE = ("path", "dt", "hour", "length", "modificationTime")
 
 
 def raw_files(spark: SparkSession, raw_root: str, days: list | None = None) -> DataFrame:
     """``path, dt, hour, length, modificationTime, content`` of all files or those of some days' folders.
 
-    The content is read only where it is selected.
+    From the listing alone; the content is NULL where tasks can open the files themselves.
     """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").option("basePath", raw_root)
     root = raw_root.rstrip("/")
-    return with_hour(reader.load(raw_root if days is None else [f"{root}/dt={day}" for day in days]))
-
-
-def with_hour(files: DataFrame) -> DataFrame:
+    files = reader.load(raw_root if days is None else [f"{root}/dt={day}" for day in days])
     hour = F.col("hour") if "hour" in files.columns else F.regexp_extract("path", r"/(\d{1,2})\.json\.gz$", 1)
+    path = spark._jvm.org.apache.hadoop.fs.Path(raw_root)
+    scheme = scheme_of(raw_root) or path.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme()
+    content = F.lit(None).cast("binary").alias("content") if scheme in STREAMED else "content"
     return files.select("path", F.col("dt").cast("date").alias("dt"), hour.cast("int").alias("hour"),
-                        "length", "modificationTime", "content")
-
-
-def gzip_integrity(files: DataFrame) -> DataFrame:
-    """One row per file: whether it unpacks to its end, and its lines and unpacked size."""
-    return files.select("path", "dt", "hour", "length", "modificationTime", "content").mapInArrow(_check_files, FILE_CHECK)
-
-
-def raw_lines(files: DataFrame) -> DataFrame:
-    """The lines of every sound file; a damaged file gives one row with ``error`` and no line."""
-    return files.select("path", "dt", "hour", "content").mapInArrow(_unpack_files, LINES)
+                        "length", "modificationTime", content)
 
 
-def _pieces(content: pa.Buffer) -> Iterator[bytes]:
-    """The unpacked bytes; no piece ends between the two characters of a line end."""
-    with gzip.GzipFile(fileobj=pa.BufferReader(content)) as unpacked:
-        while piece := unpacked.read(_PIECE):
-            while piece.endswith(b"\r") and (more := unpacked.read(_PIECE)):
-                piece += more
-            yield piece
+def unpacked(files: DataFrame) -> DataFrame:
+    """The lines of every file, and after them a row with ``done``: the error of a damaged file, lines and unpacked size."""
+    return files.select(*_OF_FILE, "content").mapInArrow(_unpack_files, UNPACKED)
 
 
-def _damage(content: pa.Buffer, kept: list[bytes] | None = None) -> tuple[str | None, int, int]:
-    """(error, lines, bytes) of a file; its pieces go to ``kept`` as far as they fit in ``_KEPT``."""
-    lines = size = 0
-    last = b"\n"
-    try:
-        for piece in _pieces(content):
-            lines += piece.count(b"\n") + piece.count(b"\r") - piece.count(b"\r\n")
-            size += len(piece)
-            last = piece[-1:]
-            if kept is not None and size <= _KEPT:
-                kept.append(piece)
-    except _DAMAGE as error:
-        return f"{type(error).__name__}: {error}", 0, 0
-    return None, lines + (last not in b"\r\n"), size
+def gzip_integrity(files: DataFrame) -> DataFrame:
+    """One row per file: whether it unpacks to its end, and its lines and unpacked size."""
+    return files.select(*_OF_FILE, "content").mapInArrow(_check_files, FILE_CHECK)
+
+
+class _File:
+    """One file: its unpacked pieces, and once they are used up the verdict."""
+
+    def __init__(self, row: pa.RecordBatch):
+        self.row = row
+        self.error: str | None = None
+        self.lines = self.size = 0
+
+    def pieces(self) -> Iterator[bytes]:
+        """No piece ends between the two characters of a line end. A damaged file ends early."""
+        content = self.row.column("content")[0]
+        source = pa.BufferReader(content.as_buffer()) if content.is_valid else open_file(self.row.column("path")[0].as_py())
+        last = b"\n"
+        try:
+            with closing(source), gzip.GzipFile(fileobj=source) as plain:
+                while piece := plain.read(_PIECE):
+                    while piece.endswith(b"\r") and (more := plain.read(_PIECE)):
+                        piece += more
+                    self.lines += piece.count(b"\n") + piece.count(b"\r") - piece.count(b"\r\n")
+                    self.size += len(piece)
+                    last = piece[-1:]
+                    yield piece
+        except _DAMAGE as error:
+            self.error, self.lines, self.size = f"{type(error).__name__}: {error}", 0, 0
+        else:
+            self.lines += last not in b"\r\n"
 
 
 def _lines(pieces: Iterable[bytes]) -> Iterator[pa.Array]:
@@ -97,38 +103,36 @@ def _split(block: bytes) -> pa.Array:
     return pc.split_pattern(pa.array([text], pa.large_string()), "\n").flatten().cast(pa.string())
 
 
-def _files(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, pa.Buffer]]:
+def _files(batches: Iterator[pa.RecordBatch]) -> Iterator[_File]:
     for batch in batches:
         for i in range(batch.num_rows):
-            yield batch.slice(i, 1), batch.column("content")[i].as_buffer()
+            yield _File(batch.slice(i, 1))
 
 
 def _check_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for row, content in _files(batches):
-        error, lines, size = _damage(content)
-        kept = [row.column(name) for name in ("path", "dt", "hour", "length", "modificationTime")]
+    for file in _files(batches):
+        for _ in file.pieces():
+            pass
         yield pa.RecordBatch.from_arrays(
-            [*kept, pa.array([error is None]), pa.array([error], pa.string()), pa.array([lines]), pa.array([size])],
-            names=[field.split()[0] for field in FILE_CHECK.split(", ")])
+            [*(file.row.column(name) for name in _OF_FILE), pa.array([file.error is None]), pa.array([file.error], pa.string()),
+             pa.array([file.lines]), pa.array([file.size])], names=[field.split()[0] for field in FILE_CHECK.split(", ")])
 
 
 def _unpack_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for row, content in _files(batches):
-        kept: list[bytes] = []
-        error, _, size = _damage(content, kept)
-        if error is not None:
-            yield _line_batch(row, pa.nulls(1, pa.string()), error)
-            continue
-        for lines in _lines(kept if size <= _KEPT else _pieces(content)):
-            yield _line_batch(row, lines, None)
+    names = [field.split()[0] for field in UNPACKED.split(", ")]
 
+    def batch(file: _File, lines: pa.Array, done: bool) -> pa.RecordBatch:
+        n = len(lines)
+        same = lambda value, kind: pa.repeat(pa.scalar(value, kind), n)
+        return pa.RecordBatch.from_arrays(
+            [*(pa.repeat(file.row.column(name)[0], n) for name in _OF_FILE), lines, same(done, pa.bool_()),
+             same(file.error, pa.string()), same(file.lines if done else None, pa.int64()),
+             same(file.size if done else None, pa.int64())], names=names)
 
-def _line_batch(row: pa.RecordBatch, lines: pa.Array, error: str | None) -> pa.RecordBatch:
-    n = len(lines)
-    keys = [pa.repeat(row.column(name)[0], n) for name in ("path", "dt", "hour")]
-    return pa.RecordBatch.from_arrays(
-        [*keys, lines, pa.repeat(pa.scalar(error, pa.string()), n)],
-        names=[field.split()[0] for field in LINES.split(", ")])
+    for file in _files(batches):
+        for lines in _lines(file.pieces()):
+            yield batch(file, lines, False)
+        yield batch(file, pa.nulls(1, pa.string()), True)
 
 
 def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
@@ -159,10 +163,26 @@ def ods_rows(parsed: DataFrame, *more: Column) -> DataFrame:
 
     ``more`` are further columns of ``parsed`` to keep.
     """
+    return _landed(parsed.filter(F.col("event").isNotNull()), *more)
+
+
+def file_key(path: str) -> Column:
+    """The name of a raw file's folder in the landed table."""
+    return F.concat(F.lit("f"), F.sha1(path))
+
+
+def staged_rows(parsed: DataFrame) -> DataFrame:
+    """Landed rows with the file they come from, and the rows with the files' verdicts."""
+    path = F.col("path")
+    return _landed(parsed.filter(F.col("event").isNotNull() | F.col("done")), path.alias("raw_path"), file_key("path").alias("file"),
+                   "length", "modificationTime", "done", "error", "line_cnt", "text_bytes")
+
+
+def _landed(parsed: DataFrame, *more: Column | str) -> DataFrame:
     def text(path: str, name: str):
         return F.coalesce(f"event.{path}", F.lit("")).alias(name)
 
-    return parsed.filter(F.col("event").isNotNull()).select(
+    return parsed.select(
         text("id", "event_id"),
         text("type", "event_type"),
         F.col("event.actor.id").alias("actor_id"),

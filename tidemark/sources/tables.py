@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.session import delete
@@ -17,25 +16,28 @@ LAYOUT = [
     ("serving", "summary"), ("serving", "meta"),
 ]
 
+#: Tables that rollups and dimensions are made from, kept by day and not shown as views.
+STATE = [("state", "event_grain"), ("state", "repo_days"), ("state", "actor_days"), ("state", "distinct_days"),
+         ("state", "sketch_days")]
+
+#: The day column of each table that has days.
+DAY_COLUMNS = {("dwd", "event_fact"): "dt", ("serving", "summary"): "date",
+               **{table: "dt" for table in STATE}, **{table: "date" for table in LAYOUT if table[0] == "ads"}}
+
 #: What an error's condition is called where a table is not there, or holds no file yet.
-_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def table_path(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
 
 
-def read_table(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
-    """A stored table. The folder is read as a whole, which keeps the partition columns."""
-    return spark.read.parquet(table_path(root, layer, name))
-
-
 def stored_files(spark: SparkSession, path: str) -> DataFrame | None:
     """Data files of a table with length and partition columns, from the listing alone; None if there are none."""
     try:
         files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
     except AnalysisException as error:
-        if error.getCondition() in _ABSENT:
+        if error.getCondition() in ABSENT:
             return None
         raise
     return files.drop("content")
@@ -49,29 +51,33 @@ def stored_partitions(spark: SparkSession, path: str, *columns: str) -> DataFram
     return files.select(*columns).distinct()
 
 
-def stale_days(spark: SparkSession, source: str, target: str | None, source_day: str = "dt",
-               target_day: str = "dt") -> list:
-    """Days of the source that the target lacks or built before the source's newest file; from the listings alone.
+def day_prints(spark: SparkSession, path: str, day: str = "dt") -> dict[str, str]:
+    """What each day of a table is made of: its number of data files and a hash of their names, which never come twice.
 
-    All days where there is no target. One entry per calendar day, so the list stays short however large the tables are.
+    From the listing alone, so it is to be taken before the table is read: files that come later are then in
+    the next print, whatever the clocks say. One entry per calendar day.
     """
-    made = stored_files(spark, source).groupBy(F.col(source_day).alias("day")).agg(
-        F.max("modificationTime").alias("made"))
-    files = stored_files(spark, target) if target else None
-    if files is not None and target_day in files.columns:
-        built = files.groupBy(F.col(target_day).alias("day")).agg(F.min("modificationTime").alias("built"))
-        made = made.join(built, "day", "left").filter(F.col("built").isNull() | (F.col("made") >= F.col("built")))
-    return [row.day for row in made.orderBy("day").collect()]
+    files = stored_files(spark, path)
+    if files is None or day not in files.columns:
+        return {}
+    own = F.concat_ws("/", F.slice(F.split("path", "/"), -4, 4))
+    prints = files.groupBy(F.col(day).alias("day")).agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64(own)).alias("x"))
+    return {str(r.day): f"{r.n}:{r.x}" for r in prints.collect()}
 
 
-def is_stale(spark: SparkSession, source: str, target: str) -> bool:
-    """Whether an unpartitioned target is absent or older than the source's newest file."""
-    files = stored_files(spark, target)
-    if files is None:
-        return True
-    made = stored_files(spark, source).agg(F.max("modificationTime").alias("t")).first().t
-    built = files.agg(F.min("modificationTime").alias("t")).first().t
-    return built is None or (made is not None and made >= built)
+_BUILT = "day string, source string"
+
+
+def built_from(spark: SparkSession, path: str) -> dict[str, str]:
+    """The prints that the days of a table were built from, as noted beside it."""
+    if stored_files(spark, f"{path.rstrip('/')}_built") is None:
+        return {}
+    return {r.day: r.source for r in spark.read.schema(_BUILT).parquet(f"{path.rstrip('/')}_built").collect()}
+
+
+def note_built(spark: SparkSession, path: str, prints: dict[str, str]) -> None:
+    known = built_from(spark, path) | prints
+    spark.createDataFrame(sorted(known.items()), _BUILT).coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}_built")
 
 
 def on_days(table: DataFrame, days: list, column: str = "dt") -> DataFrame:
@@ -128,27 +134,6 @@ def view_name(layer: str, name: str) -> str:
     return f"{layer}_{name}"
 
 
-def register_views(spark: SparkSession, root: str, layout: list[tuple[str, str]] = LAYOUT) -> DataFrame:
-    """A view per readable table, over the files, and ``(layer, table, rows, status)`` for all of them.
-
-    Each table is counted by itself; one that cannot be read loses its view and is
-    told as ``unreadable``, one that is not there as ``missing``.
-    """
-    states = []
-    for layer, name in layout:
-        rows, status = None, "ready"
-        try:
-            table = read_table(spark, root, layer, name)
-            rows = table.count()
-            table.createOrReplaceTempView(view_name(layer, name))
-        except (PySparkException, Py4JJavaError) as error:
-            absent = isinstance(error, AnalysisException) and error.getCondition() in _ABSENT
-            status = "missing" if absent else "unreadable"
-            spark.catalog.dropTempView(view_name(layer, name))
-        states.append((layer, name, rows, status))
-    return spark.createDataFrame(states, "layer string, table string, rows long, status string")
-
-
 def list_views(spark: SparkSession) -> DataFrame:
     """Registered views of all layers as ``(layer, table)``."""
     views = spark.sql("SHOW VIEWS").select(F.split("viewName", "_", 2).alias("parts"))

@@ -20,13 +20,14 @@ def land_stream(spark: SparkSession, raw_root: str, ods_path: str, checkpoint: s
                 hour_folders: bool = False, files_per_batch: int = 10_000) -> StreamingQuery:
     """Land the days that new raw files belong to.
 
-    A batch says which days to look at; landing itself finds the hours that are due and
-    writes each from all of its files, so neither the size of a batch nor a repeated one
+    A batch says which days to look at, from the names of its files alone; landing itself finds the
+    files that are due and opens each once, so neither the size of a batch nor a repeated one
     changes the rows.
     """
     files = (
         spark.readStream.format("binaryFile").schema(_FILE + (", hour int" if hour_folders else ""))
         .option("pathGlobFilter", "*.gz").option("maxFilesPerTrigger", files_per_batch).load(raw_root)
+        .select("dt")  # before the sink, or each batch would fetch the files to learn their days
     )
 
     def write(batch: DataFrame, _: int) -> None:
@@ -39,9 +40,12 @@ def land_stream(spark: SparkSession, raw_root: str, ods_path: str, checkpoint: s
 
 
 def fact_stream(spark: SparkSession, ods_path: str, fact_path: str, checkpoint: str) -> StreamingQuery:
-    """Build the fact anew for the days of newly landed files, so that an hour landed again is not counted twice."""
-    partitions = [T.StructField("dt", T.DateType()), T.StructField("hour", T.IntegerType())]
-    ods = spark.readStream.schema(T.StructType(schemas.ODS.fields + partitions)).parquet(ods_path)
+    """Build the fact anew for the days of newly landed files, so that an hour landed again is not counted twice.
+
+    The stream reads the folders' names and no row.
+    """
+    partitions = [T.StructField("dt", T.DateType()), T.StructField("hour", T.IntegerType()), T.StructField("file", T.StringType())]
+    ods = spark.readStream.schema(T.StructType(schemas.ODS.fields + partitions)).parquet(ods_path).select("dt")
 
     def build(batch: DataFrame, _: int) -> None:
         days = [r.dt for r in batch.select("dt").distinct().collect()]  # one per calendar day
