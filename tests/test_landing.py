@@ -188,6 +188,72 @@ def test_random_damage_is_judged_as_by_a_json_parser(spark):
     assert 1000 < sum(got.values()) < 3000
 
 
+@pytest.mark.parametrize("line", [
+    '{"id": "1"}],"end":"x"}', '{"id": "1"}],"lines":[{"id": "2"}', '{"id": "1"}], "more": [{"id": "2"}', '{"id": "1"} /* */',
+    '{"id": "1"}, "end": "y"'])
+def test_spliced_lines_are_bad(spark, line):
+    assert parsed(spark, line).first().event is None
+
+
+@pytest.mark.parametrize("streamed", [False, True])
+def test_rows_of_archived_files_stay(spark, tmp_path, streamed):
+    """A file that was landed and moved away keeps its rows; a changed one replaces its own alone."""
+    root, ods = tmp_path / "raw", str(tmp_path / "ods")
+
+    def run():
+        if streamed:
+            land_stream(spark, str(root), ods, str(tmp_path / "cp"), hour_folders=True).awaitTermination()
+        else:
+            warehouse.land(spark, str(root), ods)
+        return sorted(r.event_id for r in spark.read.parquet(ods).collect())
+
+    put_part(root, 1, "one", event("1"), event("2"))
+    assert run() == ["1", "2"]
+    (root / "dt=2024-01-14" / "hour=1" / "one.json.gz").rename(tmp_path / "one.json.gz")
+    put_part(root, 1, "two", event("3"))
+    put_part(root, 2, "two", event("4"))
+    assert run() == ["1", "2", "3", "4"]
+    states = {r.hour: r.state for r in warehouse.hour_states(spark, str(root), ods).collect()}
+    assert (states[1], states[2], states[3]) == ("landed", "landed", "missing")
+    put_part(root, 2, "three", event("5"), cut=True)
+    assert run() == ["1", "2", "3", "4"]
+    put_part(root, 2, "three-again" if streamed else "three", event("5"))  # a stream sees new names only
+    assert run() == ["1", "2", "3", "4", "5"]
+
+
+def test_a_file_that_turns_up_damaged_keeps_what_was_landed(spark, tmp_path):
+    root, ods = tmp_path / "raw", str(tmp_path / "ods")
+    put(root, "2024-01-14", 0, event("a"), event("b"))
+    warehouse.land(spark, str(root), ods)
+    put(root, "2024-01-14", 0, event("a"), event("c"), cut=True)
+    assert warehouse.land(spark, str(root), ods).broken_files == 1
+    assert sorted(r.event_id for r in spark.read.parquet(ods).collect()) == ["a", "b"]
+    assert {r.state for r in warehouse.hour_states(spark, str(root), ods).collect()} == {"damaged", "missing"}
+
+
+def test_each_file_is_opened_once(tmp_path, monkeypatch):
+    """Lines and verdict come from one stream, in pieces, also for a file of many pieces."""
+    import pyarrow as pa
+
+    put(tmp_path, "2024-01-14", 0, *[event(str(i)) for i in range(30_000)])
+    path = f"file:{tmp_path}/dt=2024-01-14/0.json.gz"
+    opened = []
+    monkeypatch.setattr(raw, "open_file", lambda p, own=raw.open_file: opened.append(p) or own(p))
+    batch = pa.RecordBatch.from_pydict({"path": [path], "dt": [None], "hour": [0], "length": [1], "modificationTime": [None],
+                                        "content": pa.array([None], pa.binary())})
+    found = list(raw._unpack_files(iter([batch])))
+    assert opened == [path] and len(found) > 3
+    assert sum(len(b) for b in found[:-1]) == 30_000 == found[-1].column("line_cnt")[0].as_py()
+    assert max(b.nbytes for b in found) < 8 << 20
+
+
+def test_storage_errors_are_no_damage(tmp_path):
+    from tidemark.sources.files import StorageError, open_file
+
+    with pytest.raises(StorageError):
+        open_file(f"file:{tmp_path}/absent.gz")
+
+
 def put_part(root: Path, hour: int, part: str, *lines: str, cut: bool = False) -> None:
     folder = root / "dt=2024-01-14" / f"hour={hour}"
     folder.mkdir(parents=True, exist_ok=True)

@@ -42,9 +42,9 @@ def test_hours(spark):
     assert tuple(quality.hour_completeness(full.limit(0)).first()) == (0, 0, 0, "", False)
 
 
-def test_hours_list_first_six_days(spark):
+def test_hours_list_all_short_days(spark):
     got = quality.hour_completeness(daily(spark, *[3] * 9)).first()
-    assert got.short_days == 9 and got.short_list.count("(3h)") == 6 and got.short_list.startswith("2024-01-01")
+    assert got.short_days == 9 and got.short_list.count("(3h)") == 9 and got.short_list.startswith("2024-01-01")
 
 
 def test_volatility_over_days_present(spark):

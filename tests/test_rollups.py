@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import physical, plan_of, rows
 from tidemark.operators import rollups
+from tidemark.plans import reports
 from tidemark.sources.adapter import fact_from_events
 
 FACT = "event_id string, event_type string, actor_id long, actor_login string, repo_id long, repo_name string, " \
@@ -36,19 +37,50 @@ def test_null_key_has_no_counts(spark):
     assert got == {"x": (1, None, None), "y": (2, None, None)}
 
 
-@pytest.mark.parametrize("build, key, label, other", [
-    (rollups.daily_repo_rank, "repo_id", "repo_name", "actor_id"),
-    (rollups.daily_actor_active, "actor_id", "actor_login", "repo_id")])
-def test_rank_equals_join_form(spark, sf, build, key, label, other):
-    df = fact_from_events(spark, sf).withColumn(key, F.when(F.hour("event_ts") != 3, F.col(key)))
-    got = build(df)
-    counts = [c for c in got.columns if c in rollups.fixed.COUNT_COLUMNS]
-    base = df.groupBy("dt", key, label).agg(
-        F.count("*").alias("event_cnt"), F.count_distinct(other).alias(got.columns[4]))
-    pivot = df.groupBy("dt", key).agg(*[
-        F.sum(F.when(F.col("event_type") == rollups.fixed.COUNT_COLUMNS[c], 1).otherwise(0)).alias(c) for c in counts])
-    want = base.join(pivot, ["dt", key], "left").withColumnRenamed("dt", "date").select(got.columns)
-    assert rows(got) == rows(want)
+def test_actor_rank_of_renames_and_missing_names(spark):
+    """A login that changes within a day, a NULL login and a NULL id, all by hand."""
+    df = fact(spark, {"repo_id": 7}, {"repo_id": 8, "event_type": "PullRequestEvent"}, {"actor_login": "b", "repo_id": 7},
+              {"actor_login": None, "event_type": "IssuesEvent"}, {"actor_id": None, "actor_login": None}, {"actor_id": None, "actor_login": None},
+              {"dt": D15, "event_type": "WatchEvent"})
+    got = {(r.date, r.actor_id, r.actor_login): (r.event_cnt, r.repo_cnt, r.push_cnt, r.pr_cnt, r.issue_cnt)
+           for r in rollups.daily_actor_active(df).collect()}
+    assert got == {(D14, 1, "a"): (2, 2, 2, 1, 1), (D14, 1, "b"): (1, 1, 2, 1, 1), (D14, 1, None): (1, 1, 2, 1, 1),
+                   (D14, None, None): (2, 1, None, None, None), (D15, 1, "a"): (1, 1, 0, 0, 0)}
+
+
+@pytest.mark.parametrize("name", [*rollups.ADS_TABLES, "daily_summary"])
+def test_grain_gives_the_same_rollups(spark, sf, name):
+    build = rollups.ADS_TABLES.get(name, rollups.daily_summary)
+    df = fact_from_events(spark, sf).withColumns({
+        "repo_id": F.when(F.hour("event_ts") != 3, F.col("repo_id")), "language": F.lit(None).cast("string"),
+        "event_ts": F.when(F.hour("event_ts") != 9, F.date_trunc("hour", "event_ts"))})
+    grain = rollups.daily_grain(df.unionByName(df.limit(500)))
+    assert grain.count() < grain.agg(F.sum("events")).first()[0]
+    assert rows(build(grain)) == rows(build(df.unionByName(df.limit(500))))
+
+
+def test_range_distinct_is_exact(spark, sf):
+    df = fact_from_events(spark, sf).withColumn("repo_id", F.when(F.col("repo_id") % 3 == 0, -F.col("repo_id") * 100_003).otherwise(F.col("repo_id")))
+    bitmaps, summary = rollups.distinct_days(df), rollups.daily_summary(df)
+    for first, last in [(None, None), ("2024-01-03", "2024-01-09"), ("2030-01-01", None)]:
+        own = reports.between(df, first, last, "dt")
+        want = own.agg(F.count("*"), F.count_distinct("dt"), F.count_distinct("repo_id"), F.count_distinct("actor_id")).first()
+        assert tuple(reports.range_distinct(bitmaps, summary, first, last).first()) == tuple(want)
+
+
+def test_sketches_stay_within_their_error(spark, sf):
+    df = fact_from_events(spark, sf).unionByName(fact_from_events(spark, sf).withColumn("repo_id", F.xxhash64("event_id")))
+    got = {r.event_type: r for r in reports.range_estimates(rollups.sketch_days(df), "2024-01-02", "2024-01-20").collect()}
+    for r in reports.between(df, "2024-01-02", "2024-01-20", "dt").groupBy("event_type").agg(
+            F.count("*").alias("n"), F.count_distinct("repo_id").alias("repos"), F.count_distinct("actor_id").alias("actors")).collect():
+        own = got[r.event_type]
+        assert own.events == r.n and abs(own.repos - r.repos) <= 0.03 * r.repos and abs(own.actors - r.actors) <= 0.03 * r.actors
+
+
+@pytest.mark.parametrize("name", list(rollups.RANK_TIES))
+def test_top_rows_are_cut_before_the_shuffle(spark, sf, name):
+    plan = physical(rollups.top_rank_per_day(fact_from_events(spark, sf), name, rows=3))
+    assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
 def test_columns(spark):

@@ -268,6 +268,52 @@ def test_statements(spark, root):
         warehouse.run_statement(spark, " ")
 
 
+@pytest.mark.parametrize("text, reason", [
+    ("SELECT " + ", ".join(f"{i} AS c{i}" for i in range(40)) + ", `java_method`('java.lang.System', 'getProperty', 'user.home')", "function"),
+    ("SELECT 'CTE [secret]' AS a, v FROM secret", "not a registered view"),
+    ("SELECT * FROM (SELECT /* ads_daily_org_rank */ v FROM secret) x", "not a registered view"),
+    ("SELECT date FROM ads_daily_org_rank WHERE event_cnt > (SELECT max(v) FROM secret)", "not a registered view"),
+    ("WITH a AS (SELECT v FROM secret) SELECT * FROM a", "not a registered view"),
+    ("WITH a AS (SELECT reflect('java.lang.System', 'getenv') AS v) SELECT * FROM a", "function"),
+    ("SELECT date FROM ads_daily_org_rank WHERE org_login IN (SELECT try_reflect('a', 'b'))", "function"),
+    ("SELECT input_file_name(), date FROM ads_daily_org_rank", "function"),
+    ("SELECT IDENTIFIER('java_method')('java.lang.System', 'lineSeparator')", "names made|function|expression"),
+    ("SELECT * FROM range(10)", "table functions"),
+    ("SELECT * FROM parquet.`{path}`", "not a registered view"),
+    ("SELECT * FROM IDENTIFIER('secret')", "names made"),
+])
+def test_statements_that_reach_out_are_refused(spark, root, tmp_path, text, reason):
+    versions.register_views(spark, root)
+    path = str(tmp_path / "secret")
+    spark.createDataFrame([(1,)], "v int").write.parquet(path)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS secret USING parquet AS SELECT 1 AS v")
+    try:
+        with pytest.raises(ValueError, match=f"refused: ({reason})"):
+            warehouse.run_statement(spark, text.replace("{path}", path))
+    finally:
+        spark.sql("DROP TABLE IF EXISTS secret")
+
+
+def test_statements_that_compute_are_run(spark, root):
+    versions.register_views(spark, root)
+    got = warehouse.run_statement(spark, """
+        WITH d AS (SELECT date, sum(event_cnt) AS n, collect_set(event_type) AS kinds FROM ads_daily_event_type GROUP BY date)
+        SELECT a.date, n, size(kinds) AS k, row_number() OVER (ORDER BY n DESC, a.date) AS place, 'reflect(' AS text,
+               upper(concat('x', cast(n AS string))) AS label
+        FROM d a JOIN (VALUES (date'2024-01-02'), (date'2024-01-03')) v(date) ON v.date = a.date
+        WHERE EXISTS (SELECT 1 FROM serving_summary s WHERE s.date = a.date) ORDER BY place""")
+    assert [r.place for r in got.collect()] == [1, 2]
+
+
+def test_a_table_that_cannot_be_read_is_told(spark, tmp_path):
+    out = str(tmp_path / "w")
+    spark.range(5).withColumn("date", F.lit("2024-01-01").cast("date")).write.parquet(f"{out}/ads/daily_event_type")
+    for file in Path(out, "ads", "daily_event_type").glob("*.parquet"):
+        file.write_bytes(file.read_bytes()[:30])
+    got = {r.table: r.status for r in versions.register_views(spark, out, [("ads", "daily_event_type")]).collect()}
+    assert got == {"daily_event_type": "unreadable"} and not spark.catalog.tableExists("ads_daily_event_type")
+
+
 def test_sample_export(spark, root, tmp_path):
     path = str(tmp_path / "sample")
     tables.export_sample(versions.read_table(spark, root, "dwd", "event_fact"), path, "event_id", "event_type", rows=7)
