@@ -18,10 +18,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import carried, schema_with, text_slices
+from tidemark.llm.common import carried, schema_with, text_slices, unused
 
-#: Distinct pieces that a worker remembers before it starts anew.
-REMEMBERED = 300_000
+#: Bytes of pieces and ids that a worker remembers before it starts anew, and what a piece takes besides its own.
+REMEMBERED, OVERHEAD = 32 << 20, 160
 
 #: Longer pieces, in bytes, are merged by a heap instead of a row of a matrix.
 LONGEST_ROW = 256
@@ -197,6 +197,7 @@ class _Memory:
         self.ids = np.zeros(0, np.int32)
         self.size = np.zeros(0, np.int64)
         self.start = np.zeros(0, np.int64)
+        self.bytes = 0
 
     def learn(self, pieces: Iterable[str], code: Codec) -> None:
         new = [p for p in pieces if p not in self.index]
@@ -204,6 +205,7 @@ class _Memory:
             return
         coded = code.encode_pieces([p.encode() for p in new])
         self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
+        self.bytes += sum(len(p) + 4 * len(c) for p, c in zip(new, coded)) + OVERHEAD * len(new)
         size = np.array([len(c) for c in coded], np.int64)
         self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
@@ -218,45 +220,75 @@ class _Memory:
         return self.ids[np.arange(ends[-1]) + np.repeat(self.start[which] - (ends - size), size)]
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], text: str, code: Codec, pattern: str) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Runs of rows and the ids of each row's text."""
+    split, memory = regex.compile(pattern).findall, _Memory()
+    for rows, texts in text_slices(batches, text):
+        pieces = [split(t) for t in texts]
+        memory.learn(set().union(*pieces), code)
+        yield rows, [memory.encode(p) for p in pieces]
+        if memory.bytes > REMEMBERED:
+            memory = _Memory()
+
+
+def _id_lists(coded: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate(([0], np.cumsum([len(c) for c in coded]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(coded)))
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The ``keep`` columns of ``docs`` (all but the text if None) and ``ids array<int>``.
 
     Each match of ``pattern`` is encoded by itself with the ranks of ``path``, a file
-    that every executor has; there are no special tokens. A NULL text gives no ids. A column of ``docs`` named
-    ``ids`` gives way.
+    that every executor has; there are no special tokens. A NULL text gives no ids; texts of any length
+    are whole. Rows given more than once each get their row, an empty table gives none. A column of ``docs``
+    named ``ids`` gives way.
     """
     keep = carried(docs, text_col, keep, "ids")
-    inputs = docs.select(*keep, F.col(text_col).alias("_text"))
+    text = unused("_text", docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, split, memory = codec(path), regex.compile(pattern).findall, _Memory()
-        for rows, texts in text_slices(batches, "_text"):
-            pieces = [split(text) for text in texts]
-            memory.learn(set().union(*pieces), code)
-            coded = [memory.encode(p) for p in pieces]
-            offsets = np.concatenate(([0], np.cumsum([len(c) for c in coded]))).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(coded)))
-            yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in keep), ids], [*keep, "ids"])
-            if len(memory.index) > REMEMBERED:
-                memory = _Memory()
+        for rows, coded in _encoded(batches, text, codec(path), pattern):
+            yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in keep), _id_lists(coded)], [*keep, "ids"])
 
-    return inputs.mapInArrow(run, schema_with(docs, keep, "ids array<int>"))
+    return docs.select(*keep, F.col(text_col).alias(text)).mapInArrow(run, schema_with(docs, keep, "ids array<int>"))
 
 
 def decode(coded: DataFrame, path: str, ids_col: str = "ids", keep: list[str] | None = None) -> DataFrame:
-    """The ``keep`` columns of ``coded`` (all if None) and ``decoded binary``; NULL ids decode to nothing."""
+    """The ``keep`` columns of ``coded`` (all if None) and ``decoded binary``; NULL ids decode to nothing.
+
+    Rows given more than once each get their row, an empty table gives none. A column named ``decoded`` gives way.
+    """
     keep = [c for c in (coded.columns if keep is None else keep) if c != "decoded"]
-    inputs = coded.select(*keep, F.col(ids_col).alias("_ids"))
+    ids = unused("_ids", coded)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = codec(path)
         for batch in batches:
-            lists = batch.column("_ids")
-            texts = (code.decode(x.values.to_numpy()) if x.is_valid else b"" for x in lists)
+            texts = (code.decode(x.values.to_numpy()) if x.is_valid else b"" for x in batch.column(ids))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in keep), pa.array(texts, pa.binary())], [*keep, "decoded"])
 
-    return inputs.mapInArrow(run, schema_with(coded, keep, "decoded binary"))
+    return coded.select(*keep, F.col(ids_col).alias(ids)).mapInArrow(run, schema_with(coded, keep, "decoded binary"))
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """What ``decode`` gives for ``encode``: ``keep`` columns, ``ids`` and ``decoded``, in one pass of one worker.
+
+    Two passes in a row would hold two workers for each core, with the ranks in both.
+    """
+    keep = carried(docs, text_col, keep, "ids", "decoded")
+    text = unused("_text", docs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = codec(path)
+        for rows, coded in _encoded(batches, text, code, pattern):
+            decoded = pa.array((code.decode(ids) for ids in coded), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [*(rows.column(c) for c in keep), _id_lists(coded), decoded], [*keep, "ids", "decoded"])
+
+    return docs.select(*keep, F.col(text_col).alias(text)).mapInArrow(
+        run, schema_with(docs, keep, "ids array<int>, decoded binary"))
 
 
 def op9_byte_bpe(spark, sf_dir: str) -> DataFrame:
@@ -264,7 +296,7 @@ def op9_byte_bpe(spark, sf_dir: str) -> DataFrame:
 
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return decode(encode(docs, path, pattern), path).select(
+    return round_trip(docs, path, pattern).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -95,6 +95,14 @@ def text_slices(batches: Iterable[pa.RecordBatch], column: str, chars: int = 1 <
             yield batch.slice(begin), texts
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name``, or a longer one, that no column of ``frames`` has: a working column that shades none."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def carried(df: DataFrame, text_col: str, keep: list[str] | None, *added: str) -> list[str]:
     """The columns that a result keeps: ``keep``, or all but the text; names in ``added`` give way."""
     return [c for c in (keep if keep is not None else df.columns) if c not in added and (keep is not None or c != text_col)]
@@ -113,10 +121,11 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, spread_by: str, most: in
     is laid out once for each salt, so that the rows of a hot key go to many tasks.
     """
     table = stored(table, "lookup")
-    own = table.withColumnRenamed(key, "_key")
-    match = F.col(key).eqNullSafe(F.col("_key"))
+    name, salt, part = (unused(n, rows, table) for n in ("_key", "_salt", "_own"))
+    own = table.withColumnRenamed(key, name)
+    match = F.col(key).eqNullSafe(F.col(name))
     if table.limit(most + 1).count() <= most:
-        return rows.join(F.broadcast(own), match).drop("_key")
-    own = own.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.withColumn("_own", salt_of(spread_by)).join(
-        own, match & (F.col("_own") == F.col("_salt"))).drop("_key", "_own", "_salt")
+        return rows.join(F.broadcast(own), match).drop(name)
+    own = own.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn(part, salt_of(spread_by)).join(
+        own, match & (F.col(part) == F.col(salt))).drop(name, part, salt)
