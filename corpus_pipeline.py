@@ -38,9 +38,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    coded = bpe.encode(docs, path, public_tokenizers.PATTERN, keep=docs.columns)
-    decoded = bpe.decode(coded, path)
-    return decoded.withColumn("n_tokens", F.size("ids").cast("long")).withColumn(
+    coded = bpe.round_trip(docs, path, public_tokenizers.PATTERN, keep=docs.columns)
+    return coded.withColumn("n_tokens", F.size("ids").cast("long")).withColumn(
         "round_trip", F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).drop("decoded")
 
 
