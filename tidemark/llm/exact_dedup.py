@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import BLANKS, attach, salt_of, stored
+from tidemark.llm.common import BLANKS, attach, salt_of, stored, unused
 
 #: Characters of the normalised text that the second step hashes.
 PREFIX = 64
@@ -108,13 +108,14 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     text_hash = F.sha2(normalised(F.col(text_col)), 256)
     marks = stored(exact_dedup(docs, id_col, text_col, carry={"_hash": text_hash}, **steps), "marks")
-    marks = marks.groupBy(F.col(id_col).alias("_id"), "_hash").agg(
-        F.count_if("kept").alias("_kept"), F.count("*").alias("_rows")).filter("_kept > 0")
-    rows = docs.withColumn("_own", text_hash).join(
-        marks, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_hash")))
+    one, two, count, own, row = (unused(n, docs) for n in ("_id", "_hash", "_rows", "_own", "_row"))
+    marks = marks.groupBy(F.col(id_col).alias(one), F.col("_hash").alias(two)).agg(
+        F.count_if("kept").alias("kept"), F.count("*").alias(count)).filter("kept > 0").drop("kept")
+    rows = docs.withColumn(own, text_hash).join(
+        marks, F.col(id_col).eqNullSafe(F.col(one)) & (F.col(own) == F.col(two)))
     longest = F.max_by(F.struct(*docs.columns), F.char_length(F.coalesce(text_col, F.lit(""))))
-    again = rows.filter("_rows > 1").groupBy("_id", "_hash").agg(longest.alias("_row")).select("_row.*")
-    return rows.filter("_rows = 1").select(docs.columns).unionByName(again)
+    again = rows.filter(F.col(count) > 1).groupBy(one, two).agg(longest.alias(row)).select(f"{row}.*")
+    return rows.filter(F.col(count) == 1).select(docs.columns).unionByName(again)
 
 
 def op3_exact_dedup(spark, sf_dir: str) -> DataFrame:

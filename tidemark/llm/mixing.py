@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import lookup
+from tidemark.llm.common import lookup, unused
 
 #: Exponent that turns sizes into target weights where none are given: below 1 it lifts
 #: small sources.
@@ -74,20 +74,21 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float
     """
     columns = [c for c in docs.columns if c not in ("copy", "copies")]
     steps = F.greatest(F.lit(1), F.ceil(F.col("mean") / STEP).cast("int"))
-    table = source_rates(docs, source_col, weights, epochs, smoothing).select(
-        source_col, steps.alias("_steps"), cumulative(F.col("mean") / steps).alias("_sums"))
+    times, sums, place = (unused(n, docs) for n in ("_steps", "_sums", "_order"))
+    table = source_rates(docs.select(source_col), source_col, weights, epochs, smoothing).select(
+        source_col, steps.alias(times), cumulative(F.col("mean") / steps).alias(sums))
     rows = lookup(docs.select(columns), table, source_col, id_col)
 
     def draw(step: Column) -> Column:
         u = uniform(seed, F.col(id_col), step)
-        return F.size(F.filter("_sums", lambda c: c <= u))
+        return F.size(F.filter(sums, lambda c: c <= u))
 
-    count = F.aggregate(F.transform(F.sequence(F.lit(1), F.col("_steps")), draw), F.lit(0), lambda a, b: a + b)
+    count = F.aggregate(F.transform(F.sequence(F.lit(1), F.col(times)), draw), F.lit(0), lambda a, b: a + b)
     rows = rows.withColumn("copies", count).filter("copies > 0")
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
     order = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), "copy"))
     return (
-        rows.withColumn("_order", order).repartition("_order").sortWithinPartitions("_order")
+        rows.withColumn(place, order).repartition(place).sortWithinPartitions(place)
         .select(*columns, "copy", "copies")
     )
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import ASCII_LOWER, attach, salt_of, schema_with, stored, text_slices
+from tidemark.llm.common import ASCII_LOWER, attach, salt_of, schema_with, stored, text_slices, unused
 from tidemark.llm.components import components
 
 #: Words of a shingle, seed of its hash, and bits that may differ: the contract of op1.
@@ -201,8 +201,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how: int) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of their component; rows with a NULL id stay."""
     classes = near_duplicates(docs, id_col, text_col, **how)
-    gone = classes.filter(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    name = unused("_gone", docs)
+    gone = classes.filter(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias(name)).distinct()
+    return docs.join(gone, F.col(id_col) == F.col(name), "left_anti")
 
 
 def op1_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
