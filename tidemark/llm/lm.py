@@ -21,9 +21,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import ASCII_LOWER, discard, schema_with, shared_path, stored, text_slices
+from tidemark.llm.common import ASCII_LOWER, discard, schema_with, shared_path, stored, text_slices, unused
 
-#: Longest n-gram of the model.
+#: Longest n-gram of the model. Each further order adds as many probes to a score and entries to the filter
+#: as there are different n-grams; the tests run order 3.
 ORDER = 2
 
 #: Base of the logarithm that counts are rounded down to.
@@ -85,6 +86,7 @@ class Words:
 
     def __init__(self) -> None:
         self.known: dict[bytes, int] = {}
+        self.words: list[bytes] = []
         self.hashes = np.zeros(0, np.uint64)
 
     def numbers(self, words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
@@ -94,6 +96,7 @@ class Words:
         known = self.known
         new = [w for w in set(words) if w not in known]
         known.update(zip(new, range(len(known), len(known) + len(new))))
+        self.words += new
         self.hashes = np.concatenate([self.hashes, np.array([xxhash.xxh64_intdigest(w, 1) for w in new], np.uint64)])
         return np.fromiter(map(known.__getitem__, words), np.int64, len(words)), new
 
@@ -193,7 +196,7 @@ def _positions(rest: np.ndarray, level: int, bits: int | np.ndarray) -> list[np.
     return [((((h + np.uint64(k) * step) & low) * bits) >> np.uint64(32)).astype(np.int64) for k in range(HASHES)]
 
 
-def _segment(base: float):
+def _segment(base: float, bits_each: int):
     """The bits of one segment, as many as its entries ask for, from the packed counts that meet there."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -205,7 +208,7 @@ def _segment(base: float):
         hashes, counts = hashes[first], np.add.reduceat(counts, first)
         levels = _levels(counts, base)
         entries = int(levels.sum())
-        bits = np.zeros(-(-entries * BITS // 64) * 64, bool)
+        bits = np.zeros(-(-entries * bits_each // 64) * 64, bool)
         for level in range(1, int(levels.max()) + 1):
             for at in _positions(hashes[levels >= level], level, len(bits)):
                 bits[at] = True
@@ -326,8 +329,12 @@ def _cuts(sizes: np.ndarray, most: int) -> list[int]:
 
 
 def train(docs: DataFrame, text_col: str = "text", order: int = ORDER, base: float = BASE, segments: int = SEGMENTS,
-          pass_bytes: int = PASS_BYTES, frequent: int = FREQUENT, group: int = GROUP) -> tuple[Model, DataFrame]:
-    """The model of the texts, and the exact count of every word (word binary, n; the end as a space)."""
+          pass_bytes: int = PASS_BYTES, frequent: int = FREQUENT, group: int = GROUP, bits: int = BITS) -> tuple[Model, DataFrame]:
+    """The model of the texts, and the exact count of every word (word binary, n; the end as a space).
+
+    NULL texts are empty ones, which teach an end; texts given more than once count each time. Without texts nothing
+    is known. ``bits`` of the filter for each entry bound the false hits.
+    """
     texts = docs.select(F.col(text_col).alias("text"))
     given = texts.agg(F.sum(F.char_length("text")).alias("chars"), F.count("*").alias("rows")).first()
     most = order * ((given.chars or 0) // 2 + 2 * given.rows)  # n-grams: no text has more tokens than that
@@ -341,7 +348,7 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER, base: flo
     tokens, types = sums.tokens or 0, sums.types
     often = vocabulary.filter((F.col("n") * frequent > tokens) | (F.col("word") == F.lit(b" ")))
     built = stored(gathered.filter("segment IS NOT NULL").groupBy("segment").applyInArrow(
-        _segment(base), "segment int, entries long, size long, data binary"), "segments")
+        _segment(base, bits), "segment int, entries long, size long, data binary"), "segments")
     discard(docs.sparkSession, path)
     sizes = np.zeros(segments, np.int64)
     for row in built.select("segment", "size").toLocalIterator():
@@ -400,7 +407,9 @@ def score(docs: DataFrame, model: Model, vocabulary: DataFrame, keep: list[str],
 
     ``score`` is the sum over a text's words and its end of the model's log10
     probabilities, ``base_score`` the same with exact counts of single words. A NULL
-    text is an empty one, which has its end alone.
+    text is an empty one, which has its end alone; texts of any length are scored whole.
+    Rows given more than once each get their row, an empty table gives none. Columns by
+    the names of the results give way.
     """
     spark = docs.sparkSession
     parts = model.parts
@@ -414,7 +423,7 @@ def score(docs: DataFrame, model: Model, vocabulary: DataFrame, keep: list[str],
         often = {w: float(np.log10((n + 0.5) / divisor)) for w, n in own.frequent.items()}
         end = often.get(b" ", float(np.log10(0.5 / divisor)))
         exact = np.zeros(0)  # by a word's number: its part of the base score, NaN for words that are not frequent
-        for rows, texts in text_slices(batches, "_text"):
+        for rows, texts in text_slices(batches, text):
             flat, sizes = _split(texts)
             numbers, new = words.numbers(flat)
             exact = np.concatenate([exact[: len(words.known) - len(new)], [often.get(w, np.nan) for w in new]])
@@ -423,37 +432,42 @@ def score(docs: DataFrame, model: Model, vocabulary: DataFrame, keep: list[str],
             levels = None
             if passes:
                 hashes = np.stack([ngrams(tokens, places, n) for n in range(1, own.order + 1)])
-                levels = _joined_levels(hashes, ends, sizes, rows.column("_levels").to_pylist(), cuts, segments)
+                levels = _joined_levels(hashes, ends, sizes, rows.column(seen).to_pylist(), cuts, segments)
             total = np.add.reduceat(own.log_probabilities(tokens, places, levels), ends - sizes)
             logs = exact[numbers]
             text_of = np.repeat(np.arange(len(sizes)), sizes - 1)
             unknown = np.isnan(logs)
             base = np.bincount(text_of, np.where(unknown, 0.0, logs), len(sizes)) + end
             known = np.bincount(text_of[~unknown], minlength=len(sizes)) + (b" " in often)
-            tails: list[dict[bytes, int]] = [{} for _ in texts]
-            for i, t in zip(np.flatnonzero(unknown).tolist(), text_of[unknown].tolist()):
-                tails[t][flat[i]] = tails[t].get(flat[i], 0) + 1
-            rare = [[{"word": w, "times": n} for w, n in tail.items()] for tail in tails]
-            kind = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))
+            rare, times = np.unique(text_of[unknown] << 32 | numbers[unknown], return_counts=True)
+            names = pa.array([words.words[i] for i in (rare & 0xFFFFFFFF).tolist()], pa.binary())
+            edges = np.searchsorted(rare >> 32, np.arange(len(sizes) + 1)).astype(np.int32)
+            tails = pa.ListArray.from_arrays(edges, pa.StructArray.from_arrays([names, pa.array(times)], ["word", "times"]))
             yield pa.RecordBatch.from_arrays(
                 [*(rows.column(c) for c in keep), pa.array(sizes), pa.array(known, pa.int64()),
-                 pa.array(base, pa.float64()), pa.array(total), pa.array(rare, kind)],
-                [*keep, "n_tokens", "_known", "_base", "score", "_rare"])
-
-    more = "n_tokens long, _known long, _base double, score double, _rare array<struct<word: binary, times: bigint>>"
-    inputs = docs.select(*keep, F.col(text_col).alias("_text"))
+                 pa.array(base, pa.float64()), pa.array(total), tails],
+                [*keep, "n_tokens", known_col, base_col, "score", rare_col])
+
+    keep = [c for c in keep if c not in ("n_tokens", "n_known", "base_score", "score")]
+    known_col, base_col, rare_col, row = (unused(n, docs) for n in ("_known", "_base", "_rare", "_row"))
+    more = (f"n_tokens long, {known_col} long, {base_col} double, score double, "
+            f"{rare_col} array<struct<word: binary, times: bigint>>")
+    text, seen = unused("_text", docs), unused("_levels", docs)
+    inputs = docs.select(*keep, F.col(text_col).alias(text))
     if passes:
-        inputs = stored(inputs.withColumn("_row", F.monotonically_increasing_id()), "texts")
-        inputs = inputs.join(_looked_up(inputs, model), "_row")
+        inputs = stored(inputs.withColumn(row, F.monotonically_increasing_id()), "texts")
+        found = _looked_up(inputs.select(F.col(row).alias("_row"), F.col(text).alias("_text")), model)
+        inputs = inputs.join(found.select(F.col("_row").alias(row), F.col("_levels").alias(seen)), row)
     scored = stored(inputs.mapInArrow(run, schema_with(docs, keep, more)).withColumn(
-        "_row", F.monotonically_increasing_id()), "scored")
-    rare = scored.select("_row", F.inline("_rare")).join(vocabulary, "word", "left")
-    sums = rare.groupBy("_row").agg(
-        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more"),
-        F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(divisor))).alias("rest"))
-    return scored.join(sums, "_row", "left").select(
-        *keep, "n_tokens", (F.col("_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        (F.col("_base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"), "score")
+        row, F.monotonically_increasing_id()), "scored")
+    rare = scored.select(F.col(row).alias("row"), F.inline(rare_col)).join(vocabulary, "word", "left")
+    plus, rest = unused("_more", docs), unused("_rest", docs)
+    sums = rare.groupBy(F.col("row").alias(row)).agg(
+        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias(plus),
+        F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(divisor))).alias(rest))
+    return scored.join(sums, row, "left").select(
+        *keep, "n_tokens", (F.col(known_col) + F.coalesce(plus, F.lit(0))).alias("n_known"),
+        (F.col(base_col) + F.coalesce(rest, F.lit(0.0))).alias("base_score"), "score")
 
 
 def op8_lm_score(spark, sf_dir: str) -> DataFrame:
