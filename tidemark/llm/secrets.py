@@ -2,9 +2,9 @@
 
 One pass over the texts finds all parts. Parts that prove nothing alone (a user name, a
 long random token, an address) are reported only where complementary parts stand in
-their group: parts of one scope, a block of text between blank lines, whose neighbours are
-within reach. Windows over the ordered parts give the groups and the roles in each, so no
-pairs are formed.
+their scope, the interval of text between two blank lines. Scopes and parts of a text are
+both in order, so their interval join is one merge, which keeps the roles of a scope and
+forms no pairs; a text's parts never leave its row.
 """
 
 from __future__ import annotations
@@ -14,9 +14,9 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import carried, schema_with, stored, text_slices
+from tidemark.llm.common import carried, schema_with, text_slices, unused
 
 # The base patterns, the shortest match of each, and the order of kinds.
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -32,9 +32,6 @@ USER = r"""(?:user_?name|user|login|account|client_?id)["']?\x20*[:=]\x20*["']?(
 BLOB = r"[A-Za-z0-9+/_-]{32,}"
 ENDPOINT = r"""[a-z][a-z0-9+.-]*://[^\x20\x09-\x0D"'<>]{4,}"""
 
-#: Characters between neighbouring parts of a group; a group's parts are taken together.
-REACH = 200
-
 _BLANK_LINE = re.compile(r"\n[ \t\r]*\n")
 _CASELESS = re.ASCII | re.IGNORECASE
 _ASSIGN, _USER = re.compile(ASSIGN, _CASELESS), re.compile(USER, _CASELESS)
@@ -43,10 +40,13 @@ _ACCESS, _BLOB, _ENDPOINT = re.compile(ACCESS), re.compile(BLOB), re.compile(END
 _HEX = re.compile(f"[0-9a-f]{{{HEX_LENGTH},}}")
 _ASSIGN_WORDS, _USER_WORDS = ("passw", "secret", "token", "api"), ("user", "login", "account", "client")
 
-_ROLE = {"access": "id", "user": "id", "assign": "secret", "hex": "secret", "blob": "secret", "endpoint": "endpoint"}
+#: What each kind is in a credential, and what a weak kind needs in its scope: a user a secret, a blob an identifier,
+#: an endpoint both.
+_ROLE = ("secret", "id", "secret", "id", "secret", "endpoint")
+_NEEDS = {3: {"secret"}, 4: {"id"}, 5: {"id", "secret"}}
 
-_PART = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32()), ("scope", pa.int32())])
-_PARTS = "array<struct<start: int, kind: int, end: int, scope: int>>"
+_PART = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
+_PARTS = "array<struct<start: int, kind: int, end: int>>"
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -88,54 +88,23 @@ def weak_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     return sorted(s for s in found if free(s))
 
 
-def parts(text: str) -> tuple[list[dict], list[dict]]:
-    base = base_spans(text)
-    weak = weak_spans(text, base)
+def linked(text: str, base: list[tuple[int, int, int]], weak: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The weak spans whose complements stand in their scope; a span belongs to the scope that it begins in."""
     if not weak:
-        return [{"start": s, "kind": k, "end": e, "scope": 0} for s, k, e in base], []
-    breaks = [m.start() for m in _BLANK_LINE.finditer(text)]
-    return tuple([{"start": s, "kind": k, "end": e, "scope": bisect_right(breaks, s)} for s, k, e in spans]
-                 for spans in (base, weak))
-
-
-def find_parts(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The ``keep`` columns of ``docs`` with ``base`` and ``weak``, arrays of parts in order."""
-    keep = carried(docs, text_col, keep, "base", "weak")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in text_slices(batches, "_text"):
-            base, weak = zip(*(parts(t) for t in texts))
-            yield pa.RecordBatch.from_arrays(
-                [*(rows.column(c) for c in keep), pa.array(base, pa.list_(_PART)), pa.array(weak, pa.list_(_PART))],
-                [*keep, "base", "weak"])
-
-    inputs = docs.select(*keep, F.col(text_col).alias("_text"))
-    return inputs.mapInArrow(run, schema_with(docs, keep, f"base {_PARTS}, weak {_PARTS}"))
-
-
-def link(found: DataFrame, row: str, reach: int = REACH) -> DataFrame:
-    """(row, added): the weak parts of each row that have their complement in their group.
-
-    A group is a run of parts in one scope, none of them further than ``reach`` from those before it.
-
-    A user needs a secret, a blob an identifier, an endpoint both.
-    """
-    roles = F.element_at(F.create_map(*(F.lit(x) for k, name in enumerate(KINDS) for x in (k, _ROLE[name]))), F.col("kind"))
-    every = found.filter(F.size("weak") > 0).select(row, F.inline(F.concat("base", "weak"))).withColumn("role", roles)
-    scope = Window.partitionBy(row, "scope")
-    earlier = scope.orderBy("start", "end", "kind").rowsBetween(Window.unboundedPreceding, -1)
-    apart = F.coalesce(F.col("start") - F.max("end").over(earlier) > reach, F.lit(False)).cast("int")
-    grouped = every.withColumn("apart", apart).withColumn("group", F.sum("apart").over(
-        scope.orderBy("start", "end", "kind").rowsBetween(Window.unboundedPreceding, 0)))
-
-    def near(role: str) -> Column:
-        return F.max(F.col("role") == role).over(Window.partitionBy(row, "scope", "group"))
-
-    judged = grouped.withColumn("near_id", near("id")).withColumn("near_secret", near("secret"))
-    linked = F.when(F.col("kind") == 3, F.col("near_secret")).when(F.col("kind") == 4, F.col("near_id")).when(
-        F.col("kind") == 5, F.col("near_id") & F.col("near_secret")).otherwise(False)
-    return judged.filter(linked).groupBy(row).agg(
-        F.collect_list(F.struct("start", "kind", "end", "scope")).alias("added"))
+        return []
+    out, at, spans = [], 0, sorted(base + weak)
+    for end in [*(m.start() for m in _BLANK_LINE.finditer(text)), len(text) + 1]:
+        begin = at
+        while at < len(spans) and spans[at][0] < end:
+            at += 1
+        roles = {_ROLE[kind] for _, kind, _ in spans[begin:at]}
+        out += [s for s in spans[begin:at] if s[1] in _NEEDS and _NEEDS[s[1]] <= roles]
+    return out
+
+
+def _parts(text: str) -> tuple[list[dict], list[dict]]:
+    base = base_spans(text)
+    return tuple([{"start": s, "kind": k, "end": e} for s, k, e in spans] for spans in (base, linked(text, base, weak_spans(text, base))))
 
 
 def _spans(parts_col: Column) -> Column:
@@ -144,17 +113,25 @@ def _spans(parts_col: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(parts_col), one), ",")
 
 
-def scan_secrets(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None, reach: int = REACH) -> DataFrame:
-    """The ``keep`` columns of ``docs`` with ``base`` and ``added``, arrays of parts.
+def scan_secrets(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The ``keep`` columns of ``docs`` (all but the text if None) with ``base`` and ``added``, arrays of parts.
 
-    Every row gets its row, those given more than once too. A NULL text is an empty one
-    without parts. Of equal starts the kind that is listed first comes first.
+    Every row gets its row, those given more than once too; an empty table gives none. A NULL text is an empty one
+    without parts, texts of any length are scanned whole. Of equal starts the kind that is listed first comes
+    first. Columns named ``base`` and ``added`` give way.
     """
-    keep = carried(docs, text_col, keep, "base", "weak", "added")
-    found = stored(find_parts(docs, text_col, keep).withColumn("_row", F.monotonically_increasing_id()), "parts")
-    none = F.array().cast(_PARTS)
-    return found.join(link(found, "_row", reach), "_row", "left").select(
-        *keep, "base", F.coalesce("added", none).alias("added"))
+    keep = carried(docs, text_col, keep, "base", "added")
+    text = unused("_text", docs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, texts in text_slices(batches, text):
+            base, added = zip(*map(_parts, texts))
+            yield pa.RecordBatch.from_arrays(
+                [*(rows.column(c) for c in keep), pa.array(base, pa.list_(_PART)), pa.array(added, pa.list_(_PART))],
+                [*keep, "base", "added"])
+
+    return docs.select(*keep, F.col(text_col).alias(text)).mapInArrow(
+        run, schema_with(docs, keep, f"base {_PARTS}, added {_PARTS}"))
 
 
 def op4_secret_scan(spark, sf_dir: str) -> DataFrame:
