@@ -134,3 +134,11 @@ def test_empty(spark):
     manifest = _written(spark, none)
     assert manifest.count() == 0 and warc.read_warc(manifest).count() == 0
     assert _read(b"") == []
+
+
+def test_archives_are_read_by_a_task_each(spark, pages):
+    manifest = _written(spark, pages, archive=1)
+    archives = manifest.count()
+    assert archives == len(ROWS)
+    records = warc.read_warc(manifest)
+    assert records.rdd.getNumPartitions() == archives and records.count() == len(ROWS)

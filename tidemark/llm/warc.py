@@ -27,6 +27,9 @@ ARCHIVE, CHUNK = 256 << 20, 64 << 10
 #: Payload bytes that the rows of one batch hold together before it is handed over.
 BATCH = 4 << 20
 
+#: Tasks that read archives, where there are as many.
+READERS = 20_000
+
 #: Longest header block of a record.
 HEADER = 1 << 20
 
@@ -227,7 +230,8 @@ def _b32(digest) -> str:
 
 
 def read_warc(paths: DataFrame, path_col: str = "path", keep_payload: bool = True) -> DataFrame:
-    """The records of all archives in ``paths``, as ``RECORDS``; an archive is read by one task.
+    """The records of all archives in ``paths``, as ``RECORDS``; an archive is read by one task, and there are
+    as many tasks as archives.
 
     Rows of paths that are NULL are passed over. ``payload`` is NULL for revisits and
     where ``keep_payload`` is false.
@@ -249,7 +253,8 @@ def read_warc(paths: DataFrame, path_col: str = "path", keep_payload: bool = Tru
                     yield pa.RecordBatch.from_pylist(rows, _SCHEMA)
 
     own = paths.select(F.col(path_col).alias("path")).filter("path IS NOT NULL")
-    return own.repartition("path").mapInArrow(run, RECORDS)
+    # Paths are a few bytes, so without a number adaptive execution would deal them all to one task.
+    return own.repartition(max(1, min(READERS, own.count())), "path").mapInArrow(run, RECORDS)
 
 
 _SCHEMA = pa.schema([(f.split()[0], {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}[f.split()[1]])
