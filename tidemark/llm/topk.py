@@ -122,11 +122,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, top: int = TOP, scale: int = S
 
     packed = stored(sound(vectors).mapInArrow(_pack(block), _BLOCK), "candidates")
     asked = stored(sound(queries).dropDuplicates(["id", "terms"]).mapInArrow(_pack(query_block), _BLOCK), "queries")
-    asked = stored(asked.withColumn("q_block", F.monotonically_increasing_id()), "queries")
+    asked = stored(asked.withColumn("number", F.monotonically_increasing_id()), "queries")
+    places = asked.select("number", (F.row_number().over(Window.orderBy("number")) - 1).cast("long").alias("q_block"))
+    asked = stored(asked.join(places, "number").drop("number"), "queries")  # numbered from 0: a number for each block
     # A block of queries for each block of candidates: the stated query set against all rows.
     numbers = packed.select("ids", "width", "weights", F.monotonically_increasing_id().alias("block"))
-    counts = asked.select("q_block").collect()  # one number for each block of queries
-    deals = F.explode(F.array(*(F.lit(r.q_block) for r in counts))) if counts else F.lit(None).cast("long")
+    blocks = asked.count()
+    deals = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))) if blocks else F.lit(None).cast("long")
     work = numbers.withColumn("q_block", deals).join(
         asked.select("q_block", F.col("ids").alias("q_ids"), F.col("width").alias("q_width"),
                      F.col("weights").alias("q_weights")), "q_block")
