@@ -10,7 +10,9 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import regex
 import tiktoken
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -55,7 +57,10 @@ LINKED = [
     (4, "aB3xY9" * 7, ""),
     (5, "https://db.example/x user=al1ce\ntoken: abcdef99", "assign:32:47,endpoint:0:20,user:21:31"),
     (6, "user=alice\n\npassword=hunter22", "assign:12:29"),
-    (7, "user=alice" + " " * 300 + "password=hunter22", "assign:310:327"),
+    (7, "user=alice" + " " * 300 + "password=hunter22", "assign:310:327,user:0:10"),
+    (11, "user=alice\n \t\npassword=hunter22", "assign:14:31"),
+    (12, "https://a.example/x\n\nuser=alice\n\ntoken=abcdef99", "assign:33:47"),
+    (13, ("word " * 200_000) + "user=alice password=hunter22", "assign:1000011:1000028,user:1000000:1000010"),
     (8, "user=alice " + "aB3xY9" * 7, "blob:11:53,user:0:10"),
     (9, None, ""), (10, "", ""), (None, "user=alice password=hunter22", "assign:11:28,user:0:10"),
     (1, "user=alice password=hunter22", "assign:11:28,user:0:10"),
@@ -73,6 +78,37 @@ def test_linking(spark):
     assert secrets.scan_secrets(docs.limit(0)).count() == 0
 
 
+def _joined(text):
+    """The weak spans by comparing all pairs of spans: two are together where no blank line begins between their starts."""
+    base = secrets.base_spans(text)
+    weak = secrets.weak_spans(text, base)
+    breaks = [m.start() for m in re.finditer(r"\n[ \t\r]*\n", text)]
+    role = {0: "secret", 1: "id", 2: "secret", 3: "id", 4: "secret", 5: "endpoint"}
+    out = []
+    for span in weak:
+        near = {role[o[1]] for o in base + weak if not any(min(span[0], o[0]) < b <= max(span[0], o[0]) for b in breaks)}
+        if {3: {"secret"}, 4: {"id"}, 5: {"id", "secret"}}[span[1]] <= near:
+            out.append(span)
+    return sorted(out)
+
+
+PIECES = ["user=alice ", "login: bob\n", "password=hunter22 ", "aB3xY9" * 7 + " ", "https://h.example/p ", "\n\n", "\n \n", "text ", "AKIA" + "A1" * 9 + " ",
+          "0123456789abcdef01234567 ", "\n"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=20).map("".join))
+def test_linking_against_all_pairs(text):
+    base = secrets.base_spans(text)
+    assert sorted(secrets.linked(text, base, secrets.weak_spans(text, base))) == _joined(text)
+
+
+def test_linking_of_the_query(spark, sf):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    for r in secrets.scan_secrets(spark.read.parquet(f"{sf}/documents.parquet")).collect():
+        assert sorted((p.start, p.kind, p.end) for p in r.added) == _joined(texts[r.doc_id])
+
+
 def test_long_parts_between(spark):
     """An identifier and an address with a key of many lines between them are of one group."""
     key = "\n".join(["aB3xY9kQ" * 8] * 12)
@@ -106,9 +142,16 @@ def test_ledger(spark):
     assert not token_counts.commit(changes, ledger, "2")
     assert token_counts.commit(token_counts.signed(new.filter("source = 'c'"), -1), ledger, "3")
     assert token_counts.commit(token_counts.signed(old.limit(0), 1), ledger, "none")
-    got = token_counts.totals(spark, ledger, ["1", "2", "3", "3", "none", "missing"]).collect()
-    assert {tuple(r) for r in got} == {("a", "en", "v2", 1, 6, 20), (None, None, "v2", 1, 1, 0), ("b", "de", "v2", 1, 2, 4)}
-    assert token_counts.totals(spark, ledger, []).count() == 0
+    want = {("a", "en", "v2", 1, 6, 20), (None, None, "v2", 1, 1, 0), ("b", "de", "v2", 1, 2, 4)}
+    assert {tuple(r) for r in token_counts.totals(spark, ledger).collect()} == want
+    assert token_counts.fold(spark, ledger) == 4 and token_counts.fold(spark, ledger) == 0
+    assert {tuple(r) for r in token_counts.totals(spark, ledger).collect()} == want
+    assert not token_counts.commit(changes, ledger, "2") and not token_counts.commit(old.limit(0).withColumn("sign", F.lit(1)), ledger, "none")
+    assert token_counts.commit(token_counts.signed(new.filter("source = 'a'"), -1), ledger, "4")
+    assert {tuple(r) for r in token_counts.totals(spark, ledger).collect()} == want - {("a", "en", "v2", 1, 6, 20)}
+    assert token_counts.fold(spark, ledger) == 1
+    assert {tuple(r) for r in token_counts.totals(spark, ledger).collect()} == want - {("a", "en", "v2", 1, 6, 20)}
+    assert token_counts.totals(spark, shared_path(spark, "ledger")).count() == 0
     with pytest.raises(ValueError):
         token_counts.commit(changes, ledger, "../x")
 
@@ -117,11 +160,23 @@ def test_cut_short_batch_is_written_anew(spark):
     ledger = shared_path(spark, "ledger")
     rows = spark.createDataFrame([("a", "en", "v1", 5, 20)], COUNTED)
     token_counts.commit(token_counts.signed(rows, 1), ledger, "1")
-    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{ledger}/1/_SUCCESS")
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{ledger}/batches/1/_SUCCESS")
     mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(mark, False)
-    assert token_counts.totals(spark, ledger, ["1"]).count() == 0
+    assert token_counts.totals(spark, ledger).count() == 0
     assert token_counts.commit(token_counts.signed(rows, 1), ledger, "1")
-    assert token_counts.totals(spark, ledger, ["1"]).first().docs == 1
+    assert token_counts.totals(spark, ledger).first().docs == 1
+
+
+def test_fold_that_was_cut_short(spark):
+    """A batch whose table is still there after it was folded counts once, and goes with the next fold."""
+    ledger = shared_path(spark, "ledger")
+    rows = token_counts.signed(spark.createDataFrame([("a", "en", "v1", 5, 20)], COUNTED), 1)
+    token_counts.commit(rows, ledger, "1")
+    token_counts.fold(spark, ledger)
+    spark.createDataFrame([("a", "en", "v1", 1, 5, 20)], token_counts._BATCH).write.parquet(f"{ledger}/batches/1")
+    assert token_counts.totals(spark, ledger).first().docs == 1
+    assert token_counts.fold(spark, ledger) == 0 and token_counts._complete(spark, f"{ledger}/batches") == []
+    assert token_counts.totals(spark, ledger).first().docs == 1
 
 
 def test_rollup_query(spark, sf):
@@ -177,6 +232,48 @@ def test_lm_edge_cases(spark):
     assert lm.score(docs.limit(0), model, words, ["doc_id"]).count() == 0
 
 
+def _dictionary_scores(learned, texts, order):
+    """The model with a dictionary of levels in place of the filter."""
+    split = lambda t: [*t.lower().split(), " "]
+    grams = lambda tokens, n: [tuple((["<"] * n + tokens)[i + 1: i + 1 + n]) for i in range(len(tokens))]
+    counts = Counter(g for t in learned for n in range(1, order + 1) for g in grams(split(t), n))
+    least = lambda g: 2.0 ** math.floor(math.log2(counts[g]) + 1e-9) if g in counts else 0.0
+    total, types = sum(len(split(t)) for t in learned), len({w for t in learned for w in split(t)})
+    whole = total + 0.5 * (types + 1)
+    out = {}
+    for key, text in texts.items():
+        tokens, score = split(text), 0.0
+        lists = [[least(g) for g in grams(tokens, n)] for n in range(1, order + 1)]
+        for i in range(len(tokens)):
+            p, lower, before = lists[0][i] / whole + 0.5 / whole, lists[0], lists[0][i]
+            used = list(lists[0])
+            capped = [used]
+            for n in range(2, order + 1):
+                row = []
+                for j in range(len(tokens)):
+                    context = capped[-1][j - 1] if j else max(float(len(learned)), 1.0)
+                    row.append(min(lists[n - 1][j], capped[-1][j], context))
+                context = capped[-1][i - 1] if i else max(float(len(learned)), 1.0)
+                if context > 0:
+                    p = lm.TRUST * row[i] / max(context, 1.0) + (1 - lm.TRUST) * p
+                capped.append(row)
+            score += math.log10(min(p, 1.0))
+        out[key] = score
+    return out
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_scores_against_a_dictionary(spark, order):
+    rng = np.random.default_rng(order)
+    words = [f"w{i}" for i in range(60)]
+    texts = {i: " ".join(rng.choice(words, rng.integers(0, 30), p=np.arange(60, 0, -1) / 1830)) for i in range(60)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    model, vocabulary = lm.train(docs.filter("doc_id >= 10"), order=order, bits=2_000)
+    want = _dictionary_scores([t for i, t in texts.items() if i >= 10], texts, order)
+    for r in lm.score(docs, model, vocabulary, ["doc_id"]).collect():
+        assert r.score == pytest.approx(want[r.doc_id], abs=1e-6)
+
+
 def test_filter_never_understates(spark):
     rng = np.random.default_rng(1)
     hashes = rng.integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(2)
@@ -229,8 +326,6 @@ def test_long_counts_are_split():
 
 
 def _batch(texts):
-    import pyarrow as pa
-
     return pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
 
 
@@ -271,18 +366,67 @@ def test_language_edge_cases(spark):
 
 
 def test_backoff_order():
-    model = langid.Model([("a", 0, "word", 5), ("b", 0, "word", 1), ("b", 4, "wore", 9), ("a", 1, "w", 9)],
+    rows = [("a", 0, "word", 5), ("b", 0, "word", 1), ("b", 4, "wore", 9), ("a", 1, "w", 9)]
+    model = langid.Model(pa.table(dict(zip(["lang", "kind", "gram", "n"], map(list, zip(*rows))))),
                          {("a", 0): 10, ("b", 0): 10, ("b", 4): 10, ("a", 1): 10, ("a", 4): 10, ("b", 1): 10})
-    assert model._score("word").argmax() == 0  # the word itself, not its n-grams
-    assert model._score("wore").argmax() == 1  # four letters before one
-    assert model._score("w").argmax() == 0
-    assert not model._score("zzz").any()
+    word, wore, w, none = model.score_words(["word", "wore", "w", "zzz"])
+    assert word.argmax() == 0  # the word itself, not its n-grams
+    assert wore.argmax() == 1  # four letters before one
+    assert w.argmax() == 0 and not none.any()
+
+
+def _predicted(learned, texts):
+    """Word-first backoff with plain dictionaries: {id: (language, share)}."""
+    split = lambda t: regex.findall(r"[\p{L}\p{M}]+", t.lower())
+    cut = lambda w, size: [f" {w} "[i:i + size] for i in range(len(w) + 3 - size)]
+    counts, totals = defaultdict(lambda: defaultdict(int)), defaultdict(int)
+    for lang, text in learned:
+        for word in split(text):
+            for kind, entry in [(0, word), *((size, g) for size in langid.GRAMS for g in cut(word, size))]:
+                counts[kind, entry][lang] += 1
+                totals[kind, lang] += 1
+    langs = sorted({lang for lang, _ in learned})
+    logs = lambda kind, entry: [math.log(max(counts[kind, entry].get(lang, 0), 0.5) / totals[kind, lang]) for lang in langs]
+    out = {}
+    for key, text in texts.items():
+        total, words = [0.0] * len(langs), split(text)
+        for word in words:
+            own, weight = [], 1.0
+            if (0, word) in counts:
+                own = [logs(0, word)]
+            for size in langid.GRAMS:
+                if not own:
+                    own, weight = [logs(size, g) for g in cut(word, size) if (size, g) in counts], langid.BACKOFF
+            if own:
+                mean = [sum(x) / len(own) for x in zip(*own)]
+                total = [t + weight * (m - max(mean)) for t, m in zip(total, mean)]
+        sharp = min(1.0, langid.SHARPEST / max(1, len(words)))
+        share = [math.exp(sharp * (t - max(total))) for t in total]
+        out[key] = (langs[share.index(max(share))], max(share) / sum(share)) if regex.search(r"\p{L}", text) else ("und", 0.0)
+    return out
+
+
+def test_language_query_against_dictionaries(spark, sf):
+    rows = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    fold = lambda r: zlib.crc32(str(r.doc_id).encode()) % 4
+    want = _predicted([(r.lang, r.text) for r in rows if r.text is not None and r.lang is not None and fold(r) != 2],
+                      {r.doc_id: r.text or "" for r in rows})
+    for r in langid.op10_language_id(spark, sf).collect():
+        lang, share = want[r.doc_id]
+        assert r.score == pytest.approx(share, abs=1e-4) and (r.lang_pred == lang or share < 0.501)
+
+
+def test_cut_words():
+    for text in ["Ab c-d 12é", "ÀÉ naı̈ve東京x", "", " \n", "9.", "İstanbul ǅ ß𝐀"]:
+        assert langid.words_of(text) == regex.findall(r"[\p{L}\p{M}]+", text.lower())
 
 
 def test_sample_is_bounded(spark):
-    docs = spark.createDataFrame([(i % 50, f"w{i % 50} common", "en") for i in range(500)], "doc_id long, text string, lang string")
+    words = [chr(97 + i // 10) + "x" * (i % 10) for i in range(50)]
+    docs = spark.createDataFrame([(i % 50, f"{words[i % 50]} common", "en") for i in range(500)], "doc_id long, text string, lang string")
     model = langid.fit(docs, sample=10)
-    assert sum(kind == 0 for kind, _ in model.index) == 11
+    assert (model._places(0, [*words, "common"]) >= 0).sum() == 11
+    assert (langid.fit(docs)._places(0, [*words, "common"]) >= 0).all()
 
 
 # Mixing
