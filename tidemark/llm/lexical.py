@@ -334,7 +334,9 @@ def ranked(docs: DataFrame, items: DataFrame, top: int = TOP, id_col: str = "doc
             break
         df = dict(rows.select(F.explode("ids").alias("id")).groupBy("id").count().collect())
         groups = groups_of([(r.row, vocabulary[bytes(r.term)], r.times) for r in own], df, total, len(vocabulary), GROUP)
-        found = rows.select("doc", "n", "ids", "tfs").mapInArrow(
+        # Dealt by number, so that tasks stay alike and their number follows the documents.
+        dealt = rows.select("doc", "n", "ids", "tfs").repartition(math.ceil(total / (2 * block)))
+        found = dealt.mapInArrow(
             _searched(spark.sparkContext.broadcast(groups), total, words, top, block, most),
             f"row long, doc {kinds[1]}, score long")
         order = Window.partitionBy("row").orderBy(F.desc("score"), F.asc_nulls_last("doc"))
