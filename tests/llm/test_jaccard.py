@@ -103,6 +103,7 @@ def test_linked_sets_share_a_print():
 def test_rounds_find_links_beside_the_head(spark, monkeypatch):
     """Texts of one print that do not link with its first text do so with each other."""
     monkeypatch.setattr(jc, "HEADS", 1)
+    monkeypatch.setattr(jc, "FAN", 1)
     monkeypatch.setattr(jc, "MORE", 2)
     rng = random.Random(6)
     words = [f"v{i}" for i in range(500)]
@@ -123,14 +124,16 @@ def test_pairs_are_few_in_a_large_group(spark):
     rows = jc.sketches(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id", "text", jc.SHINGLE, jc.PERCENT)
     members = jc.shared_prints(rows)
     different = rows.select("key").distinct().count()
-    assert jc._star(members).count() < 12 * different < different * (different - 1) / 4
+    assert jc._star(members, rows.dropDuplicates(["key"]), jc.PERCENT).count() < 12 * different < different * (different - 1) / 4
 
 
 def test_nulls_repeats_empty_and_other_columns(spark):
     rows = [(None, "a b c d"), (3, "a b c d"), (3, "A  b\tc d"), (2, None), (4, ""), (5, " \n"), (None, None), (7, "x"), (8, "X"), (None, "only one here")]
     assert _got(spark, rows) == _expected(rows)
-    assert _got(spark, [], ) == []
-    names = ["id", "key", "n", "code", "prints", "parity", "slot", "page", "bitmap", "survives", "salt", "head", "component_id", "root", "node"]
+    assert _got(spark, []) == []
+    with pytest.raises(ValueError):
+        _got(spark, [], percent=60)
+    names = ["id", "key", "n", "code", "prints", "p0", "akey", "bn", "place", "slot", "page", "bitmap", "survives", "salt", "head", "component_id", "root", "node"]
     clash = spark.createDataFrame(rows, "doc_id long, text string").select("doc_id", "text", *(F.lit("?").alias(c) for c in names))
     assert sorted((tuple(r) for r in jc.joined(clash).collect()), key=repr) == _expected(rows)
 

@@ -57,6 +57,14 @@ def discard(spark: SparkSession, path: str) -> None:
     _delete(spark, path)
 
 
+def drop_stored(*tables: DataFrame) -> None:
+    """Deletes the folders of stored tables that nothing will read again, so that rounds do not pile up on the disk."""
+    for table in tables:
+        files = table.inputFiles()
+        if files:
+            discard(table.sparkSession, files[0].rsplit("/", 1)[0])
+
+
 def salt_of(*columns: Column | str) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import drop_stored, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -28,6 +28,9 @@ def components(edges: DataFrame) -> DataFrame:
         hooks = least.select(F.col("root").alias("node"), "least").unionByName(least.select("node", "least"))
         after = stored(hooks.groupBy("node").agg(F.min("least").alias("root")), "labels")
         changed = after.join(labels.withColumnRenamed("root", "before"), "node").filter("root <> before")
-        if changed.isEmpty():
+        settled = changed.isEmpty()
+        drop_stored(labels)
+        if settled:
+            drop_stored(both)
             return after
         labels = after

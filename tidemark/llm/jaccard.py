@@ -9,8 +9,9 @@ the overlap of each fragment is counted on its own, and the counts are summed pe
 
 Equal sets are one class and never paired. The classes of a fragment are first paired
 with one of them, and with each other in later rounds as far as they are not connected by
-then, so a large group of near copies costs about a star; a link between classes that
-have no other way to each other is never left out.
+then; of the pairs proposed each class is counted with a few at a time. So a large group
+of near copies costs about a star, and a link between classes that have no other way to
+each other is never left out.
 """
 
 from __future__ import annotations
@@ -21,9 +22,9 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import ASCII_LOWER, attach, salt_of, schema_with, stored, text_slices
+from tidemark.llm.common import ASCII_LOWER, attach, drop_stored, salt_of, schema_with, stored, text_slices
 from tidemark.llm.components import components
 from tidemark.llm.exact_dedup import FILTER_BITS, _marked, _slot, _with_survival
 
@@ -36,14 +37,19 @@ FIRST, GROWTH = 9, 1.5
 #: Times that a set with an empty fragment is cut anew before empty fragments count as equal.
 CUTS = 3
 
-#: Bits that hold for each set which of as many classes of n-grams it has an odd number of.
+#: Bits that hold for each set which of as many classes of n-grams it has an odd number of, as longs.
 PARITY = 512
+BITS = [f"p{i}" for i in range(PARITY // 64)]
 
 #: N-grams of a fragment that are counted at a time.
 FRAGMENT = 4096
 
-#: Classes that all others of a fragment are paired with in a later round, and how that grows.
-HEADS, MORE = 8, 16
+#: Classes that all others of a fragment are paired with in a later round, partners that a class is counted with
+#: at a time, and how both grow.
+HEADS, FAN, MORE = 8, 8, 16
+
+#: Rows of a table that is broadcast after they were counted (32 bytes each).
+FEW = 200_000
 
 _GOLDEN = 0x9E3779B97F4A7C15
 _WORD = 1 << 64
@@ -122,7 +128,10 @@ def parity(hashes: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
-    """(id, n, key, code, prints, parity) for every row; key tells sets apart, code is a part of it, NULL without words."""
+    """(id, n, key, code, prints, parity) for every row; key tells sets apart, code is a part of it, NULL without words.
+
+    The parity is in the columns ``BITS``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in text_slices(batches, "text"):
@@ -132,29 +141,46 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
                 [rows.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()),
                  pa.array([k and int.from_bytes(k[:8], "big", signed=True) for k in keys], pa.int64()),
                  pa.array([prints(s, percent) for s in sets], pa.list_(pa.int64())),
-                 pa.array([parity(s) for s in sets], pa.list_(pa.int64()))],
-                ["id", "n", "key", "code", "prints", "parity"])
+                 *(pa.array(c) for c in np.stack([parity(s) for s in sets], axis=1))],
+                ["id", "n", "key", "code", "prints", *BITS])
 
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return plain.mapInArrow(run, schema_with(
-        plain, ["id"], "n long, key binary, code long, prints array<long>, parity array<long>"))
+        plain, ["id"], "n long, key binary, code long, prints array<long>, " + ", ".join(f"{c} long" for c in BITS)))
 
 
 def shared_prints(rows: DataFrame) -> DataFrame:
-    """(print, key), without repeats, for the prints that different sets have (and a few more)."""
+    """(print, key), without repeats, for the prints that different sets have.
+
+    A bitmap of fixed size carries them to the sets, so that all others need no shuffle with their keys.
+    """
     slot = _slot(F.col("print"), bits=FILTER_BITS)
     every = rows.select("code", F.explode("prints").alias("print"))
     several = every.groupBy("print").agg(F.min("code").alias("low"), F.max("code").alias("high")).filter("low <> high")
     pages = stored(_marked(several.select(slot.alias("slot")), FILTER_BITS), "prints")
     kept = _with_survival(rows.select("key", F.explode("prints").alias("print")), slot, pages).filter("survives")
-    return kept.select("print", "key").distinct()
+    some = stored(kept.select("print", "key").distinct(), "some")
+    ends = some.groupBy("print").agg(F.min("key").alias("low"), F.max("key").alias("high")).filter("low <> high")
+    members = stored(some.join(ends, "print", "left_semi"), "members")
+    drop_stored(some, pages)
+    return members
+
+
+def _only(table: DataFrame, keys: DataFrame, label: str) -> DataFrame:
+    """The rows of ``table`` whose key is among ``keys``, stored; these are broadcast where they were counted to be few."""
+    keys = stored(keys.select("key").distinct(), "keys")
+    few = keys.limit(FEW + 1).count() <= FEW
+    found = stored(table.join(F.broadcast(keys) if few else keys, "key", "left_semi"), label)
+    drop_stored(keys)
+    return found
 
 
 def fragments(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, shingle: int, percent: int,
               fragment: int) -> DataFrame:
     """(key, parts, part, grams) of the sets in ``wanted`` (id, key): cut into fragments of ``fragment`` n-grams or so.
 
-    The texts are read again, for most sets are not wanted. A set is cut for each of its levels, as its partners are.
+    The texts are read again, for most sets are not wanted. A set is cut for each of its levels, as its partners are,
+    and comes as often as its text does with one of the ids.
     """
     slot = _slot(F.col("id"), bits=FILTER_BITS)
     pages = stored(_marked(wanted.select(slot.alias("slot")).distinct(), FILTER_BITS), "wanted")
@@ -175,32 +201,36 @@ def fragments(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, sh
                     [pa.array(c, t) for c, t in zip(zip(*out), kinds)], ["key", "parts", "part", "grams"])
 
     some = _with_survival(plain, slot, pages).filter("survives").select("id", "text")
-    cut = some.mapInArrow(run, "key binary, parts int, part int, grams binary")
-    return cut.join(wanted.select("key").distinct(), "key", "left_semi").groupBy("key", "parts", "part").agg(
-        F.first("grams").alias("grams"))
+    found = _only(some.mapInArrow(run, "key binary, parts int, part int, grams binary"), wanted, "grams")
+    drop_stored(pages)
+    return found
 
 
 def parts_of(top: int, fragment: int = FRAGMENT) -> int:
     return -(-top // fragment)
 
 
-def _distance(x: Column, y: Column) -> Column:
-    """Differing bits of two arrays of longs."""
-    bits = F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b)))
-    return F.aggregate(bits, F.lit(0), lambda s, b: s + b)
+def _plausible(percent: int, one: str = "a", two: str = "b") -> Column:
+    """Whether sizes (n) and parities of two sets, told by a prefix of their columns, allow a link."""
+    n, m = F.col(f"{one}n"), F.col(f"{two}n")
+    apart = sum((F.bit_count(F.col(one + c).bitwiseXOR(F.col(two + c))) for c in BITS), F.lit(0))
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (apart * (100 + percent) <= (n + m) * (100 - percent))
+
+
+def _prefixed(sets: DataFrame, prefix: str, *more: str) -> DataFrame:
+    return sets.select(*(F.col(c).alias(prefix + c) for c in ("key", "n", *BITS, *more)))
 
 
-def plausible(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(a, b, na, nb): the pairs whose sizes and parities allow a link."""
-    for end in "ab":
-        pairs = pairs.join(sets.select(F.col("key").alias(end), F.col("n").alias(f"n{end}"), F.col("parity").alias(f"p{end}")), end)
-    fit = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    near = _distance(F.col("pa"), F.col("pb")) * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
-    return pairs.filter(fit).filter(near).select("a", "b", "na", "nb")
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """(a, b, na, nb), the smaller key first, each pair once."""
+    first = F.col("akey") < F.col("bkey")
+    pick = lambda x, y, c: F.when(first, F.col(x + c)).otherwise(F.col(y + c))
+    return pairs.select(pick("a", "b", "key").alias("a"), pick("b", "a", "key").alias("b"),
+                        pick("a", "b", "n").alias("na"), pick("b", "a", "n").alias("nb")).distinct()
 
 
 def linked(pairs: DataFrame, grams: DataFrame, percent: int = PERCENT, fragment: int = FRAGMENT) -> DataFrame:
-    """(a, b): the pairs (a, b, na, nb) that link; overlaps are counted in each fragment and summed."""
+    """(a, b), stored: the pairs (a, b, na, nb) that link; overlaps are counted in each fragment and summed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -209,7 +239,8 @@ def linked(pairs: DataFrame, grams: DataFrame, percent: int = PERCENT, fragment:
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (one, two))
                 both.append(len(x) + len(y) - len(np.union1d(x, y)))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("a", "b", "na", "nb")), pa.array(both, pa.int64())], ["a", "b", "na", "nb", "both"])
+                [*(batch.column(c) for c in ("a", "b", "na", "nb", "part")), pa.array(both, pa.int64())],
+                ["a", "b", "na", "nb", "part", "both"])
 
     # The level of the larger set, as levels() has it: both sets are cut for it.
     top, tops = FIRST, [FIRST]
@@ -220,34 +251,85 @@ def linked(pairs: DataFrame, grams: DataFrame, percent: int = PERCENT, fragment:
                         lambda best, t: F.when(t >= F.greatest("na", "nb"), t).otherwise(best))
     cut = pairs.withColumn("parts", F.ceil(level / fragment).cast("int")).withColumn(
         "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("key"))
+    asked = _only(grams, ends, "asked")
     # A head stands in many pairs, at the end "a" for the most part: the other end's n-grams move with the pairs.
     for end, name in (("b", "two"), ("a", "one")):
-        cut = cut.join(grams.select(F.col("key").alias(end), "parts", "part", F.col("grams").alias(name)), [end, "parts", "part"])
-    counts = cut.select("a", "b", "na", "nb", "one", "two").mapInArrow(run, "a binary, b binary, na long, nb long, both long")
-    total = counts.groupBy("a", "b", "na", "nb").agg(F.sum("both").alias("both"))
-    return total.filter(100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
-
-
-def _star(members: DataFrame) -> DataFrame:
-    """(a, b): the classes of each print with the first of them."""
+        cut = cut.join(asked.select(F.col("key").alias(end), "parts", "part", F.col("grams").alias(name)), [end, "parts", "part"])
+    counts = cut.select("a", "b", "na", "nb", "part", "one", "two").mapInArrow(
+        run, "a binary, b binary, na long, nb long, part int, both long")
+    once = counts.groupBy("a", "b", "na", "nb", "part").agg(F.max("both").alias("both"))  # a text may come twice
+    total = once.groupBy("a", "b", "na", "nb").agg(F.sum("both").alias("both"))
+    good = total.filter(100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both")))
+    links = stored(good.select("a", "b"), "links")
+    drop_stored(asked)
+    return links
+
+
+def _star(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, na, nb): the classes of each print with the first of them, where they may link."""
     own = attach(members.withColumn("salt", salt_of("key")), ["print"], "salt", {"h": F.min("key")}, {"head": F.min("h")})
-    return own.filter("head <> key").select(F.col("head").alias("a"), F.col("key").alias("b")).distinct()
+    pairs = own.filter("head <> key").select(F.col("head").alias("akey"), F.col("key").alias("bkey")).distinct()
+    for prefix in "ba":
+        pairs = pairs.join(_prefixed(sets, prefix), f"{prefix}key")
+    return _ordered(pairs.filter(_plausible(percent)))
 
 
 def _rest(members: DataFrame, roots: DataFrame, sets: DataFrame, heads: int, percent: int) -> tuple[DataFrame, int]:
-    """(a, b) of classes of a print that are not connected, for ``heads`` of them or so; the most classes of such a print."""
+    """(a, b, na, nb), stored, of classes of a print that are not connected and may link, for ``heads`` of them or so.
+
+    The number is the most classes of such a print.
+    """
     own = members.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     own = stored(own, "rooted")
     groups = own.groupBy("print").agg(
         F.count("*").alias("members"), F.min("root").alias("low"), F.max("root").alias("high")).filter("members > 2 AND low <> high")
     groups = stored(groups.select("print", "members"), "open")
     most = groups.agg(F.max("members")).first()[0] or 0
-    some = own.join(groups, "print").join(sets.select("key", "n"), "key")
-    first = some.filter(F.pmod(F.xxhash64("key"), F.ceil(F.col("members") / heads)) == 0).select(
-        "print", F.col("key").alias("x"), F.col("root").alias("rx"), F.col("n").alias("nx"))
-    pairs = first.join(some, "print").filter("rx <> root").filter(
-        100 * F.least("nx", "n") >= percent * F.greatest("nx", "n"))
-    return pairs.select(F.least("x", "key").alias("a"), F.greatest("x", "key").alias("b")).distinct(), most
+    some = own.join(groups, "print").join(sets.drop("id"), "key")
+    first = some.filter(F.pmod(F.xxhash64("key"), F.ceil(F.col("members") / heads)) == 0)
+    pairs = _prefixed(first, "a", "print", "root").join(
+        _prefixed(some, "b", "print", "root"),
+        (F.col("aprint") == F.col("bprint")) & (F.col("aroot") != F.col("broot")) & _plausible(percent))
+    found = stored(_ordered(pairs), "proposed")
+    drop_stored(own, groups)
+    return found, most
+
+
+State = tuple[DataFrame, DataFrame, DataFrame]
+
+
+def _connected(todo: DataFrame, state: State | None, grams: DataFrame, percent: int, fragment: int) -> State:
+    """(components, links, counted pairs) after ``todo``: each class is counted with the first few of its partners,
+    then pairs that are connected are passed over, until none is left."""
+    roots, good, judged = state or (None, None, None)
+    if judged is not None:
+        todo = todo.join(judged, ["a", "b"], "left_anti")
+    todo, fan = stored(todo, "pairs"), FAN
+    if roots is not None and todo.isEmpty():
+        return roots, good, judged
+    while True:
+        ends = todo.unionByName(todo.select(F.col("b").alias("a"), F.col("a").alias("b"), "na", "nb"))
+        place = F.row_number().over(Window.partitionBy("a").orderBy("b"))
+        some = ends.withColumn("place", place).filter(F.col("place") <= fan).select(
+            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        batch = stored(todo.join(some, ["a", "b"], "left_semi"), "batch")
+        links = linked(batch, grams, percent, fragment)
+        judged = batch.select("a", "b") if judged is None else judged.unionByName(batch.select("a", "b"))
+        if good is None or not links.isEmpty():
+            before, good = roots, links if good is None else good.unionByName(links)
+            roots = components(good)
+            if before is not None:
+                drop_stored(before)
+        rest = todo.join(batch, ["a", "b"], "left_anti")
+        for end in "ab":
+            own = roots.select(F.col("node").alias(end), F.col("root").alias(f"r{end}"))
+            rest = rest.join(own, end, "left").withColumn(f"r{end}", F.coalesce(f"r{end}", end))
+        before, todo = todo, stored(rest.filter("ra <> rb").select("a", "b", "na", "nb"), "pairs")
+        drop_stored(before)
+        if todo.isEmpty():
+            return roots, good, judged
+        fan *= MORE
 
 
 def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT,
@@ -256,33 +338,31 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
 
     Two texts link when their sets of shingles share ``percent`` per cent of their union or more. A NULL text or one
     without words has an empty set and links with nothing. NULL ids are never the smallest; rows given more than once
-    each get their row. Texts of any length are compared whole. An empty table gives no rows.
+    each get their row. Texts of any length are compared whole. An empty table gives no rows. ``percent`` is 70 at least,
+    for a set then meets all partners at its own level and the next.
     """
+    if percent < 70:
+        raise ValueError("sets that share less than 70 per cent are not joined by this method")
     rows = stored(sketches(docs, id_col, text_col, shingle, percent), "sets")
     some = rows.filter("n > 0")
-    members = stored(shared_prints(some), "members")
+    members = shared_prints(some)
     keys = members.select("key").distinct()
-    sets = stored(some.join(keys, "key", "left_semi").groupBy("key").agg(
-        F.min("id").alias("id"), F.first("n").alias("n"), F.first("parity").alias("parity")), "classes")
-    grams = stored(fragments(docs, sets.select("id", "key"), id_col, text_col, shingle, percent, fragment), "grams")
-    good = judged = None
-    pairs, heads, most = _star(members), 0, 1
+    own = _only(some.select("key", "id", "n", *BITS), keys, "own")
+    sets = stored(own.groupBy("key").agg(
+        F.min("id").alias("id"), *(F.min(c).alias(c) for c in ("n", *BITS))), "classes")  # equal for equal keys
+    drop_stored(own)
+    grams = fragments(docs, sets.select("id", "key"), id_col, text_col, shingle, percent, fragment)
+    state = _connected(_star(members, sets, percent), None, grams, percent, fragment)
+    heads = HEADS
     while True:
-        fit = plausible(pairs, sets, percent)
-        if judged is not None:
-            fit = fit.join(judged, ["a", "b"], "left_anti")
-        fit = stored(fit, "plausible")
-        links = stored(linked(fit, grams, percent, fragment), "links")
-        good = links if good is None else good.unionByName(links)
-        judged = fit.select("a", "b") if judged is None else judged.unionByName(fit.select("a", "b"))
-        roots = components(good)
-        if heads >= most:  # each class was a head
-            break
-        heads = heads * MORE or HEADS
-        pairs, most = _rest(members, roots, sets, heads, percent)
+        pairs, most = _rest(members, state[0], sets, heads, percent)
         if not most:
             break
-    least = some.groupBy("key").agg(F.min("id").alias("least")).join(roots.withColumnRenamed("node", "key"), "key")
+        state = _connected(pairs, state, grams, percent, fragment)
+        if heads >= most:  # each class was a head
+            break
+        heads *= MORE
+    least = some.groupBy("key").agg(F.min("id").alias("least")).join(state[0].withColumnRenamed("node", "key"), "key")
     whole = stored(least.join(least.groupBy("root").agg(F.min("least").alias("component_id")), "root").select(
         "key", "component_id"), "components")
     # The classes ride along as rows of the same key, so that no set's copies meet in one task.
