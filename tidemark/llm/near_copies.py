@@ -5,7 +5,8 @@ distinct words is not (some 4). So each text has several fingerprints of its wor
 in a trie of its own, and the trie self-join proposes pairs within a few bits. Every
 pair is then judged by the shingles themselves, unless its texts are connected by then.
 Texts that share or link a fingerprint meet its first text first, and each other in later
-rounds as long as they are not connected. Short texts, whose fingerprints are too far off,
+rounds as long as they are not connected. Sizes and parities of the shingles tell most
+pairs that cannot be near copies before the shingles are fetched; no pair is judged twice. Short texts, whose fingerprints are too far off,
 also meet by their rarest shingles, which no pair of near copies can lack.
 """
 
@@ -18,12 +19,17 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.common import ASCII_LOWER, SALTS, attach, salt_of, schema_with, stored, text_slices
+from tidemark.llm.common import ASCII_LOWER, attach, drop_stored, salt_of, schema_with, stored, text_slices, unused
 from tidemark.llm.components import components
+from tidemark.llm.jaccard import BITS, FEW, _plausible, _prefixed, parity
 from tidemark.llm.simhash import LEAF, trie_links
 
 #: Words of a shingle and the share of shingles that near copies have in common.
 SHINGLE, SIMILARITY = 5, 0.8
+PERCENT = round(100 * SIMILARITY)
+
+#: Texts of a fingerprint that one copy of another's texts meets.
+SIDE = 4096
 
 #: Fingerprints of a text, bits that may differ, and leading bits that number the tries.
 TREES, BUDGET, TAG = 6, 3, 4
@@ -77,17 +83,20 @@ def sketch(text: str, trees: int = TREES, shingle: int = SHINGLE) -> tuple[bytes
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, key, fps, shingles) for every row."""
+    """(id, key, fps, shingles) for every row, with the number of shingles (n) and their parity (``BITS``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in text_slices(batches, text_col):
             keys, prints, shingles = zip(*(sketch(t) for t in texts))
             yield pa.RecordBatch.from_arrays(
                 [rows.column(id_col), pa.array(keys, pa.binary()), pa.array(prints, pa.list_(pa.int64())),
-                 pa.array([s.tobytes() for s in shingles], pa.binary())], [id_col, "key", "fps", "shingles"])
+                 pa.array([s.tobytes() for s in shingles], pa.binary()), pa.array([len(s) for s in shingles], pa.int64()),
+                 *(pa.array(c) for c in np.stack([parity(s) for s in shingles], axis=1))],
+                [id_col, "key", "fps", "shingles", "n", *BITS])
 
+    bits = ", ".join(f"{c} long" for c in BITS)
     return docs.select(id_col, text_col).mapInArrow(
-        run, schema_with(docs, [id_col], "key binary, fps array<long>, shingles binary"))
+        run, schema_with(docs, [id_col], f"key binary, fps array<long>, shingles binary, n long, {bits}"))
 
 
 def rare_shingles(texts: DataFrame, least: float = SIMILARITY, short: int = SHORT) -> DataFrame:
@@ -134,34 +143,49 @@ def candidates(texts: DataFrame, budget: int = BUDGET, leaf: int = LEAF) -> tupl
     return pairs, members, links
 
 
-def _rest(members: DataFrame, links: DataFrame, roots: DataFrame, heads: int) -> tuple[DataFrame, int]:
-    """Pairs (a, b) of unconnected texts within a fingerprint, or of linked ones, that its first text stood for.
+def _fit(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sizes and parities allow the similarity."""
+    for end in "ab":
+        pairs = pairs.join(_prefixed(texts, end).withColumnRenamed(f"{end}key", end), end)
+    return pairs.filter(_plausible(PERCENT)).select("a", "b")
+
+
+def _rest(members: DataFrame, links: DataFrame, roots: DataFrame, texts: DataFrame, heads: int) -> tuple[DataFrame, int]:
+    """Pairs (a, b), stored, of unconnected texts within a fingerprint, or of linked ones, that its first text stood for.
 
     Some ``heads`` texts of each fingerprint meet all; the number is the most texts of a fingerprint that is left.
     """
     own = stored(members.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn(
         "root", F.coalesce("root", "key")), "rooted")
     groups = stored(own.groupBy("fp").agg(
-        F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")), "groups")
-    one, two = (groups.select(F.col("fp").alias(x), *(F.col(c).alias(c + x) for c in ("n", "low", "high"))) for x in "ab")
-    both = links.join(one, "a").join(two, "b").filter("na + nb > 2 AND (least(lowa, lowb) <> greatest(higha, highb))")
-    within = groups.filter("n > 2 AND low <> high").select(F.col("fp").alias("a"), F.col("fp").alias("b"), F.col("n").alias("na"))
-    open_ = stored(within.unionByName(both.select("a", "b", "na")).unionByName(
-        both.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("nb").alias("na"))), "open")
-    most = open_.agg(F.max("na")).first()[0] or 0
-    first = own.select(F.col("fp").alias("a"), F.col("key").alias("x"), F.col("root").alias("rx"))
-    stands = open_.join(first, "a").filter(
-        F.pmod(F.xxhash64("x"), F.ceil(F.col("na") / heads)) == 0).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    other = own.select(F.col("fp").alias("b"), F.col("key").alias("y"), F.col("root").alias("ry"), salt_of("key").alias("salt"))
-    pairs = stands.join(other, ["b", "salt"]).filter("rx <> ry")
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), most
+        F.count("*").alias("m"), F.min("root").alias("low"), F.max("root").alias("high")), "groups")
+    one, two = (groups.select(F.col("fp").alias(x), *(F.col(c).alias(c + x) for c in ("m", "low", "high"))) for x in "ab")
+    both = links.join(one, "a").join(two, "b").filter("ma + mb > 2 AND (least(lowa, lowb) <> greatest(higha, highb))")
+    within = groups.filter("m > 2 AND low <> high").select(
+        F.col("fp").alias("a"), F.col("fp").alias("b"), F.col("m").alias("ma"), F.col("m").alias("mb"))
+    open_ = stored(within.unionByName(both.select("a", "b", "ma", "mb")).unionByName(
+        both.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("mb").alias("ma"), F.col("ma").alias("mb"))), "open")
+    most = open_.agg(F.max("ma")).first()[0] or 0
+    used = open_.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+    some = stored(own.join(used, "fp", "left_semi").join(texts.select("key", "n", *BITS), "key"), "some")
+    sizes = open_.groupBy("b").agg(F.ceil(F.max("mb") / SIDE).cast("int").alias("sides")).withColumnRenamed("b", "fp")
+    # A head meets the texts of a large fingerprint in as many places as they are dealt to.
+    head = open_.join(_prefixed(some, "a", "root", "fp").withColumnRenamed("afp", "a"), "a").filter(
+        F.pmod(F.xxhash64("akey"), F.ceil(F.col("ma") / heads)) == 0).withColumn(
+        "side", F.explode(F.sequence(F.lit(0), F.ceil(F.col("mb") / SIDE).cast("int") - 1)))
+    other = _prefixed(some.join(sizes, "fp").withColumn("side", F.pmod(F.xxhash64("key"), F.col("sides")).cast("int")),
+                      "b", "root", "fp", "side").withColumnRenamed("bfp", "b").withColumnRenamed("bside", "side")
+    pairs = head.join(other, ["b", "side"]).filter((F.col("aroot") != F.col("broot")) & _plausible(PERCENT))
+    found = stored(pairs.select(F.least("akey", "bkey").alias("a"), F.greatest("akey", "bkey").alias("b")).distinct(), "proposed")
+    drop_stored(own, groups, open_, some)
+    return found, most
 
 
 def _beside(pairs: DataFrame, lists: DataFrame, end: str, other: str, name: str) -> DataFrame:
     """``pairs`` with the shingles of one end; those of a text in many pairs come in several copies."""
-    parts = pairs.groupBy(end).agg(F.ceil(F.count("*") / SHARE).cast("int").alias("_parts"))
-    table = lists.join(parts, F.col("key") == F.col(end)).groupBy("key", "_parts").agg(
+    parts = stored(pairs.groupBy(end).agg(F.ceil(F.count("*") / SHARE).cast("int").alias("_parts")), "parts")
+    few = parts.limit(FEW + 1).count() <= FEW  # then only the lists that are asked for are moved
+    table = lists.join(F.broadcast(parts) if few else parts, F.col("key") == F.col(end)).groupBy("key", "_parts").agg(
         F.first("shingles").alias(name)).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
     dealt = pairs.join(parts, end).withColumn("_own", F.pmod(F.xxhash64(other), "_parts").cast("int"))
     return dealt.drop("_parts").join(
@@ -188,13 +212,21 @@ def similar(pairs: DataFrame, lists: DataFrame, least: float = SIMILARITY) -> Da
     return known.select("a", "b", "one", "two").mapInArrow(run, "a binary, b binary")
 
 
-def connections(pairs: DataFrame, lists: DataFrame, good: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(node, root) over the similar ones among ``pairs`` and those known as ``good``, and all of these.
+State = tuple[DataFrame, DataFrame, DataFrame]
+
+
+def connections(pairs: DataFrame, lists: DataFrame, state: State | None = None) -> State:
+    """(node, root) over the similar ones among ``pairs`` and those of a state, all of these, and all pairs judged.
 
     Each round judges every text against its partners with most pairs; pairs whose texts
     are connected by then need no judgement, so a large group costs about a star.
     """
+    roots, good, judged = state or (None, None, None)
+    if judged is not None:
+        pairs = pairs.join(judged, ["a", "b"], "left_anti")
     todo, fan = stored(pairs, "pairs"), FAN
+    if roots is not None and todo.isEmpty():
+        return roots, good, judged
     while True:
         ends = todo.unionByName(todo.select(F.col("b").alias("a"), F.col("a").alias("b")))
         degrees = ends.groupBy("a").agg(F.count("*").alias("n")).withColumnRenamed("a", "b")
@@ -202,15 +234,20 @@ def connections(pairs: DataFrame, lists: DataFrame, good: DataFrame | None = Non
         first = ends.join(degrees, "b").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= fan)
         batch = stored(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "batch")
         near = stored(similar(batch, lists), "near")
-        good = near if good is None else good.unionByName(near)
-        roots = components(good)
+        judged = batch if judged is None else judged.unionByName(batch)
+        if good is None or not near.isEmpty():
+            before, good = roots, near if good is None else good.unionByName(near)
+            roots = components(good)
+            if before is not None:
+                drop_stored(before)
         rest = todo.join(batch, ["a", "b"], "left_anti")
         for end in ("a", "b"):
             own = roots.select(F.col("node").alias(end), F.col("root").alias(f"r{end}"))
             rest = rest.join(own, end, "left").withColumn(f"r{end}", F.coalesce(f"r{end}", end))
-        todo = stored(rest.filter("ra <> rb").select("a", "b"), "pairs")
+        before, todo = todo, stored(rest.filter("ra <> rb").select("a", "b"), "pairs")
+        drop_stored(before)
         if todo.isEmpty():
-            return roots, good
+            return roots, good, judged
         fan *= GROWTH
 
 
@@ -223,19 +260,21 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     rows = stored(sketches(docs, id_col, text_col).withColumnRenamed(id_col, "id"), "sketches")
     texts = stored(rows.groupBy("key").agg(F.min("id").alias("least"), F.first("fps").alias("fps"), F.first(
-        F.when(F.length("shingles") <= int(SHORT / SIMILARITY) * 4, F.col("shingles"))).alias("shingles")), "texts")
+        F.when(F.length("shingles") <= int(SHORT / SIMILARITY) * 4, F.col("shingles"))).alias("shingles"),
+        *(F.min(c).alias(c) for c in ("n", *BITS))), "texts")  # equal for equal keys
     lists = rows.select("key", "shingles")
     pairs, members, links = candidates(texts)
-    roots, good = connections(pairs, lists)
+    state = connections(_fit(pairs, texts), lists)
     heads = FAN
     while True:
-        pairs, most = _rest(members, links, roots, heads)
+        pairs, most = _rest(members, links, state[0], texts, heads)
         if not most:
             break
-        roots, good = connections(pairs, lists, good)
+        state = connections(pairs, lists, state)
         if heads >= most:  # each text was a head
             break
         heads *= GROWTH
+    roots = state[0]
     owned = stored(texts.join(roots, texts.key == roots.node, "left").select(
         "key", "least", F.coalesce("root", "key").alias("root")), "owned")
     least = owned.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -245,6 +284,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of their group; rows with a NULL id stay."""
+    name = unused("_gone", docs)
     gone = near_copies(docs, id_col, text_col).filter(F.col("component_id") < F.col(id_col)).select(
-        F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+        F.col(id_col).alias(name)).distinct()
+    return docs.join(gone, F.col(id_col) == F.col(name), "left_anti")
