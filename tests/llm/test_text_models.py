@@ -245,9 +245,8 @@ def _dictionary_scores(learned, texts, order):
         tokens, score = split(text), 0.0
         lists = [[least(g) for g in grams(tokens, n)] for n in range(1, order + 1)]
         for i in range(len(tokens)):
-            p, lower, before = lists[0][i] / whole + 0.5 / whole, lists[0], lists[0][i]
-            used = list(lists[0])
-            capped = [used]
+            p = lists[0][i] / whole + 0.5 / whole
+            capped = [lists[0]]
             for n in range(2, order + 1):
                 row = []
                 for j in range(len(tokens)):
