@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -87,6 +88,14 @@ def attach(rows: DataFrame, keys: list[str], salt: str, parts: dict[str, Column]
     return rows.drop(*merge).join(table, match).drop("_salt", *(f"_k{i}" for i in range(len(keys))))
 
 
+def give_back() -> None:
+    """Returns freed memory of a worker to the system: workers live on, and what one stage needed would stay with them."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
+
+
 def text_slices(batches: Iterable[pa.RecordBatch], column: str, chars: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Runs of rows holding about ``chars`` characters of ``column`` (one row at least), NULL read as empty."""
     for batch in batches:
@@ -101,6 +110,7 @@ def text_slices(batches: Iterable[pa.RecordBatch], column: str, chars: int = 1 <
                 begin, size, texts = i + 1, 0, []
         if texts:
             yield batch.slice(begin), texts
+    give_back()
 
 
 def unused(name: str, *frames: DataFrame) -> str:
