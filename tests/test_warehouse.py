@@ -1,5 +1,7 @@
 import datetime as dt
 import gzip
+import threading
+import time
 from pathlib import Path
 
 import pytest
@@ -10,7 +12,7 @@ from tests.conftest import physical, rows
 from tidemark.operators import rollups
 from tidemark.operators.fact import fact_from_ods
 from tidemark.plans import catalog, reports, warehouse
-from tidemark.session import delete
+from tidemark.session import delete, side_by_side
 from tidemark.sources import tables, versions
 from tidemark.sources.adapter import ods_from_events, raw_lines_from_events
 
@@ -319,3 +321,35 @@ def test_sample_export(spark, root, tmp_path):
     tables.export_sample(versions.read_table(spark, root, "dwd", "event_fact"), path, "event_id", "event_type", rows=7)
     sample = spark.read.parquet(path)
     assert (sample.count(), sample.columns) == (7, ["event_id", "event_type"])
+
+
+def test_tables_of_one_origin_are_built_side_by_side(spark, ods, tmp_path, monkeypatch):
+    """Two tables made of the grain wait for each other, which only ends where both are under way."""
+    both, met = threading.Barrier(2), set()
+
+    def waits(name):
+        build = rollups.ADS_TABLES[name]
+
+        def run(rows):
+            both.wait(60)
+            met.add(name)
+            return build(rows)
+        return run
+
+    for name in ("daily_event_type", "hourly_activity"):
+        monkeypatch.setitem(warehouse.DAY_TABLES, ("ads", name), (("state", "event_grain"), waits(name)))
+    warehouse.build_from(spark, ods, str(tmp_path / "lake"))
+    assert met == {"daily_event_type", "hourly_activity"}
+    assert versions.read_table(spark, str(tmp_path / "lake"), "ads", "hourly_activity").count() > 0
+
+
+def test_a_step_that_fails_waits_for_the_others(spark):
+    ended = []
+
+    def slow():
+        time.sleep(0.5)
+        ended.append(1)
+
+    with pytest.raises(ZeroDivisionError):
+        side_by_side(spark, [lambda: 1 / 0, slow])
+    assert ended == [1] and side_by_side(spark, [lambda: 1, lambda: 2]) == [1, 2]

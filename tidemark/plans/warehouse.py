@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
@@ -18,7 +19,7 @@ from tidemark.functions import fixed, schemas
 from tidemark.operators import dims, quality, rollups, texts
 from tidemark.operators.fact import fact_from_ods
 from tidemark.plans import guard, reports
-from tidemark.session import delete
+from tidemark.session import delete, side_by_side
 from tidemark.sources import raw, tables, versions
 
 
@@ -279,16 +280,27 @@ def build_fact(draft: versions.Draft, ods: DataFrame, prints: dict[str, str], ov
 def build_tables(draft: versions.Draft, overwrite: bool = False) -> None:
     """All tables behind the fact, for the days that changed: one scan of their fact rows makes the grain.
 
+    Tables that are made from the same ones are built side by side.
     Dimensions are folded from what each day adds to them, so a day that is built anew takes back its old share.
     """
-    for table, (origin, build) in DAY_TABLES.items():
+    todo = DAY_TABLES | WHOLE_TABLES
+    while todo:  # three rounds: the grain, what is made of it, what is folded from that
+        ready = [table for table, (origin, _) in todo.items() if origin not in todo]
+        side_by_side(draft.spark, [partial(_build_table, draft, table, overwrite) for table in ready])
+        todo = {table: made for table, made in todo.items() if table not in ready}
+
+
+def _build_table(draft: versions.Draft, table: versions.Table, overwrite: bool) -> None:
+    if table in DAY_TABLES:
+        origin, build = DAY_TABLES[table]
         sources = draft.version.tokens(*origin)
         days = draft.stale(*table, sources, overwrite)
         filled = [d for d in days if sources[d] != versions.EMPTY]
         if days:
             rows = build(draft.read(*origin, filled)) if filled else None
             draft.write_days(*table, rows, {d: sources[d] for d in days})
-    for table, (origin, build) in WHOLE_TABLES.items():
+    else:
+        origin, build = WHOLE_TABLES[table]
         tokens = draft.version.tokens(*origin)
         source = versions.digest(tokens)
         if any(t != versions.EMPTY for t in tokens.values()) and (overwrite or draft.source(*table) != source):
@@ -364,14 +376,19 @@ def write_extract(spark: SparkSession, root: str, out: str, rows: int = fixed.EX
 
     Returns ``(table, rows, full_rows, pct)``.
     """
-    for name in rollups.ADS_TABLES:
-        table = versions.read_table(spark, root, "ads", name)
+    version = versions.current(spark, root)
+
+    def cut(name: str) -> None:
+        table = versions.read(spark, root, "ads", name, version)
         ties = rollups.RANK_TIES.get(name)
-        cut = rollups.top_per_day(table, *ties, rows=rows) if ties else table
-        tables.write_table(cut, tables.table_path(out, "ads", name))
-    summary = versions.read_table(spark, root, "serving", "summary")
-    tables.write_table(summary, tables.table_path(out, "serving", "summary"))
-    tables.write_table(rollups.dataset_meta(summary, "demo"), tables.table_path(out, "serving", "meta"))
+        top = rollups.top_per_day(table, *ties, rows=rows) if ties else table
+        tables.write_table(top, tables.table_path(out, "ads", name))
+
+    summary = versions.read(spark, root, "serving", "summary", version)
+    side_by_side(spark, [
+        *(partial(cut, name) for name in rollups.ADS_TABLES),
+        lambda: tables.write_table(summary, tables.table_path(out, "serving", "summary")),
+        lambda: tables.write_table(rollups.dataset_meta(summary, "demo"), tables.table_path(out, "serving", "meta"))])
     return extract_report(spark, root, out)
 
 

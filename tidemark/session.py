@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor, wait
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+T = TypeVar("T")
+
 #: Settings that change results (time zone) or keep partitioned writes from
 #: sorting wide rows; sizing (memory, cores, shuffle partitions) is the caller's.
 SETTINGS = {
@@ -31,6 +37,21 @@ def pin_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+#: Jobs that are submitted at a time: small ones share the cluster, and none waits for another's last task.
+AT_ONCE = 4
+
+
+def side_by_side(spark: SparkSession, steps: Iterable[Callable[[], T]], at_once: int = AT_ONCE) -> list[T]:
+    """The results of steps that need nothing of each other, in order.
+
+    All have ended when this returns or raises the error of the first that failed.
+    """
+    with ThreadPoolExecutor(at_once) as pool:
+        runs = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+        wait(runs)
+    return [run.result() for run in runs]
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path in the cluster's shared checkpoint folder, deleted when the driver ends.
 

@@ -14,12 +14,13 @@ import hashlib
 import uuid
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
+from functools import partial
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.session import delete
+from tidemark.session import delete, side_by_side
 from tidemark.sources import tables
 
 _ENTRY = "layer string, name string, day string, run string, source string"
@@ -200,16 +201,18 @@ def register_views(spark: SparkSession, root: str, layout: list[tuple[str, str]]
     Each table is counted by itself; one that cannot be read loses its view and is
     told as ``unreadable``, one that is not there as ``missing``.
     """
-    states, version = [], current(spark, root)
-    for layer, name in layout:
-        rows, status = None, "ready"
+    version = current(spark, root)
+
+    def state(layer: str, name: str) -> tuple[str, str, int | None, str]:
         try:
             table = read(spark, root, layer, name, version)
             rows = table.count()
             table.createOrReplaceTempView(tables.view_name(layer, name))
+            return layer, name, rows, "ready"
         except (PySparkException, Py4JJavaError) as error:
             absent = isinstance(error, AnalysisException) and error.getCondition() in tables.ABSENT
-            status = "missing" if absent else "unreadable"
             spark.catalog.dropTempView(tables.view_name(layer, name))
-        states.append((layer, name, rows, status))
+            return layer, name, None, "missing" if absent else "unreadable"
+
+    states = side_by_side(spark, [partial(state, *table) for table in layout])
     return spark.createDataFrame(states, "layer string, table string, rows long, status string")
