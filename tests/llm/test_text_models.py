@@ -318,6 +318,23 @@ def test_passes_change_no_score(spark):
     assert len(model.parts.sizes) > 256
 
 
+def test_each_word_is_looked_up_once(spark):
+    texts = ["b a a a c", "", "a c a", "d " * 40 + "a"]
+    model, _ = lm.train(spark.createDataFrame([(t,) for t in texts * 3], "text string"))
+    asked, read = [], model.filter.levels
+    model.filter.levels = lambda hashes: asked.extend(hashes.tolist()) or read(hashes)
+    known, alone = lm.Words(), np.zeros(0, np.int64)
+    for part in (texts[:2], texts[2:]):
+        flat, sizes = lm._split(part)
+        numbers, new = known.numbers(flat)
+        tokens, places = lm._with_ends(known.hashes[numbers], sizes)
+        alone = model.alone(alone, known, new)
+        levels = model.levels(alone[numbers], tokens, places, sizes)
+        singles = lm.mix(known.hashes)
+        assert [asked.count(h) for h in singles.tolist()] == [1] * len(known.words)
+        assert (levels[0] == read(lm.mix(tokens))).all() and (levels[1] == read(lm.ngrams(tokens, places, 2))).all()
+
+
 def test_long_counts_are_split():
     rows = list(lm._gathered(1, 256)(iter([_batch([" ".join(["x"] * 200_000)])])))
     total = sum(int(np.frombuffer(b, "<u2").sum()) for r in rows for b in r.column("counts").to_pylist() if b)

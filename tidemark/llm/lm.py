@@ -255,7 +255,7 @@ class Filter:
 
 
 def _least(levels: np.ndarray, base: float) -> np.ndarray:
-    return np.where(levels > 0, base ** (levels.astype(np.float64) - 1), 0.0)
+    return np.concatenate(([0.0], base ** np.arange(64, dtype=np.float64)))[levels]
 
 
 @dataclass
@@ -292,6 +292,20 @@ class Model:
             lower = whole
         return np.log10(np.minimum(p, 1.0))
 
+    def levels(self, alone: np.ndarray, tokens: np.ndarray, places: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+        """The levels of each order, of which ``alone`` has those of the words by themselves."""
+        one = np.empty(len(tokens), np.int64)
+        ends = np.zeros(len(tokens), bool)
+        ends[np.cumsum(sizes) - 1] = True
+        one[~ends] = alone
+        one[ends] = self.filter.levels(mix(np.array([_END])))
+        return [one, *(self.filter.levels(ngrams(tokens, places, n)) for n in range(2, self.order + 1))]
+
+    def alone(self, known: np.ndarray, words: Words, new: list[bytes]) -> np.ndarray:
+        """By a word's number the level of the word by itself: a frequent word has many, and is looked up once."""
+        before = len(words.known) - len(new)
+        return np.concatenate([known[:before], self.filter.levels(mix(words.hashes[before:]))])
+
     @property
     def starts(self) -> float:
         return float(self.frequent.get(b" ", 0))
@@ -423,16 +437,19 @@ def score(docs: DataFrame, model: Model, vocabulary: DataFrame, keep: list[str],
         often = {w: float(np.log10((n + 0.5) / divisor)) for w, n in own.frequent.items()}
         end = often.get(b" ", float(np.log10(0.5 / divisor)))
         exact = np.zeros(0)  # by a word's number: its part of the base score, NaN for words that are not frequent
+        alone = np.zeros(0, np.int64)
         for rows, texts in text_slices(batches, text):
             flat, sizes = _split(texts)
             numbers, new = words.numbers(flat)
             exact = np.concatenate([exact[: len(words.known) - len(new)], [often.get(w, np.nan) for w in new]])
             tokens, places = _with_ends(words.hashes[numbers], sizes)
             ends = np.cumsum(sizes)
-            levels = None
             if passes:
                 hashes = np.stack([ngrams(tokens, places, n) for n in range(1, own.order + 1)])
                 levels = _joined_levels(hashes, ends, sizes, rows.column(seen).to_pylist(), cuts, segments)
+            else:
+                alone = own.alone(alone, words, new)
+                levels = own.levels(alone[numbers], tokens, places, sizes)
             total = np.add.reduceat(own.log_probabilities(tokens, places, levels), ends - sizes)
             logs = exact[numbers]
             text_of = np.repeat(np.arange(len(sizes)), sizes - 1)
