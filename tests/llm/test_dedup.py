@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -152,6 +153,18 @@ def test_walk_splits_large_fronts(monkeypatch):
     assert got == {frozenset(map(int, p)) for p in itertools.combinations(values, 2) if (int(p[0]) ^ int(p[1])).bit_count() <= 2}
 
 
+def test_walk_takes_little_memory():
+    values = np.unique(np.random.default_rng(1).integers(0, 1 << 58, 12_000, dtype=np.uint64))  # below one node at depth 6
+    tracemalloc.start()
+    try:
+        for _ in simhash.walk(values, values, 6, 0, 3, True):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 64_000_000
+
+
 def test_components(spark):
     rng = np.random.default_rng(3)
     chain = [(i, i + 1) for i in range(100, 160)]

@@ -30,7 +30,10 @@ LEAF = 32_768
 STRIDE = 2
 
 _AT_ONCE = 1 << 16
-_FRONTIER = 1 << 19
+
+#: Pairs of nodes that the walk in a task opens at a time. Their children and copies take some 700 bytes a pair, so
+#: that a worker needs 25 MB for it.
+_FRONTIER = 1 << 15
 
 
 def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
