@@ -9,7 +9,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard as jc
+from tidemark.llm import common, jaccard as jc
+from tidemark.llm.common import stored
 
 
 def _set(text, size=jc.SHINGLE):
@@ -127,6 +128,27 @@ def test_pairs_are_few_in_a_large_group(spark):
     assert jc._star(members, rows.dropDuplicates(["key"]), jc.PERCENT).count() < 12 * different < different * (different - 1) / 4
 
 
+def test_members_of_connected_prints_are_left_out_of_later_rounds(spark):
+    members = stored(spark.createDataFrame(
+        [(1, b"a"), (1, b"b"), (1, b"c"), (2, b"d"), (2, b"e"), (2, b"f"), (3, b"a"), (3, b"d")], "print long, key binary"), "members")
+    roots = spark.createDataFrame([(b"a", b"a"), (b"b", b"a"), (b"c", b"a"), (b"d", b"d"), (b"e", b"d")], "node binary, root binary")
+    sets = spark.createDataFrame(
+        [(bytes([k]), k, 9, *[0] * len(jc.BITS)) for k in b"abcdef"], f"key binary, id long, n long, {', '.join(f'{c} long' for c in jc.BITS)}")
+    pairs, most, left = jc._rest(members, roots, sets, 8, jc.PERCENT)
+    assert most == 3 and sorted((r.print, bytes(r.key)) for r in left.collect()) == [(2, b"d"), (2, b"e"), (2, b"f")]
+    assert {(bytes(r.a), bytes(r.b)) for r in pairs.collect()} == {(b"d", b"f"), (b"e", b"f")}
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    def shuffled():
+        return spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").count("shuffle_")
+
+    before, setting = shuffled(), spark.conf.get(common._CLEANUP, None)
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n"))
+    assert sorted(stored(df, "counts").collect()) == sorted(stored(df, "counts").collect())
+    assert shuffled() <= before and spark.conf.get(common._CLEANUP, None) == setting
+
+
 def test_nulls_repeats_empty_and_other_columns(spark):
     rows = [(None, "a b c d"), (3, "a b c d"), (3, "A  b\tc d"), (2, None), (4, ""), (5, " \n"), (None, None), (7, "x"), (8, "X"), (None, "only one here")]
     assert _got(spark, rows) == _expected(rows)

@@ -46,11 +46,27 @@ def _delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
 
 
+#: Whether the shuffle files of a query go when it ends, and not when the driver happens to collect its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
-    """``df`` as a table in the shared folder: computed once, and read again after a lost executor."""
-    path = path or shared_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` as a table in the shared folder: computed once, and read again after a lost executor.
+
+    Its shuffle files are deleted when it is written, for the table takes their place.
+    """
+    spark = df.sparkSession
+    path = path or shared_path(spark, label)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def discard(spark: SparkSession, path: str) -> None:

@@ -41,6 +41,9 @@ CUTS = 3
 PARITY = 512
 BITS = [f"p{i}" for i in range(PARITY // 64)]
 
+#: Bits of a print that are compared before the prints themselves.
+KNOWN = 40
+
 #: N-grams of a fragment that are counted at a time.
 FRAGMENT = 4096
 
@@ -152,10 +155,12 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
 def shared_prints(rows: DataFrame) -> DataFrame:
     """(print, key), without repeats, for the prints that different sets have.
 
-    A bitmap of fixed size carries them to the sets, so that all others need no shuffle with their keys.
+    A bitmap of fixed size carries them to the sets, so that all others need no shuffle with their keys. It is made
+    from the upper ``KNOWN`` bits of the prints: a few more may pass, none is lost, and zeros take little room in a shuffle.
     """
-    slot = _slot(F.col("print"), bits=FILTER_BITS)
-    every = rows.select("code", F.explode("prints").alias("print"))
+    known = F.col("print").bitwiseAND(F.lit(-(1 << 64 - KNOWN)))
+    slot = _slot(known, bits=FILTER_BITS)
+    every = rows.select("code", F.explode("prints").alias("print")).select("code", known.alias("print"))
     several = every.groupBy("print").agg(F.min("code").alias("low"), F.max("code").alias("high")).filter("low <> high")
     pages = stored(_marked(several.select(slot.alias("slot")), FILTER_BITS), "prints")
     kept = _with_survival(rows.select("key", F.explode("prints").alias("print")), slot, pages).filter("survives")
@@ -251,8 +256,9 @@ def linked(pairs: DataFrame, grams: DataFrame, percent: int = PERCENT, fragment:
                         lambda best, t: F.when(t >= F.greatest("na", "nb"), t).otherwise(best))
     cut = pairs.withColumn("parts", F.ceil(level / fragment).cast("int")).withColumn(
         "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("key"))
-    asked = _only(grams, ends, "asked")
+    ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "keys")
+    few = ends.limit(FEW + 1).count() <= FEW  # then the n-grams of the pairs' sets are picked out while they are read
+    asked = grams.join(F.broadcast(ends), "key", "left_semi") if few else stored(grams.join(ends, "key", "left_semi"), "asked")
     # A head stands in many pairs, at the end "a" for the most part: the other end's n-grams move with the pairs.
     for end, name in (("b", "two"), ("a", "one")):
         cut = cut.join(asked.select(F.col("key").alias(end), "parts", "part", F.col("grams").alias(name)), [end, "parts", "part"])
@@ -262,7 +268,7 @@ def linked(pairs: DataFrame, grams: DataFrame, percent: int = PERCENT, fragment:
     total = once.groupBy("a", "b", "na", "nb").agg(F.sum("both").alias("both"))
     good = total.filter(100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both")))
     links = stored(good.select("a", "b"), "links")
-    drop_stored(asked)
+    drop_stored(ends, *([] if few else [asked]))
     return links
 
 
@@ -275,10 +281,12 @@ def _star(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _ordered(pairs.filter(_plausible(percent)))
 
 
-def _rest(members: DataFrame, roots: DataFrame, sets: DataFrame, heads: int, percent: int) -> tuple[DataFrame, int]:
+def _rest(members: DataFrame, roots: DataFrame, sets: DataFrame, heads: int,
+          percent: int) -> tuple[DataFrame, int, DataFrame]:
     """(a, b, na, nb), stored, of classes of a print that are not connected and may link, for ``heads`` of them or so.
 
-    The number is the most classes of such a print.
+    The number is the most classes of such a print. The last are the ``members`` of such prints, stored: all others
+    are done with, for classes that are connected stay so. ``members`` is deleted.
     """
     own = members.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     own = stored(own, "rooted")
@@ -286,14 +294,14 @@ def _rest(members: DataFrame, roots: DataFrame, sets: DataFrame, heads: int, per
         F.count("*").alias("members"), F.min("root").alias("low"), F.max("root").alias("high")).filter("members > 2 AND low <> high")
     groups = stored(groups.select("print", "members"), "open")
     most = groups.agg(F.max("members")).first()[0] or 0
-    some = own.join(groups, "print").join(sets.drop("id"), "key")
+    left = stored(own.join(groups, "print"), "members")
+    drop_stored(own, groups, members)
+    some = left.join(sets.drop("id"), "key")
     first = some.filter(F.pmod(F.xxhash64("key"), F.ceil(F.col("members") / heads)) == 0)
     pairs = _prefixed(first, "a", "print", "root").join(
         _prefixed(some, "b", "print", "root"),
         (F.col("aprint") == F.col("bprint")) & (F.col("aroot") != F.col("broot")) & _plausible(percent))
-    found = stored(_ordered(pairs), "proposed")
-    drop_stored(own, groups)
-    return found, most
+    return stored(_ordered(pairs), "proposed"), most, left.select("print", "key")
 
 
 State = tuple[DataFrame, DataFrame, DataFrame]
@@ -343,9 +351,11 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     """
     if percent < 70:
         raise ValueError("sets that share less than 70 per cent are not joined by this method")
-    rows = stored(sketches(docs, id_col, text_col, shingle, percent), "sets")
+    whole = stored(sketches(docs, id_col, text_col, shingle, percent), "sets")
+    members = shared_prints(whole.filter("n > 0"))
+    rows = stored(whole.drop("prints"), "rows")  # the prints take most of the room
+    drop_stored(whole)
     some = rows.filter("n > 0")
-    members = shared_prints(some)
     keys = members.select("key").distinct()
     own = _only(some.select("key", "id", "n", *BITS), keys, "own")
     sets = stored(own.groupBy("key").agg(
@@ -355,7 +365,7 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     state = _connected(_star(members, sets, percent), None, grams, percent, fragment)
     heads = HEADS
     while True:
-        pairs, most = _rest(members, state[0], sets, heads, percent)
+        pairs, most, members = _rest(members, state[0], sets, heads, percent)
         if not most:
             break
         state = _connected(pairs, state, grams, percent, fragment)
