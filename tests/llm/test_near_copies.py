@@ -73,6 +73,32 @@ def test_rounds_change_nothing(spark, monkeypatch):
     assert Counter(tuple(r) for r in near.near_copies(docs).collect()) == whole
 
 
+def _kept(spark, texts):
+    rows = near.sketches(_table(spark, texts), "doc_id", "text")
+    return rows.groupBy("key").agg(*(F.first(c).alias(c) for c in ("fps", "shingles", "n", *near.BITS)))
+
+
+def test_fingerprints_of_the_same_texts_stand_for_each_other(spark):
+    rng = random.Random(4)
+    words = [f"w{n}" for n in range(300)]
+    texts = _kept(spark, [(i, " ".join(rng.sample(words, 300))) for i in range(9)])  # one bag of words in nine orders
+    pairs, members, left = near.candidates(texts)
+    assert members.count() == 9 and pairs.count() == 8  # and not nine for each of the tries
+    assert [(r.a == r.b, r.ma, r.mb) for r in left.collect()] == [(True, 9, 9)]
+
+
+def test_fingerprints_whose_texts_have_met_do_not_meet_again(spark):
+    rng = random.Random(4)
+    words = [f"w{n}" for n in range(300)]
+    texts = _kept(spark, [(i, " ".join(rng.sample(words, 300))) for i in range(9)])
+    _, members, left = near.candidates(texts)
+    alone = texts.select(F.col("key").alias("node"), F.col("key").alias("root"))
+    _, more = near._rest(members, left, alone, texts, 2)
+    assert more.count() == 1  # nine texts, of which two or so were heads
+    _, more = near._rest(members, more, alone, texts, 9)
+    assert more.isEmpty()
+
+
 def _same(spark, texts):
     want = _groups(texts)
     return want, {r.doc_id: r.component_id for r in near.near_copies(_table(spark, texts.items())).collect()}

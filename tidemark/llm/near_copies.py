@@ -124,23 +124,44 @@ def rare_shingles(texts: DataFrame, least: float = SIMILARITY, short: int = SHOR
         F.col("place") <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1).select("key", "fp")
 
 
+def _classes(members: DataFrame) -> DataFrame:
+    """(fp, class, head, m) of every fingerprint: the least one with the same texts, its first text and their number.
+
+    Texts alike in all their words have all their fingerprints in common, and a text that shares none has each for itself:
+    what is told of one of these fingerprints is told of all. Sets of texts are told apart by 128 bits, as texts are.
+    """
+    sets = members.groupBy("fp").agg(
+        F.min("key").alias("head"), F.count("*").alias("m"), F.bit_xor(F.xxhash64("key")).alias("x"),
+        F.bit_xor(F.xxhash64("key", F.lit("second"))).alias("y"))
+    return sets.select("fp", F.min("fp").over(Window.partitionBy("head", "m", "x", "y")).alias("class"), "head", "m")
+
+
 def candidates(texts: DataFrame, budget: int = BUDGET, leaf: int = LEAF) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(a, b), keys of texts to be judged first, a < b; (key, fp), what texts have in common; links (a, b) between fps.
+    """(a, b), keys of texts to be judged first, a < b; (key, fp), what texts have in common; (a, b, ma, mb), stored, what
+    fingerprints have texts left to meet, within one (a = b) or across a link, with the number of their texts.
 
     Texts with one fingerprint or rare shingle in common meet the first of them, which
-    stands for them in the links of that fingerprint.
+    stands for them in the links of that fingerprint. Of fingerprints with the same texts one stands for all.
     """
     prints = texts.select("key", F.explode("fps").alias("fp"))
-    members = stored(prints.unionByName(rare_shingles(texts)), "members")
-    salted = members.withColumn("salt", salt_of("key"))
-    heads = stored(members.groupBy("fp").agg(F.min("key").alias("head")), "heads")
-    links = stored(trie_links(heads.filter("fp >= 0").select("fp"), budget, leaf, TAG), "links")
-    stars = attach(salted, ["fp"], "salt", {"h": F.min("key")}, {"head": F.min("h")})
-    across = links.join(heads.select(F.col("fp").alias("a"), F.col("head").alias("x")), "a").join(
-        heads.select(F.col("fp").alias("b"), F.col("head").alias("y")), "b").select("x", "y")
-    every = stars.select(F.col("head").alias("x"), F.col("key").alias("y")).unionByName(across)
-    pairs = every.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    return pairs, members, links
+    every = stored(prints.unionByName(rare_shingles(texts)), "every")
+    classes = stored(_classes(every), "classes")
+    found = trie_links(classes.filter("fp >= 0").select("fp"), budget, leaf, TAG)
+    for end in "ab":
+        of = F.struct("class", "head", "m").alias(f"{end}of")
+        found = found.join(classes.select(F.col("fp").alias(end), of), end)
+    found = found.filter("aof.class <> bof.class").select(F.least("aof", "bof").alias("x"), F.greatest("aof", "bof").alias("y"))
+    links = stored(found.distinct(), "links")
+    own = classes.filter("fp = class")
+    members = stored(every.join(own.select("fp"), "fp", "left_semi").select("key", "fp"), "members")
+    drop_stored(every)
+    stars = attach(members.withColumn("salt", salt_of("key")), ["fp"], "salt", {"h": F.min("key")}, {"head": F.min("h")})
+    near = stars.select(F.col("head").alias("x"), F.col("key").alias("y")).unionByName(
+        links.select(F.col("x.head").alias("x"), F.col("y.head").alias("y")))
+    pairs = near.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    across = links.select(F.col("x.class").alias("a"), F.col("y.class").alias("b"), F.col("x.m").alias("ma"), F.col("y.m").alias("mb"))
+    within = own.filter("m > 2").select(F.col("fp").alias("a"), F.col("fp").alias("b"), F.col("m").alias("ma"), F.col("m").alias("mb"))
+    return pairs, members, stored(across.filter("ma + mb > 2").unionByName(within), "left")
 
 
 def _fit(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -150,35 +171,38 @@ def _fit(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.filter(_plausible(PERCENT)).select("a", "b")
 
 
-def _rest(members: DataFrame, links: DataFrame, roots: DataFrame, texts: DataFrame, heads: int) -> tuple[DataFrame, int]:
+def _rest(members: DataFrame, left: DataFrame, roots: DataFrame, texts: DataFrame, heads: int) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b), stored, of unconnected texts within a fingerprint, or of linked ones, that its first text stood for.
 
-    Some ``heads`` texts of each fingerprint meet all; the number is the most texts of a fingerprint that is left.
+    Some ``heads`` texts of each fingerprint meet all. The second table is what of ``left``, which is deleted, has texts
+    that did not meet. A fingerprint of no more than ``heads`` texts is done with, and so are those whose texts are connected.
     """
-    own = stored(members.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn(
-        "root", F.coalesce("root", "key")), "rooted")
-    groups = stored(own.groupBy("fp").agg(
-        F.count("*").alias("m"), F.min("root").alias("low"), F.max("root").alias("high")), "groups")
-    one, two = (groups.select(F.col("fp").alias(x), *(F.col(c).alias(c + x) for c in ("m", "low", "high"))) for x in "ab")
-    both = links.join(one, "a").join(two, "b").filter("ma + mb > 2 AND (least(lowa, lowb) <> greatest(higha, highb))")
-    within = groups.filter("m > 2 AND low <> high").select(
-        F.col("fp").alias("a"), F.col("fp").alias("b"), F.col("m").alias("ma"), F.col("m").alias("mb"))
-    open_ = stored(within.unionByName(both.select("a", "b", "ma", "mb")).unionByName(
-        both.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("mb").alias("ma"), F.col("ma").alias("mb"))), "open")
-    most = open_.agg(F.max("ma")).first()[0] or 0
-    used = open_.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-    some = stored(own.join(used, "fp", "left_semi").join(texts.select("key", "n", *BITS), "key"), "some")
-    sizes = open_.groupBy("b").agg(F.ceil(F.max("mb") / SIDE).cast("int").alias("sides")).withColumnRenamed("b", "fp")
+    used = left.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+    own = stored(members.join(used, "fp", "left_semi").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn(
+        "root", F.coalesce("root", "key")).join(texts.select("key", "n", *BITS), "key"), "rooted")
+    groups = stored(own.groupBy("fp").agg(F.min("root").alias("low"), F.max("root").alias("high")), "groups")
+    one, two = (groups.select(F.col("fp").alias(x), *(F.col(c).alias(c + x) for c in ("low", "high"))) for x in "ab")
+    # The smaller one comes first: where all of its texts are heads, they meet all of the other's.
+    first = F.col("ma") <= F.col("mb")
+    pick = lambda x, y: F.when(first, F.col(x)).otherwise(F.col(y)).alias(x)
+    open_ = stored(left.join(one, "a").join(two, "b").filter("least(lowa, lowb) <> greatest(higha, highb)").select(
+        pick("a", "b"), pick("b", "a"), pick("ma", "mb"), pick("mb", "ma")), "open")
+    more = stored(open_.filter(F.col("ma") > heads), "left")
+    turned = more.filter("a <> b").select(
+        F.col("b").alias("a"), F.col("a").alias("b"), F.col("mb").alias("ma"), F.col("ma").alias("mb"))
+    meet = open_.unionByName(turned)
     # A head meets the texts of a large fingerprint in as many places as they are dealt to.
-    head = open_.join(_prefixed(some, "a", "root", "fp").withColumnRenamed("afp", "a"), "a").filter(
-        F.pmod(F.xxhash64("akey"), F.ceil(F.col("ma") / heads)) == 0).withColumn(
+    sizes = meet.groupBy("a").agg(F.first("ma").alias("ma")).withColumnRenamed("a", "fp")
+    some = own.join(sizes, "fp").filter(F.pmod(F.xxhash64("key"), F.ceil(F.col("ma") / heads)) == 0)
+    head = meet.drop("ma").join(_prefixed(some, "a", "root", "fp").withColumnRenamed("afp", "a"), "a").withColumn(
         "side", F.explode(F.sequence(F.lit(0), F.ceil(F.col("mb") / SIDE).cast("int") - 1)))
-    other = _prefixed(some.join(sizes, "fp").withColumn("side", F.pmod(F.xxhash64("key"), F.col("sides")).cast("int")),
+    sides = meet.groupBy("b").agg(F.ceil(F.first("mb") / SIDE).cast("int").alias("sides")).withColumnRenamed("b", "fp")
+    other = _prefixed(own.join(sides, "fp").withColumn("side", F.pmod(F.xxhash64("key"), F.col("sides")).cast("int")),
                       "b", "root", "fp", "side").withColumnRenamed("bfp", "b").withColumnRenamed("bside", "side")
     pairs = head.join(other, ["b", "side"]).filter((F.col("aroot") != F.col("broot")) & _plausible(PERCENT))
     found = stored(pairs.select(F.least("akey", "bkey").alias("a"), F.greatest("akey", "bkey").alias("b")).distinct(), "proposed")
-    drop_stored(own, groups, open_, some)
-    return found, most
+    drop_stored(own, groups, open_, left)
+    return found, more
 
 
 def _beside(pairs: DataFrame, lists: DataFrame, end: str, other: str, name: str) -> DataFrame:
@@ -263,16 +287,12 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.when(F.length("shingles") <= int(SHORT / SIMILARITY) * 4, F.col("shingles"))).alias("shingles"),
         *(F.min(c).alias(c) for c in ("n", *BITS))), "texts")  # equal for equal keys
     lists = rows.select("key", "shingles")
-    pairs, members, links = candidates(texts)
+    pairs, members, left = candidates(texts)
     state = connections(_fit(pairs, texts), lists)
     heads = FAN
-    while True:
-        pairs, most = _rest(members, links, state[0], texts, heads)
-        if not most:
-            break
+    while not left.isEmpty():
+        pairs, left = _rest(members, left, state[0], texts, heads)
         state = connections(pairs, lists, state)
-        if heads >= most:  # each text was a head
-            break
         heads *= GROWTH
     roots = state[0]
     owned = stored(texts.join(roots, texts.key == roots.node, "left").select(
